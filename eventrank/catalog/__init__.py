@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features"]
+MODULES = ["features", "cleaning"]
 
 
 def load() -> tuple[dict, dict]:

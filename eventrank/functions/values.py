@@ -41,18 +41,24 @@ def duration_seconds(nanoseconds: Column) -> Column:
 
 
 def parse_utc(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text, NULL if it is none. Assumes the session zone is UTC for texts without zone."""
-    return F.try_to_timestamp(text)
+    """UTC wall-clock time of an ISO-8601 text, NULL if it is none; a text without zone is taken as UTC."""
+    zoned = F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$") | ~text.contains(":"), text).otherwise(F.concat(text, F.lit("Z")))
+    seconds = (F.unix_micros(zoned.try_cast("timestamp")).cast("decimal(24,0)") / 1000000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def format_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def seconds_between(later: Column, earlier: Column) -> Column:
+    """Signed distance of two wall-clock times in seconds."""
+    return F.timestamp_diff("MICROSECOND", earlier, later) / 1000000
+
+
 def minute_offset(later: Column, earlier: Column) -> Column:
-    """Minutes between two timestamps, cut toward zero."""
-    micros = F.unix_micros(later) - F.unix_micros(earlier)
-    return (micros / 60000000).cast("int")
+    """Minutes from ``earlier`` to ``later``, cut toward zero."""
+    return (seconds_between(later, earlier) / 60).cast("int")
 
 
 def valid_lap() -> Column:
