@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "cleaning"]
+MODULES = ["features", "cleaning", "tracking"]
 
 
 def load() -> tuple[dict, dict]:
