@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "cleaning", "tracking"]
+MODULES = ["features", "cleaning", "tracking", "weather"]
 
 
 def load() -> tuple[dict, dict]:

@@ -42,7 +42,8 @@ def duration_seconds(nanoseconds: Column) -> Column:
 
 def parse_utc(text: Column) -> Column:
     """UTC wall-clock time of an ISO-8601 text, NULL if it is none; a text without zone is taken as UTC."""
-    zoned = F.when(text.rlike(r"(Z|[+-]\d\d:?\d\d)$") | ~text.contains(":"), text).otherwise(F.concat(text, F.lit("Z")))
+    full = F.regexp_replace(text, r"([T ]\d\d:\d\d)(Z|[+-]\d\d:?\d\d)?$", "$1:00$2")
+    zoned = F.when(full.rlike(r"(Z|[+-]\d\d:?\d\d)$") | ~full.contains(":"), full).otherwise(F.concat(full, F.lit("Z")))
     seconds = (F.unix_micros(zoned.try_cast("timestamp")).cast("decimal(24,0)") / 1000000).cast("decimal(18,6)")
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 

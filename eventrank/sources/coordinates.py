@@ -36,8 +36,8 @@ CIRCUITS = {
 
 
 def coordinates(spark: SparkSession) -> DataFrame:
-    rows = [(slug, lat, lng) for slug, (lat, lng) in CIRCUITS.items()]
-    return spark.createDataFrame(rows, "event string, circuit_lat double, circuit_lng double")
+    rows = ", ".join(f"('{slug}', {lat}D, {lng}D)" for slug, (lat, lng) in CIRCUITS.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS circuits(event, circuit_lat, circuit_lng)")
 
 
 def with_coordinates(df: DataFrame, strict: bool = False) -> DataFrame:

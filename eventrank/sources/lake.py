@@ -22,3 +22,13 @@ def pointer_columns(path: Column) -> list[Column]:
         key.alias("key"),
         F.regexp_replace(key, "/?[^/]*$", "").alias("folder"),
     ]
+
+
+def read_json(spark: SparkSession, path: str | Sequence[str], schema: str, whole_files: bool = False) -> DataFrame:
+    """JSON with a given schema; ``whole_files`` reads one document per file instead of one per line."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.schema(schema).option("multiLine", whole_files).json(paths)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").json(path)
