@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "cleaning", "tracking", "weather"]
+MODULES = ["features", "cleaning", "tracking", "weather", "storage"]
 
 
 def load() -> tuple[dict, dict]:

@@ -137,12 +137,18 @@ def weather_daily_row(spark, folder):
 
 
 _ALIGNED = """
-SELECT event_year, event, race_dt_utc, race_hour_timestamp_utc, race_hour_offset_minutes, message = 'OK' AS aligned,
-  CASE WHEN message = 'OK' THEN 'OK (offset=' || race_hour_offset_minutes || ' min)' ELSE message END AS message
+SELECT event_year, event, race_dt_utc, race_hour_timestamp_utc, race_hour_offset_minutes,
+  message LIKE 'OK%' AS aligned, message
 FROM (
-  SELECT *, CASE WHEN race_hour_timestamp_utc[1:10] <> race_dt_utc[1:10] THEN 'date mismatch'
-      WHEN race_hour_timestamp_utc[12:13] <> race_dt_utc[12:13] THEN 'hour mismatch'
-      WHEN abs(race_hour_offset_minutes) > 60 THEN 'offset too large' ELSE 'OK' END AS message
+  SELECT *, CASE
+      WHEN race_hour_timestamp_utc[1:10] <> race_dt_utc[1:10]
+        THEN 'date mismatch: race_hour=' || race_hour_timestamp_utc[1:10] || ' race_dt=' || race_dt_utc[1:10]
+      WHEN race_hour_timestamp_utc[12:13] <> race_dt_utc[12:13]
+        THEN 'hour mismatch: race_hour=' || CAST(race_hour_timestamp_utc[12:13] AS INTEGER)
+          || ' race_dt=' || CAST(race_dt_utc[12:13] AS INTEGER)
+      WHEN abs(race_hour_offset_minutes) > 60
+        THEN 'offset too large: race_hour_offset_minutes=' || race_hour_offset_minutes
+      ELSE 'OK (offset=' || race_hour_offset_minutes || ' min)' END AS message
   FROM days JOIN race_hour USING (day))
 """
 

@@ -136,13 +136,22 @@ def race_hour_alignment(rows: DataFrame) -> DataFrame:
     race, text = parse_utc(F.col("race_dt_utc")), F.col("race_hour_timestamp_utc")
     hour = parse_utc(text)
     offset = F.coalesce("race_hour_offset_minutes", F.lit(0))
+
+    def differ(what: str, chosen: Column, wanted: Column) -> Column:
+        return F.format_string(
+            f"{what} mismatch: race_hour=%s race_dt=%s", chosen.cast("string"), wanted.cast("string")
+        )
+
     message = (
         F.when(F.coalesce(text, F.lit("")) == "", "missing race_hour_timestamp_utc")
-        .when(hour.isNull(), F.concat(F.lit("could not parse race_hour_timestamp_utc: "), text))
-        .when(F.to_date(hour) != F.to_date(race), "date mismatch")
-        .when(F.hour(hour) != F.hour(race), "hour mismatch")
-        .when(F.abs(offset) > RACE_TOLERANCE_MINUTES, "offset too large")
-        .otherwise(F.concat(F.lit("OK (offset="), offset.cast("string"), F.lit(" min)")))
+        .when(hour.isNull(), F.format_string("could not parse race_hour_timestamp_utc: '%s'", text))
+        .when(F.to_date(hour) != F.to_date(race), differ("date", F.to_date(hour), F.to_date(race)))
+        .when(F.hour(hour) != F.hour(race), differ("hour", F.hour(hour), F.hour(race)))
+        .when(
+            F.abs(offset) > RACE_TOLERANCE_MINUTES,
+            F.format_string("offset too large: race_hour_offset_minutes=%d", offset),
+        )
+        .otherwise(F.format_string("OK (offset=%d min)", offset))
     )
     return rows.select(
         "event_year", "event", "race_dt_utc", "race_hour_timestamp_utc", "race_hour_offset_minutes",

@@ -1,4 +1,7 @@
-"""Reading and writing tables in folders: partitioned, by run id, bulk, as JSON or CSV."""
+"""Reading and writing tables in folders: partitioned, by run id, in bulk, as JSON or CSV.
+
+All access goes through Spark's readers and writers, so any file system that the executors share will do.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventrank.schemas import require_columns
 
@@ -24,11 +26,116 @@ def pointer_columns(path: Column) -> list[Column]:
     ]
 
 
+def _partition_value(name: str) -> Column:
+    safe = F.replace(F.trim(F.col(name).cast("string")), F.lit("/"), F.lit("_"))
+    return F.coalesce(safe, F.lit(NULL_PARTITION)).alias(name)
+
+
+def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], whole: bool = True) -> None:
+    """Snappy Parquet below ``col=value`` folders; the partition columns are kept in the path only.
+
+    ``whole`` replaces the full dataset, and leaves it alone when there are no rows; otherwise only the
+    partitions that occur in ``df`` are replaced. Rows are rebalanced by partition: small partitions share a
+    task and write one file each, a partition that holds a large share of the rows is split over several.
+    """
+    require_columns(df, parts)
+    if whole and df.isEmpty():
+        return
+    named = df.select(*[_partition_value(c) if c in parts else F.col(c) for c in df.columns])
+    writer = named.hint("rebalance", *parts).write.partitionBy(*parts).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: str, parts: Sequence[str]) -> DataFrame:
+    """Partitioned dataset with a given schema: columns that a file lacks read as NULL."""
+    df = spark.read.schema(schema).parquet(path)
+    return df.withColumns({p: F.nullif(F.col(p).cast("string"), F.lit(NULL_PARTITION)).cast(df.schema[p].dataType) for p in parts})
+
+
+def read_session(spark: SparkSession, path: str, schema: str, event_year: int, event: str, session: str) -> DataFrame:
+    """Rows of one session; only its folder is read. A session without rows is an error."""
+    rows = spark.read.schema(schema).parquet(path).where(
+        (F.col("event_year") == event_year) & (F.col("event") == event) & (F.col("session") == session)
+    )
+    if rows.isEmpty():
+        raise ValueError(f"no rows for event_year={event_year} event={event} session={session}")
+    return rows
+
+
+def write_summary(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    """Rows, files and partitions below ``path``."""
+    written = spark.read.parquet(path).select("*", "_metadata.file_path")
+    return written.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("file_path").alias("files"),
+        F.count_distinct(F.concat_ws("/", *[F.col(p).cast("string") for p in parts])).alias("partitions"),
+    )
+
+
+def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Paths of all files below ``paths``; their content is not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.load(list(paths)).select(F.col("path").alias("file_path"))
+
+
+def read_bulk(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
+    """All Parquet files below ``paths`` in one frame; files that cannot be read are skipped."""
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    return reader.parquet(*paths).select("*", "_metadata.file_path")
+
+
+def failed_files(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Files that no row was read from."""
+    plain = lambda df: df.select(F.regexp_replace("file_path", "^[a-z0-9]+:/*", "/").alias("file_path"))
+    return plain(files).join(plain(rows).distinct(), "file_path", "left_anti")
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Output of one run below ``run_id=...``; a repeated run replaces its own rows only."""
+    writer = df.withColumn("run_id", F.lit(run_id)).write.partitionBy("run_id").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def latest_run(files: DataFrame) -> DataFrame:
+    """Greatest run id found in file paths. Run ids are time stamps, so the greatest is the newest."""
+    run_id = F.regexp_extract("file_path", "run_id=([^/]+)/", 1)
+    return files.select(run_id.alias("run_id")).where(F.col("run_id") != "").agg(F.max("run_id").alias("run_id"))
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    newest = latest_run(list_files(spark, [path])).first()["run_id"]
+    if newest is None:
+        raise ValueError(f"no run below {path}")
+    # The run id stays text: inference would turn all-digit ids into numbers.
+    return spark.read.parquet(f"{path}/run_id={newest}").withColumn("run_id", F.lit(newest))
+
+
+def write_ranked(df: DataFrame, path: str, parts: Sequence[str], order: str) -> None:
+    """Rows of each partition in the order of ``order``; a large partition continues in the next file."""
+    require_columns(df, [*parts, order])
+    placed = df.repartitionByRange(*parts, order).sortWithinPartitions(*parts, order)
+    placed.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: str, whole_files: bool = False) -> DataFrame:
     """JSON with a given schema; ``whole_files`` reads one document per file instead of one per line."""
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.schema(schema).option("multiLine", whole_files).json(paths)
 
 
+def read_json_lenient(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines without those that cannot be parsed."""
+    marked = spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
+    return marked.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def write_csv(df: DataFrame, path: str, rows: int | None = None) -> None:
+    """CSV with header; ``rows`` writes the first rows only, as a sample for people to look at."""
+    (df if rows is None else df.limit(rows)).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
