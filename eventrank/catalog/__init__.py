@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["features", "cleaning", "tracking", "weather", "storage"]
+MODULES = ["features", "cleaning", "tracking", "weather", "storage", "evaluation", "modelling"]
 
 
 def load() -> tuple[dict, dict]:

@@ -111,9 +111,12 @@ def sink_run(spark, folder):
     return lake.read_latest(spark, _runs(spark, folder))
 
 
-@register("SELECT '20260228T042635Z' AS run_id")
+@register(with_binding(TRACKING, "SELECT max(run_id) AS run_id FROM runs"))
 def latest_run(spark, folder):
-    return lake.latest_run(lake.list_files(spark, [_runs(spark, folder)]))
+    """One run folder per season."""
+    path = scratch_folder(spark, "seasons")
+    calendar.model_runs(spark, folder).write.partitionBy("run_id").parquet(path)
+    return lake.latest_run(lake.list_files(spark, [path]))
 
 
 @register(with_binding(DATED + f"ph AS ({POINTS}), l3 AS ({LAST3}),", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,3 +46,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         if root is None:
             root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="eventrank-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read from there, for results that are used many times."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
