@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WET_MM = 1.0
@@ -10,7 +10,8 @@ SECTOR_TOLERANCE_SECONDS = 0.1
 
 
 def to_double(value: Column) -> Column:
-    return value.try_cast("double")
+    """Number in a text; bad text and the text "nan" become NULL."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_long(value: Column) -> Column:
@@ -22,6 +23,14 @@ def to_int(value: Column) -> Column:
     return F.rint(to_double(value)).try_cast("int")
 
 
+def whole(df: DataFrame, name: str) -> Column:
+    """Column as a whole number; a column that is one already is taken as it is, so filters on it reach the scan."""
+    kind = df.schema[name].dataType.simpleString()
+    if kind == "int":
+        return F.col(name)
+    return (F.col(name).cast("int") if kind in ("bigint", "smallint", "tinyint") else to_int(F.col(name))).alias(name)
+
+
 def parse_bool(value: Column) -> Column:
     text = value.cast("string")
     return F.when(text.isin("True", "true", "1"), True).when(text.isin("False", "false", "0"), False)

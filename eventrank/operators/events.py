@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventrank.functions.values import is_wet, to_int
+from eventrank.functions.values import is_wet, whole
 from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, QUALIFYING_COLUMNS, SESSION_KEYS, TARGET_COLUMNS
 
 SPRINT_QUALIFYING = ["SQ", "SS"]
@@ -27,12 +27,12 @@ def target_filter(df: DataFrame, event_year: int | None = None, event: str | Non
 def qualifying_targets(results: DataFrame) -> DataFrame:
     """One row per driver in qualifying; the finishing position there is the qualifying position."""
     return select_sessions(results, "Q").select(
-        F.col("event_year").cast("int").alias("event_year"),
+        whole(results, "event_year"),
         "event",
         "event_name",
-        to_int(F.col("driver_number")).alias("driver_number"),
+        whole(results, "driver_number"),
         *TARGET_COLUMNS[4:],
-        to_int(F.col("finishing_position")).alias("qualifying_position"),
+        whole(results, "finishing_position").alias("qualifying_position"),
         *QUALIFYING_COLUMNS[1:],
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventrank.functions.values import exact, to_int
+from eventrank.functions.values import exact, whole
 from eventrank.operators.events import select_sessions, session_dates
 from eventrank.operators.pace import race_lap_sums, race_pace_columns
 from eventrank.schemas import DRIVER_EVENT_KEYS, SESSION_KEYS
@@ -27,12 +27,12 @@ def dated_results(results: DataFrame, sessions: DataFrame, *names: str) -> DataF
     """Results of the named sessions with the number and date the calendar gives them."""
     calendar = select_sessions(session_dates(sessions), *names)
     return select_sessions(results.drop("event_number"), *names).join(calendar, SESSION_KEYS).select(
-        F.col("event_year").cast("int").alias("event_year"),
+        whole(results, "event_year"),
         "event",
-        to_int(F.col("driver_number")).alias("driver_number"),
+        whole(results, "driver_number"),
         "event_number",
         F.col("session_date_utc").alias("at"),
-        to_int(F.col("finishing_position")).alias("finish"),
+        whole(results, "finishing_position").alias("finish"),
         F.coalesce(F.col("is_retired").try_cast("boolean"), F.lit(False)).alias("retired"),
         _points().alias("points"),
     )
@@ -76,12 +76,12 @@ def last_races(targets: DataFrame, results: DataFrame, sessions: DataFrame, dept
     last ``depth``, so the collected list is bounded by ``depth`` times the races of a season.
     """
     row = ["event_year", "driver_number", "at", "event_number", "finish", "retired", "points"]
+    race = F.struct("event_number", "finish", "retired", "points")
     raced = (
         dated_results(results, sessions, "R")
         .groupBy(*row)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("race", F.struct("event_number", "finish", "retired", "points"))
-        .withColumn("races", F.array_repeat("race", F.least(F.col("copies"), F.lit(depth)).cast("int")))
+        .withColumn("races", F.array_repeat(race, F.least(F.col("copies"), F.lit(depth)).cast("int")))
     )
     seen = _timeline(targets, raced, ["races"]).withColumn("seen", F.collect_list("races").over(_before()))
     asked = seen.where((F.col("kind") == TARGET) & (F.size("seen") > 0)).withColumn(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventrank.functions.values import milliseconds, to_int, valid_lap
+from eventrank.functions.values import milliseconds, valid_lap, whole
 from eventrank.schemas import DRIVER_EVENT_KEYS
 
 COMPOUNDS = ["SOFT", "MEDIUM", "HARD"]
@@ -36,9 +36,9 @@ def lap_cells(laps: DataFrame, groups: list[str]) -> DataFrame:
     """Valid laps reduced to one row per driver, event, group and distinct lap time."""
     grouped = laps.where(valid_lap()).withColumn("pace_group", pace_group())
     selected = grouped.where(F.col("pace_group").isin(groups)).select(
-        F.col("event_year").cast("int").alias("event_year"),
+        whole(laps, "event_year"),
         "event",
-        to_int(F.col("driver_number")).alias("driver_number"),
+        whole(laps, "driver_number"),
         "pace_group",
         milliseconds(F.col("lap_time_seconds")).alias("lap_ms"),
         *SECTORS,
@@ -57,11 +57,8 @@ def _ranked(cells: DataFrame) -> DataFrame:
     """Cells with the ranks they cover; partitioned by driver and event so that no later step shuffles again."""
     group = Window.partitionBy(*DRIVER_EVENT_KEYS, "pace_group")
     upto = group.orderBy("lap_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        cells.repartition(*DRIVER_EVENT_KEYS)
-        .withColumn("upto", F.sum("laps").over(upto))
-        .withColumn("total", F.sum("laps").over(group))
-    )
+    sums = {"upto": F.sum("laps").over(upto), "total": F.sum("laps").over(group)}
+    return cells.repartition(*DRIVER_EVENT_KEYS).withColumns(sums)
 
 
 def _covers(rank: Column) -> Column:
@@ -155,9 +152,9 @@ def compound_best(laps: DataFrame) -> DataFrame:
 def race_lap_sums(laps: DataFrame) -> DataFrame:
     """Exact sums over the valid race laps of each driver and event."""
     race = laps.where(valid_lap() & (F.col("session") == "R")).select(
-        F.col("event_year").cast("int").alias("event_year"),
+        whole(laps, "event_year"),
         "event",
-        to_int(F.col("driver_number")).alias("driver_number"),
+        whole(laps, "driver_number"),
         milliseconds(F.col("lap_time_seconds")).alias("lap_ms"),
         F.lit(1).cast("bigint").alias("laps"),
     )

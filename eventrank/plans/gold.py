@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventrank.functions.values import to_int
+from eventrank.functions.values import whole
 from eventrank.operators.events import (
     driver_targets,
     qualifying_targets,
@@ -45,15 +45,15 @@ def _with_pace(targets: DataFrame, laps: DataFrame, sessions: DataFrame) -> Data
     groups = ["practice", "qualifying", "sprint_qualifying", "race"]
     raced = race_events(sessions).withColumn("raced", F.lit(True))
     pace = pace_summary(laps, groups).join(raced, EVENT_KEYS, "left")
-    for c in RACE_SUMS:
-        pace = pace.withColumn(c, F.when(F.col("raced"), F.col(c)))
-    both = targets.withColumn("is_target", F.lit(True)).join(pace.drop("raced"), DRIVER_EVENT_KEYS, "full")
+    counted = {c: F.when(F.col("raced"), F.col(c)) for c in RACE_SUMS}
+    both = targets.withColumn("is_target", F.lit(True)).join(
+        pace.withColumns(counted).drop("raced"), DRIVER_EVENT_KEYS, "full"
+    )
     earlier = Window.partitionBy("event", "driver_number").orderBy("event_year").rangeBetween(-YEARS_BACK, -1)
-    for c in RACE_SUMS:
-        both = both.withColumn(f"past_{c}", F.sum(c).over(earlier))
-    past = race_pace_columns(*[F.col(f"past_{c}") for c in RACE_SUMS])
-    kept = [c for c in both.columns if c not in (*RACE_SUMS, "is_target") and not c.startswith("past_")]
-    return both.where(F.col("is_target")).select(*kept, *past)
+    past = {f"past_{c}": F.sum(c).over(earlier) for c in RACE_SUMS}
+    kept = [c for c in both.columns if c not in (*RACE_SUMS, "is_target")]
+    history = race_pace_columns(*[F.col(c) for c in past])
+    return both.withColumns(past).where(F.col("is_target")).select(*kept, *history)
 
 
 def gold_features(
@@ -82,10 +82,10 @@ def gold_features(
 
 def race_labels(results: DataFrame) -> DataFrame:
     return select_sessions(results, "R").select(
-        F.col("event_year").cast("int").alias("event_year"),
+        whole(results, "event_year"),
         "event",
-        to_int(F.col("driver_number")).alias("driver_number"),
-        to_int(F.col("finishing_position")).alias("race_finishing_position"),
+        whole(results, "driver_number"),
+        whole(results, "finishing_position").alias("race_finishing_position"),
         F.col("time_seconds").alias("race_time_seconds"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventrank.functions import values as v
-from eventrank.functions.text import clear_tokens, session_type, snake_columns
+from eventrank.functions.text import clear_tokens, null_if_token, session_type, snake_columns
 from eventrank.schemas import SILVER_LAP_COLUMNS, SILVER_RESULT_COLUMNS, prioritise
 
 # Columns of the two tables by type.
@@ -26,10 +26,34 @@ RESULT_TEXT = (
 RESULT_TIMES = "q1_seconds q2_seconds q3_seconds time_seconds".split()
 
 
-def _reader(df: DataFrame):
-    """Column by name; a column the files do not have reads as NULL."""
-    have = set(df.columns)
-    return lambda name: F.col(name) if name in have else F.lit(None).cast("string")
+class _Rows:
+    """Columns of raw rows by name and kind.
+
+    A column the files do not have reads as NULL, and one that already has its type is left as it is. Only text
+    needs the null tokens cleared: they are no numbers and no flags, so those casts turn them into NULL anyway.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = snake_columns(df)
+        self.types = dict(self.df.dtypes)
+
+    def raw(self, name: str) -> Column:
+        return F.col(name) if name in self.types else F.lit(None).cast("string")
+
+    def text(self, name: str) -> Column:
+        return null_if_token(self.raw(name)) if self.types.get(name) == "string" else self.raw(name).cast("string")
+
+    def double(self, name: str) -> Column:
+        return self.raw(name) if self.types.get(name) == "double" else v.to_double(self.raw(name))
+
+    def whole(self, name: str) -> Column:
+        kind = self.types.get(name)
+        if kind in ("int", "bigint", "smallint"):
+            return self.raw(name).cast("int")
+        return F.rint(self.double(name)).try_cast("int")
+
+    def flag(self, name: str) -> Column:
+        return self.raw(name) if self.types.get(name) == "boolean" else v.parse_bool(self.raw(name))
 
 
 def bronze_rows(df: DataFrame) -> DataFrame:
@@ -37,20 +61,17 @@ def bronze_rows(df: DataFrame) -> DataFrame:
 
 
 def silver_laps(bronze: DataFrame) -> DataFrame:
-    rows = bronze_rows(bronze)
-    read = _reader(rows)
-    columns: dict[str, Column] = {c: read(c).cast("string") for c in LAP_TEXT}
-    columns |= {c: v.to_int(read(c)) for c in LAP_INTS}
-    columns |= {c: v.parse_bool(read(c)) for c in LAP_BOOLS}
-    columns |= {c: v.round_ms(v.to_double(read(c))) for c in LAP_TIMES}
-    columns |= {c: v.to_double(read(c)) for c in LAP_DOUBLES}
+    rows = _Rows(bronze)
+    columns: dict[str, Column] = {c: rows.text(c) for c in LAP_TEXT}
+    columns |= {c: rows.whole(c) for c in LAP_INTS}
+    columns |= {c: rows.flag(c) for c in LAP_BOOLS}
+    columns |= {c: v.round_ms(rows.double(c)) for c in LAP_TIMES}
+    columns |= {c: rows.double(c) for c in LAP_DOUBLES}
     # Two spellings of one column are in use; the first is the canonical one.
-    columns["fastf1_generated"] = F.coalesce(
-        v.parse_bool(read("fastf1_generated")), v.parse_bool(read("fast_f1_generated"))
-    )
-    columns["compound"] = F.upper(read("compound"))
-    columns["lap_start_date"] = read("lap_start_date").try_cast("timestamp_ntz")
-    typed = rows.select(*[c.alias(name) for name, c in columns.items()])
+    columns["fastf1_generated"] = F.coalesce(rows.flag("fastf1_generated"), rows.flag("fast_f1_generated"))
+    columns["compound"] = F.upper(rows.text("compound"))
+    columns["lap_start_date"] = rows.raw("lap_start_date").try_cast("timestamp_ntz")
+    typed = rows.df.select(*[c.alias(name) for name, c in columns.items()])
     sectors = [F.col(f"sector{i}_time_seconds") for i in (1, 2, 3)]
     derived = typed.withColumns({
         "is_pit_lap": F.col("pit_in_time_seconds").isNotNull() | F.col("pit_out_time_seconds").isNotNull(),
@@ -94,17 +115,16 @@ def position_change() -> Column:
 
 
 def silver_results(bronze: DataFrame) -> DataFrame:
-    rows = bronze_rows(bronze)
-    read = _reader(rows)
-    columns: dict[str, Column] = {c: read(c).cast("string") for c in RESULT_TEXT}
-    columns |= position_columns(read("position").cast("string"), read("classified_position").cast("string"))
-    columns |= {c: v.to_int(read(c)) for c in ("event_year", "driver_number", "laps")}
-    columns["grid_starting_position"] = v.to_int(read("grid_position"))
-    columns |= {c: v.round_ms(v.to_double(read(c))) for c in RESULT_TIMES}
-    columns["points"] = v.to_double(read("points"))
-    columns["status"] = F.trim(read("status"))
-    columns["session_type"] = session_type(read("session_name"))
-    typed = rows.select(*[c.alias(name) for name, c in columns.items()])
+    rows = _Rows(bronze)
+    columns: dict[str, Column] = {c: rows.text(c) for c in RESULT_TEXT}
+    columns |= position_columns(rows.text("position"), rows.text("classified_position"))
+    columns |= {c: rows.whole(c) for c in ("event_year", "driver_number", "laps")}
+    columns["grid_starting_position"] = rows.whole("grid_position")
+    columns |= {c: v.round_ms(rows.double(c)) for c in RESULT_TIMES}
+    columns["points"] = rows.double("points")
+    columns["status"] = F.trim(rows.text("status"))
+    columns["session_type"] = session_type(rows.text("session_name"))
+    typed = rows.df.select(*[c.alias(name) for name, c in columns.items()])
     flagged = typed.withColumns({**session_flags(F.col("session_type")), **completeness_flags()})
     return prioritise(flagged.withColumn("position_change", position_change()), SILVER_RESULT_COLUMNS)
 

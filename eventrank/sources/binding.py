@@ -7,11 +7,9 @@ result per driver and session, lap times that are whole milliseconds, one weathe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrank.functions.values import exact
-from eventrank.schemas import SESSION_KEYS
 from eventrank.sources.tables import table
 
 # Month -> event name and its slug. The last one has no known coordinates.
@@ -34,147 +32,133 @@ EVENT_NAMES = {
 SLOTS = [("P1", "03", "12"), ("X", "05", "12"), ("S", "06", "12"), ("Q", "10", "14"), ("R", "20", "13")]
 
 
-def event_columns(when: Column) -> list[Column]:
-    names = F.create_map(*[F.lit(v) for k, (name, _) in EVENT_NAMES.items() for v in (k, name)])
-    slugs = F.create_map(*[F.lit(v) for k, (_, slug) in EVENT_NAMES.items() for v in (k, slug)])
-    month = F.month(when)
+_NAME = " ".join(f"WHEN {month} THEN '{name}'" for month, (name, _) in EVENT_NAMES.items())
+_SLUG = " ".join(f"WHEN {month} THEN '{slug}'" for month, (_, slug) in EVENT_NAMES.items())
+
+
+def event_columns(when: str) -> list[str]:
+    """Year, number, slug and name of the event that a time stamp falls into."""
     return [
-        F.year(when).alias("event_year"),
-        month.alias("event_number"),
-        slugs[month].alias("event"),
-        names[month].alias("event_name"),
+        f"year({when}) AS event_year",
+        f"month({when}) AS event_number",
+        f"CASE month({when}) {_SLUG} END AS event",
+        f"CASE month({when}) {_NAME} END AS event_name",
     ]
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(*event_columns(F.col("o_orderdate"))).distinct()
+    return table(spark, folder, "orders").selectExpr(*event_columns("o_orderdate")).distinct()
 
 
 def results(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    customer = table(spark, folder, "customer")
-    status = F.col("o_orderstatus")
-    session = (
-        F.when(status == "F", "R")
-        .when(status == "O", "Q")
-        .when(F.month("o_orderdate") % 3 == 0, "S")
-        .otherwise("P1")
-    )
-    standing = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            *event_columns(F.col("o_orderdate")),
-            session.alias("session"),
-            F.col("c_nationkey").alias("driver_number"),
-            exact(F.col("o_totalprice"), 2).alias("price"),
-            (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+    """One row per nation and session; a session's order is therefore a window over at most 25 rows."""
+    keys = ["event_year", "event_number", "event", "event_name", "session", "driver_number"]
+    raced = (
+        table(spark, folder, "orders")
+        .join(table(spark, folder, "customer"), on=_same("o_custkey", "c_custkey"))
+        .selectExpr(
+            *event_columns("o_orderdate"),
+            """CASE WHEN o_orderstatus = 'F' THEN 'R' WHEN o_orderstatus = 'O' THEN 'Q'
+                    WHEN month(o_orderdate) % 3 = 0 THEN 'S' ELSE 'P1' END AS session""",
+            "c_nationkey AS driver_number",
+            "cast(o_totalprice AS decimal(18,2)) AS price",
+            "o_orderpriority = '1-URGENT' AS urgent",
+        )
+        .groupBy(*keys)
+        .agg({"price": "sum", "urgent": "max", "*": "count"})
+        .selectExpr(
+            *keys, "`sum(price)` AS total", "`max(urgent)` AS is_retired", "cast(`count(1)` AS int) AS laps",
+            """row_number() OVER (PARTITION BY event_year, event, session
+                                  ORDER BY `sum(price)` DESC, driver_number) AS pos""",
         )
-        .groupBy("event_year", "event_number", "event", "event_name", "session", "driver_number")
-        .agg(F.sum("price").alias("total"), F.max("urgent").alias("is_retired"), F.count(F.lit(1)).alias("laps"))
     )
-    # One row per nation and session is left, so a session's order is a window over at most 25 rows.
-    order = Window.partitionBy(*SESSION_KEYS).orderBy(F.desc("total"), "driver_number")
-    ranked = standing.withColumn("pos", F.row_number().over(order))
-    number = F.col("driver_number").cast("string")
-    team = (F.col("driver_number") % 10).cast("string")
-    pos = F.col("pos")
-    return ranked.select(
-        "event_year", "event_number", "event", "event_name", "session", "driver_number",
-        F.concat(F.lit("d"), number).alias("driver_id"),
-        F.concat(F.lit("Driver "), number).alias("full_name"),
-        F.concat(F.lit("D"), F.lpad(number, 2, "0")).alias("abbreviation"),
-        F.concat(F.lit("t"), team).alias("team_id"),
-        F.concat(F.lit("Team "), team).alias("team_name"),
-        F.concat(F.lit("#00000"), team).alias("team_color"),
-        F.when(~(F.col("is_retired") & (pos > 12)), pos).alias("finishing_position"),
-        (26 - pos).alias("grid_starting_position"),
+    return raced.selectExpr(
+        *keys,
+        "concat('d', driver_number) AS driver_id",
+        "concat('Driver ', driver_number) AS full_name",
+        "concat('D', lpad(driver_number, 2, '0')) AS abbreviation",
+        "concat('t', driver_number % 10) AS team_id",
+        "concat('Team ', driver_number % 10) AS team_name",
+        "concat('#00000', driver_number % 10) AS team_color",
+        "CASE WHEN NOT (is_retired AND pos > 12) THEN pos END AS finishing_position",
+        "26 - pos AS grid_starting_position",
         "is_retired",
-        F.col("total").cast("double").alias("points"),
-        (60 + pos * 0.125).alias("q1_seconds"),
-        F.when(pos <= 15, 59 + pos * 0.125).alias("q2_seconds"),
-        F.when(pos <= 10, 58 + pos * 0.125).alias("q3_seconds"),
-        F.when(~F.col("is_retired"), 5400 + pos * 1.5).alias("time_seconds"),
-        F.col("laps").cast("int").alias("laps"),
+        "cast(total AS double) AS points",
+        "60 + pos * 0.125D AS q1_seconds",
+        "CASE WHEN pos <= 15 THEN 59 + pos * 0.125D END AS q2_seconds",
+        "CASE WHEN pos <= 10 THEN 58 + pos * 0.125D END AS q3_seconds",
+        "CASE WHEN NOT is_retired THEN 5400 + pos * 1.5D END AS time_seconds",
+        "laps",
     )
 
 
 def laps(spark: SparkSession, folder: str) -> DataFrame:
-    lineitem = table(spark, folder, "lineitem")
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, folder, "part").select("p_partkey", "p_retailprice", "p_type")
-    shipped, flag = F.col("l_shipdate"), F.col("l_returnflag")
-    sprint = (F.month(shipped) % 3 == 0) & (F.col("l_linestatus") == "F")
-    session = (
-        F.when(flag == "A", "R")
-        .when(flag == "N", "Q")
-        .when(sprint & (F.year(shipped) < 1998), "SS")
-        .when(sprint, "SQ")
-        .otherwise("P1")
-    )
-    kind = F.create_map(
-        *[F.lit(v) for pair in (("R", "race"), ("Q", "qualifying"), ("SS", "sprint_shootout"),
-                                ("SQ", "sprint_qualifying"), ("P1", "practice")) for v in pair]
-    )
-    joined = lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey")
-    )
-    timed = joined.select(
-        "*",
-        F.expr("(cast(round(l_extendedprice * 100) as bigint) * 20 + cast(l_quantity as bigint))"
-               " div (2 * cast(l_quantity as bigint))").alias("ms"),
+    timed = (
+        table(spark, folder, "lineitem")
+        .join(table(spark, folder, "supplier"), on=_same("l_suppkey", "s_suppkey"))
+        .join(table(spark, folder, "part"), on=_same("l_partkey", "p_partkey"))
+        .selectExpr(
+            *event_columns("l_shipdate"),
+            """CASE WHEN l_returnflag = 'A' THEN 'R' WHEN l_returnflag = 'N' THEN 'Q'
+                    WHEN month(l_shipdate) % 3 = 0 AND l_linestatus = 'F'
+                      THEN CASE WHEN year(l_shipdate) < 1998 THEN 'SS' ELSE 'SQ' END
+                    ELSE 'P1' END AS session""",
+            "s_nationkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "p_retailprice", "p_type",
+            """(cast(round(l_extendedprice * 100) AS bigint) * 20 + cast(l_quantity AS bigint))
+               div (2 * cast(l_quantity AS bigint)) AS ms""",
+        )
     )
-    ms, quarter = F.col("ms"), F.expr("ms div 4")
-    return timed.select(
-        *event_columns(shipped),
-        session.alias("session"),
-        kind[session].alias("session_type"),
-        F.col("s_nationkey").alias("driver_number"),
-        F.col("l_linenumber").alias("lap_number"),
-        F.when(F.col("l_quantity") != 1, ms / 1000).alias("lap_time_seconds"),
-        F.when(F.col("l_tax") != 0, quarter / 1000).alias("sector1_time_seconds"),
-        (quarter / 1000).alias("sector2_time_seconds"),
-        ((ms - 2 * quarter) / 1000).alias("sector3_time_seconds"),
-        F.col("p_retailprice").alias("speed_fl"),
-        F.col("l_quantity").alias("speed_st"),
-        F.when(F.col("p_type") == "SMALL", "SOFT")
-        .when(F.col("p_type") == "MEDIUM", "MEDIUM")
-        .when(F.col("p_type") == "LARGE", "HARD")
-        .alias("compound"),
-        F.when(F.col("l_discount") != 0, F.col("l_discount") >= 0.1).alias("deleted"),
-        (F.col("l_quantity") >= 49).alias("is_pit_lap"),
-        F.when(F.col("l_tax") != 0, F.col("l_tax") < 0.08).alias("is_accurate"),
+    return timed.selectExpr(
+        "event_year", "event_number", "event", "event_name", "session",
+        """CASE session WHEN 'R' THEN 'race' WHEN 'Q' THEN 'qualifying' WHEN 'SS' THEN 'sprint_shootout'
+             WHEN 'SQ' THEN 'sprint_qualifying' ELSE 'practice' END AS session_type""",
+        "s_nationkey AS driver_number",
+        "l_linenumber AS lap_number",
+        "CASE WHEN l_quantity <> 1 THEN ms / 1000 END AS lap_time_seconds",
+        "CASE WHEN l_tax <> 0 THEN (ms div 4) / 1000 END AS sector1_time_seconds",
+        "(ms div 4) / 1000 AS sector2_time_seconds",
+        "(ms - 2 * (ms div 4)) / 1000 AS sector3_time_seconds",
+        "p_retailprice AS speed_fl",
+        "l_quantity AS speed_st",
+        """CASE p_type WHEN 'SMALL' THEN 'SOFT' WHEN 'MEDIUM' THEN 'MEDIUM' WHEN 'LARGE' THEN 'HARD' END
+           AS compound""",
+        "CASE WHEN l_discount <> 0 THEN l_discount >= 0.1D END AS deleted",
+        "l_quantity >= 49 AS is_pit_lap",
+        "CASE WHEN l_tax <> 0 THEN l_tax < 0.08D END AS is_accurate",
     )
 
 
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
-    slots = F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(d).alias("day"), F.lit(h).alias("hour")) for s, d, h in SLOTS])
-    slot = F.col("s.slot")
+    slots = ", ".join(f"('{slot}', '{day}', '{hour}')" for slot, day, hour in SLOTS)
     return (
         events(spark, folder)
-        .select("*", F.explode(slots).alias("s"))
-        .where(slot.isin("P1", "Q", "R") | (F.col("event_number") % 3 == 0))
-        .select(
+        .selectExpr("*", f"inline(array({slots})) AS (slot, day, hour)")
+        .where("slot IN ('P1', 'Q', 'R') OR event_number % 3 = 0")
+        .selectExpr(
             "event_year", "event_number", "event", "event_name",
-            F.when(slot != "X", slot).when(F.col("event_year") < 1998, "SS").otherwise("SQ").alias("session"),
-            F.concat(
-                F.col("event_year").cast("string"), F.lit("-"), F.lpad(F.col("event_number").cast("string"), 2, "0"),
-                F.lit("-"), F.col("s.day"), F.lit("T"), F.col("s.hour"), F.lit(":00:00Z"),
-            ).alias("session_date_utc"),
+            "CASE WHEN slot <> 'X' THEN slot WHEN event_year < 1998 THEN 'SS' ELSE 'SQ' END AS session",
+            "concat(event_year, '-', lpad(event_number, 2, '0'), '-', day, 'T', hour, ':00:00Z') AS session_date_utc",
         )
     )
 
 
 def weather(spark: SparkSession, folder: str) -> DataFrame:
     """One row per event but for the last month of a season, which has none."""
-    when = F.col("o_orderdate")
-    orders = table(spark, folder, "orders").where(F.month(when) != 12)
     return (
-        orders.select(*event_columns(when), "o_totalprice")
+        table(spark, folder, "orders")
+        .where("month(o_orderdate) <> 12")
+        .selectExpr(*event_columns("o_orderdate"), "o_totalprice AS high", "o_totalprice AS low")
         .groupBy("event_year", "event")
-        .agg(
-            ((F.count(F.lit(1)) % 5).cast("double") * 0.5).alias("precipitation_sum_mm"),
-            (F.max("o_totalprice") / 1000).alias("temperature_max_c"),
-            (F.min("o_totalprice") / 1000).alias("temperature_min_c"),
-            (F.count(F.lit(1)) % 40).cast("double").alias("wind_speed_max_kmh"),
+        .agg({"high": "max", "low": "min", "*": "count"})
+        .selectExpr(
+            "event_year", "event",
+            "(`count(1)` % 5) * 0.5D AS precipitation_sum_mm",
+            "`max(high)` / 1000 AS temperature_max_c",
+            "`min(low)` / 1000 AS temperature_min_c",
+            "cast(`count(1)` % 40 AS double) AS wind_speed_max_kmh",
         )
     )
+
+
+def _same(left: str, right: str):
+    return F.expr(f"{left} = {right}")
