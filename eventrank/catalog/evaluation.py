@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
-from eventrank.catalog.features import DATED, LAST3, POINTS, TRAINING_STEPS, bound_targets, bound_training
+from eventrank.catalog.features import DATED, LAST3, POINTS, TRAINING_STEPS, bound_form, bound_targets, bound_training
 from eventrank.catalog.registry import register
-from eventrank.catalog.storage import rolling_features
 from eventrank.operators import evaluation as e
 from eventrank.operators import events as ev
 from eventrank.operators import quality
-from eventrank.operators.history import season_points_to_date
+from eventrank.operators.history import season_form
 from eventrank.plans.gold import training_dataset
 from eventrank.schemas import DRIVER_EVENT_KEYS
 from eventrank.sources import binding, lake
@@ -288,8 +287,7 @@ GROUP BY 1"""))
 def leakage_audit(spark, folder):
     targets = bound_targets(spark, folder)
     results, sessions = binding.results(spark, folder), binding.sessions(spark, folder)
-    features = targets.join(season_points_to_date(targets, results, sessions), DRIVER_EVENT_KEYS, "left")
-    return quality.leakage_audit(features, results, sessions)
+    return quality.leakage_audit(season_form(targets, results, sessions), results, sessions)
 
 
 def _range(label: str, event: str) -> str:
@@ -311,7 +309,7 @@ FROM (
         UNION ALL SELECT event, 'last3_race_count', CAST(last3_race_count AS DOUBLE) FROM roll)
   GROUP BY 1)"""))
 def rolling_plausibility(spark, folder):
-    ranges = quality.rolling_plausibility(rolling_features(spark, folder), YEAR, EARLY, LATE)
+    ranges = quality.rolling_plausibility(bound_form(spark, folder), YEAR, EARLY, LATE)
     return _rounded(ranges, "early_mean", "late_mean", digits=4)
 
 
@@ -323,7 +321,7 @@ SELECT a.abbreviation, a.season_points_to_date AS early_season_points_to_date,
        WHEN b.season_points_to_date < a.season_points_to_date THEN 'CHECK' END AS verdict
 FROM roll a JOIN roll b ON a.abbreviation = b.abbreviation AND a.event = '{EARLY}' AND b.event = '{LATE}'"""))
 def rolling_compare(spark, folder):
-    return quality.rolling_compare(rolling_features(spark, folder), YEAR, EARLY, LATE)
+    return quality.rolling_compare(bound_form(spark, folder), YEAR, EARLY, LATE)
 
 
 @register(with_binding(DATED, "SELECT count(*) AS targets, CAST(0 AS BIGINT) AS repeated_keys FROM dated"))

@@ -243,18 +243,22 @@ def sprint_qualifying_pace(spark, folder):
     return pace.sprint_qualifying_pace(binding.laps(spark, folder))
 
 
-@register(with_binding(DATED, POINTS))
-def season_points_to_date(spark, folder):
-    return history.season_points_to_date(
+def bound_form(spark, folder):
+    return history.season_form(
         bound_targets(spark, folder), binding.results(spark, folder), binding.sessions(spark, folder)
     )
 
 
+@register(with_binding(DATED, POINTS))
+def season_points_to_date(spark, folder):
+    column = "season_points_to_date"
+    return bound_form(spark, folder).select(*DRIVER_EVENT_KEYS, column).dropna(subset=[column])
+
+
 @register(with_binding(DATED, LAST3))
 def last3_form(spark, folder):
-    return history.last_races(
-        bound_targets(spark, folder), binding.results(spark, folder), binding.sessions(spark, folder)
-    )
+    columns = ["last3_race_points", "last3_avg_finish", "last3_dnfs", "last3_race_count"]
+    return bound_form(spark, folder).select(*DRIVER_EVENT_KEYS, *columns).dropna(subset=["last3_race_count"])
 
 
 @register(with_binding(DATED, CIRCUIT))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
-from eventrank.catalog.features import DATED, LAST3, POINTS, bound_targets
+from eventrank.catalog.features import DATED, LAST3, POINTS, bound_form, bound_targets
 from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
-from eventrank.operators import history
 from eventrank.schemas import SESSION_KEYS
 from eventrank.sources import binding, calendar, lake
 from eventrank.sources.session import scratch_folder
@@ -124,7 +123,7 @@ SELECT event_year, event, driver_number, season_points_to_date, last3_race_point
 FROM dated LEFT JOIN ph USING (event_year, event, driver_number) LEFT JOIN l3 USING (event_year, event, driver_number)"""))
 def csv_roundtrip(spark, folder):
     path = scratch_folder(spark, "csv")
-    lake.write_csv(rolling_features(spark, folder).select(*ROLLING), path)
+    lake.write_csv(bound_form(spark, folder).select(*ROLLING), path)
     return lake.read_csv(
         spark, path,
         "event_year int, event string, driver_number int, season_points_to_date double, last3_race_points double,"
@@ -132,15 +131,6 @@ def csv_roundtrip(spark, folder):
     )
 
 
-def rolling_features(spark, folder):
-    targets = bound_targets(spark, folder)
-    results, sessions = binding.results(spark, folder), binding.sessions(spark, folder)
-    keys = ["event_year", "event", "driver_number"]
-    return targets.join(history.season_points_to_date(targets, results, sessions), keys, "left").join(
-        history.last_races(targets, results, sessions), keys, "left"
-    )
-
-
 @register(with_binding(TRACKING, "SELECT * FROM t"))
 def tracking_dump(spark, folder):
     path = scratch_folder(spark, "dump")

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from eventrank.functions.values import exact, whole
 from eventrank.operators.events import select_sessions, session_dates
 from eventrank.operators.pace import race_lap_sums, race_pace_columns
-from eventrank.schemas import DRIVER_EVENT_KEYS, SESSION_KEYS
+from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, SESSION_KEYS
 
 YEARS_BACK = 3
 RACES_BACK = 3
 TARGET, FACT = 0, 1
+RESULT_SUMS = ["finish_sum", "finishes", "points_sum", "races"]
+LAP_SUMS = ["race_laps", "race_ms", "race_ms_squares"]
 
 
 def _points() -> Column:
@@ -29,6 +31,7 @@ def dated_results(results: DataFrame, sessions: DataFrame, *names: str) -> DataF
     return select_sessions(results.drop("event_number"), *names).join(calendar, SESSION_KEYS).select(
         whole(results, "event_year"),
         "event",
+        "session",
         whole(results, "driver_number"),
         "event_number",
         F.col("session_date_utc").alias("at"),
@@ -38,77 +41,60 @@ def dated_results(results: DataFrame, sessions: DataFrame, *names: str) -> DataF
     )
 
 
-def _timeline(targets: DataFrame, facts: DataFrame, payload: list[str]) -> DataFrame:
-    """Targets and facts of a driver's season on one axis; on equal times the target stands first."""
-    asked = targets.where(F.col("qualifying_session_date_utc").isNotNull()).select(
-        "event_year", "driver_number", F.col("event").alias("target_event"),
-        F.col("qualifying_session_date_utc").alias("at"), F.lit(TARGET).alias("kind"),
-    )
-    known = facts.where(F.col("at").isNotNull()).select(
-        "event_year", "driver_number", "at", F.lit(FACT).alias("kind"), *payload
-    )
-    return asked.unionByName(known, allowMissingColumns=True)
-
-
-def _before() -> Window:
-    season = Window.partitionBy("event_year", "driver_number").orderBy("at", "kind")
-    return season.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def season_points_to_date(targets: DataFrame, results: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Points of the races and sprints that began strictly before the target's qualifying."""
-    scored = (
-        dated_results(results, sessions, "R", "S")
-        .groupBy("event_year", "driver_number", "at")
-        .agg(F.sum("points").alias("points"))
-    )
-    running = _timeline(targets, scored, ["points"]).withColumn("so_far", F.sum("points").over(_before()))
-    return running.where((F.col("kind") == TARGET) & F.col("so_far").isNotNull()).select(
-        "event_year", F.col("target_event").alias("event"), "driver_number",
-        F.col("so_far").cast("double").alias("season_points_to_date"),
-    )
-
-
-def last_races(targets: DataFrame, results: DataFrame, sessions: DataFrame, depth: int = RACES_BACK) -> DataFrame:
-    """Form over the last ``depth`` races before the target: eligible by date, ordered by event number.
+def season_form(targets: DataFrame, results: DataFrame, sessions: DataFrame, depth: int = RACES_BACK) -> DataFrame:
+    """Targets with their driver's season so far: points of all races and sprints, and form over the last races.
 
-    Equal result rows are counted instead of carried, and a copy beyond the ``depth``-th can never be among the
-    last ``depth``, so the collected list is bounded by ``depth`` times the races of a season.
+    Targets and dated results of a driver's season are put on one time axis, equal times with the target first,
+    so that a running window sees what began strictly before. The last races are eligible by date and ordered by
+    event number. Equal result rows are counted instead of carried; a copy beyond the ``depth``-th can never be
+    among the last ``depth``, so the collected list is bounded by ``depth`` times the races of a season.
     """
-    row = ["event_year", "driver_number", "at", "event_number", "finish", "retired", "points"]
+    row = ["event_year", "driver_number", "at", "session", "event_number", "finish", "retired", "points"]
     race = F.struct("event_number", "finish", "retired", "points")
-    raced = (
-        dated_results(results, sessions, "R")
+    copies = F.least(F.col("copies"), F.lit(depth)).cast("int")
+    facts = (
+        dated_results(results, sessions, "R", "S")
+        .where(F.col("at").isNotNull())
         .groupBy(*row)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("races", F.array_repeat(race, F.least(F.col("copies"), F.lit(depth)).cast("int")))
-    )
-    seen = _timeline(targets, raced, ["races"]).withColumn("seen", F.collect_list("races").over(_before()))
-    asked = seen.where((F.col("kind") == TARGET) & (F.size("seen") > 0)).withColumn(
-        "last", F.slice(F.sort_array(F.flatten("seen"), asc=False), 1, depth)
+        .select(
+            "event_year", "driver_number", "at", F.lit(FACT).alias("kind"),
+            (F.col("points") * F.col("copies")).cast("decimal(28,4)").alias("scored"),
+            F.when(F.col("session") == "R", F.array_repeat(race, copies)).alias("races"),
+        )
     )
-    finishes = F.filter("last.finish", lambda x: x.isNotNull())
+    asked = targets.withColumns({"at": F.col("qualifying_session_date_utc"), "kind": F.lit(TARGET)})
+    season = Window.partitionBy("event_year", "driver_number").orderBy("at", "kind")
+    before = season.rowsBetween(Window.unboundedPreceding, -1)
+    seen = {
+        "season_points_to_date": F.sum("scored").over(before).cast("double"),
+        "seen": F.collect_list("races").over(before),
+    }
+    on_axis = asked.unionByName(facts, allowMissingColumns=True).withColumns(seen).where(F.col("kind") == TARGET)
+    latest = F.slice(F.sort_array(F.flatten("seen"), asc=False), 1, depth)
+    counted = on_axis.withColumn("last", F.when(F.size("seen") > 0, latest))
     zero = F.lit(0).cast("decimal(38,4)")
     points = F.aggregate("last.points", zero, lambda a, x: (a + x).cast("decimal(38,4)"))
-    finish_sum = F.aggregate(finishes, F.lit(0), lambda a, x: a + x)
-    return asked.select(
-        "event_year", F.col("target_event").alias("event"), "driver_number",
+    finishes = F.filter("last.finish", lambda x: x.isNotNull())
+    places = F.aggregate(finishes, F.lit(0), lambda a, x: a + x)
+    known = F.col("last").isNotNull()
+    return counted.select(
+        *targets.columns,
+        "season_points_to_date",
         points.cast("double").alias("last3_race_points"),
-        F.try_divide(finish_sum.cast("double"), F.size(finishes)).alias("last3_avg_finish"),
-        F.size(F.filter("last.retired", lambda x: x)).cast("bigint").alias("last3_dnfs"),
-        F.size("last").cast("bigint").alias("last3_race_count"),
+        F.when(known, F.try_divide(places.cast("double"), F.size(finishes))).alias("last3_avg_finish"),
+        F.when(known, F.size(F.filter("last.retired", lambda x: x))).cast("bigint").alias("last3_dnfs"),
+        F.when(known, F.size("last")).cast("bigint").alias("last3_race_count"),
     )
 
 
-def _carried_forward(per_year: DataFrame, years: int = YEARS_BACK) -> DataFrame:
-    """Each yearly sum once for every later season that may look back on it."""
-    year = F.col("event_year")
-    return per_year.withColumn("event_year", F.explode(F.sequence(year + 1, year + years)))
+def race_events(sessions: DataFrame) -> DataFrame:
+    return select_sessions(sessions, "R").select(*EVENT_KEYS).distinct()
 
 
-def venue_results(targets: DataFrame, results: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Race results at the same event in the three seasons before the target."""
-    yearly = (
+def race_result_sums(results: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Exact sums over the race results of each driver and event."""
+    return (
         dated_results(results, sessions, "R")
         .groupBy(*DRIVER_EVENT_KEYS)
         .agg(
@@ -116,32 +102,39 @@ def venue_results(targets: DataFrame, results: DataFrame, sessions: DataFrame) -
             F.sum("points").alias("points_sum"), F.count(F.lit(1)).alias("races"),
         )
     )
-    past = (
-        _carried_forward(yearly)
-        .groupBy(*DRIVER_EVENT_KEYS)
-        .agg(*[F.sum(c).alias(c) for c in ("finish_sum", "finishes", "points_sum", "races")])
-        .select(
-            *DRIVER_EVENT_KEYS,
-            F.try_divide(F.col("finish_sum").cast("double"), F.col("finishes")).alias("circuit_last3y_avg_finish"),
-            (F.col("points_sum").cast("double") / F.col("races")).alias("circuit_last3y_avg_points"),
-            F.col("races").alias("circuit_last3y_race_count"),
-        )
-    )
-    return targets.select(*DRIVER_EVENT_KEYS).join(past, DRIVER_EVENT_KEYS)
 
 
-def race_events(sessions: DataFrame) -> DataFrame:
-    return select_sessions(sessions, "R").select("event_year", "event").distinct()
+def past_sums(targets: DataFrame, yearly: DataFrame, sums: list[str], years: int = YEARS_BACK) -> DataFrame:
+    """Targets with the columns of ``yearly`` and, as ``past_...``, its sums over the seasons before at the same event.
+
+    ``yearly`` has one row per driver, event and season, whatever it was made of. The full join keeps the rows of
+    seasons without a target in reach of the window; only target rows leave it. A driver has one row per season
+    there, so the window is as long as the calendar has years.
+    """
+    both = targets.withColumn("is_target", F.lit(True)).join(yearly, DRIVER_EVENT_KEYS, "full")
+    earlier = Window.partitionBy("event", "driver_number").orderBy("event_year").rangeBetween(-years, -1)
+    past = {f"past_{c}": F.sum(c).over(earlier) for c in sums}
+    return both.withColumns(past).where(F.col("is_target")).drop("is_target")
+
+
+def venue_columns() -> list[Column]:
+    races = F.col("past_races")
+    return [
+        F.try_divide(F.col("past_finish_sum").cast("double"), F.col("past_finishes")).alias("circuit_last3y_avg_finish"),
+        (F.col("past_points_sum").cast("double") / races).alias("circuit_last3y_avg_points"),
+        races.alias("circuit_last3y_race_count"),
+    ]
+
+
+def venue_results(targets: DataFrame, results: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Race results at the same event in the three seasons before the target, for targets that have any."""
+    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), race_result_sums(results, sessions), RESULT_SUMS)
+    return past.where(F.col("past_races").isNotNull()).select(*DRIVER_EVENT_KEYS, *venue_columns())
 
 
 def race_pace_history(targets: DataFrame, laps: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Race lap pace at the same event in the three seasons before the target."""
-    sums = ["race_laps", "race_ms", "race_ms_squares"]
-    yearly = race_lap_sums(laps).join(race_events(sessions), ["event_year", "event"], "left_semi")
-    past = (
-        _carried_forward(yearly)
-        .groupBy(*DRIVER_EVENT_KEYS)
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .select(*DRIVER_EVENT_KEYS, *race_pace_columns(*[F.col(c) for c in sums]))
-    )
-    return targets.select(*DRIVER_EVENT_KEYS).join(past, DRIVER_EVENT_KEYS)
+    """Race lap pace at the same event in the three seasons before the target, for targets that have any."""
+    yearly = race_lap_sums(laps).join(race_events(sessions), EVENT_KEYS, "left_semi")
+    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), yearly, LAP_SUMS)
+    pace = race_pace_columns(*[F.col(f"past_{c}") for c in LAP_SUMS])
+    return past.where(F.col("past_race_laps").isNotNull()).select(*DRIVER_EVENT_KEYS, *pace)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventrank.functions.values import whole
@@ -14,46 +14,37 @@ from eventrank.operators.events import (
     with_weather,
 )
 from eventrank.operators.history import (
+    LAP_SUMS,
+    RESULT_SUMS,
     YEARS_BACK,
-    last_races,
+    past_sums,
     race_events,
-    season_points_to_date,
-    venue_results,
+    race_result_sums,
+    season_form,
+    venue_columns,
 )
 from eventrank.operators.pace import pace_summary, race_pace_columns
 from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS
 
-RACE_SUMS = ["race_laps", "race_ms", "race_ms_squares"]
-RACE_PACE = ["hist_avg_race_lap_time", "hist_race_lap_time_std", "hist_race_laps_count"]
+PACE_GROUPS = ["practice", "qualifying", "sprint_qualifying", "race"]
 
 
-def _laps_in_reach(laps: DataFrame, event_year: int | None, event: str | None) -> DataFrame:
-    """Laps that can matter to the targets: their own event and its runnings in the seasons before."""
+def _in_reach(df: DataFrame, event_year: int | None, event: str | None) -> DataFrame:
+    """Rows that can matter to the targets: their own event and its runnings in the seasons before."""
     if event_year is not None:
-        laps = laps.where(F.col("event_year").between(int(event_year) - YEARS_BACK, int(event_year)))
-    if event is not None:
-        laps = laps.where(F.col("event") == F.lit(event))
-    return laps
+        df = df.where(F.col("event_year").between(int(event_year) - YEARS_BACK, int(event_year)))
+    return df if event is None else df.where(F.col("event") == F.lit(event))
 
 
-def _with_pace(targets: DataFrame, laps: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Pace of the event itself and of its earlier runnings, with a single pass over the laps.
+def _driver_events(results: DataFrame, laps: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Everything that is known of a driver at an event, one row each: pace of all sessions and race sums.
 
-    Targets and pace rows are matched with a full join, so that the rows of earlier seasons stay in reach of the
-    window that looks back over the same event and driver; only the target rows leave it.
+    The laps are read once. Race laps only count where the calendar knows a race.
     """
-    groups = ["practice", "qualifying", "sprint_qualifying", "race"]
     raced = race_events(sessions).withColumn("raced", F.lit(True))
-    pace = pace_summary(laps, groups).join(raced, EVENT_KEYS, "left")
-    counted = {c: F.when(F.col("raced"), F.col(c)) for c in RACE_SUMS}
-    both = targets.withColumn("is_target", F.lit(True)).join(
-        pace.withColumns(counted).drop("raced"), DRIVER_EVENT_KEYS, "full"
-    )
-    earlier = Window.partitionBy("event", "driver_number").orderBy("event_year").rangeBetween(-YEARS_BACK, -1)
-    past = {f"past_{c}": F.sum(c).over(earlier) for c in RACE_SUMS}
-    kept = [c for c in both.columns if c not in (*RACE_SUMS, "is_target")]
-    history = race_pace_columns(*[F.col(c) for c in past])
-    return both.withColumns(past).where(F.col("is_target")).select(*kept, *history)
+    pace = pace_summary(laps, PACE_GROUPS).join(raced, EVENT_KEYS, "left")
+    counted = pace.withColumns({c: F.when(F.col("raced"), F.col(c)) for c in LAP_SUMS}).drop("raced")
+    return counted.join(race_result_sums(results, sessions), DRIVER_EVENT_KEYS, "full")
 
 
 def gold_features(
@@ -66,18 +57,17 @@ def gold_features(
 ) -> DataFrame:
     """One row per driver in qualifying with everything known before the race.
 
-    ``event_year`` and ``event`` limit the targets only: history always sees all seasons.
+    ``event_year`` and ``event`` limit the targets only: history always sees all seasons. All parts meet on the
+    driver and event; the two kinds of history are one window each, over the event's earlier years and over the
+    driver's season.
     """
     targets = driver_targets(target_filter(qualifying_targets(results), event_year, event), sessions)
-    features = (
-        _with_pace(targets, _laps_in_reach(laps, event_year, event), sessions)
-        .join(season_points_to_date(targets, results, sessions), DRIVER_EVENT_KEYS, "left")
-        .join(last_races(targets, results, sessions), DRIVER_EVENT_KEYS, "left")
-        .join(venue_results(targets, results, sessions), DRIVER_EVENT_KEYS, "left")
-    )
-    late = [c for c in features.columns if c in RACE_PACE]
-    ordered = [c for c in features.columns if c not in late] + late
-    return with_weather(features.select(*ordered), weather)
+    known = _driver_events(_in_reach(results, event_year, event), _in_reach(laps, event_year, event), sessions)
+    past = past_sums(targets, known, [*LAP_SUMS, *RESULT_SUMS])
+    inner = {*LAP_SUMS, *RESULT_SUMS}
+    history = [*venue_columns(), *race_pace_columns(*[F.col(f"past_{c}") for c in LAP_SUMS])]
+    features = past.select(*[c for c in past.columns if c not in inner and not c.startswith("past_")], *history)
+    return with_weather(season_form(features, results, sessions), weather)
 
 
 def race_labels(results: DataFrame) -> DataFrame:

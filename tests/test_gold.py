@@ -111,8 +111,7 @@ def test_labels(season):
 def test_leakage_audit(season):
     results, _, sessions, _ = season
     targets = events.driver_targets(events.qualifying_targets(results), sessions)
-    points = history.season_points_to_date(targets, results, sessions)
-    features = targets.join(points, ["event_year", "event", "driver_number"], "left")
+    features = history.season_form(targets, results, sessions)
     assert quality.leakage_audit(features, results, sessions).first().violations == 0
     leaky = features.withColumn("season_points_to_date", F.coalesce("season_points_to_date", F.lit(0.0)) + 25)
     assert quality.leakage_audit(leaky, results, sessions).first().violations == 3
@@ -122,7 +121,8 @@ def test_null_dates_are_no_history(spark, season):
     results, _, sessions, _ = season
     undated = sessions.withColumn("session_date_utc", F.when(F.col("session") != "R", F.col("session_date_utc")))
     targets = events.driver_targets(events.qualifying_targets(results), undated)
-    assert history.last_races(targets, results, undated).count() == 0
+    rows = history.season_form(targets, results, undated).collect()
+    assert len(rows) == 3 and {r.last3_race_count for r in rows} == {None}
 
 
 def test_copies_of_a_race_row_count_like_rows(spark):
@@ -130,7 +130,7 @@ def test_copies_of_a_race_row_count_like_rows(spark):
     dates = [(2024, 1, "alpha", "R", "2024-01-11T14:00:00Z"), (2024, 2, "beta", "Q", "2024-02-10T14:00:00Z")]
     results, sessions = spark.createDataFrame(rows, RESULT), spark.createDataFrame(dates, SESSION)
     targets = events.driver_targets(events.qualifying_targets(results), sessions)
-    row = history.last_races(targets, results, sessions).first()
+    row = history.season_form(targets, results, sessions).first()
     assert (row.last3_race_count, row.last3_race_points, row.last3_avg_finish) == (3, 54.0, 2.0)
 
 
