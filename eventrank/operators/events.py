@@ -49,33 +49,34 @@ def session_dates(sessions: DataFrame) -> DataFrame:
 
 
 def event_calendar(sessions: DataFrame) -> DataFrame:
-    """One row per event with the dates of its qualifying sessions."""
-    is_q = F.col("session") == "Q"
-    sprint_date = [F.max(F.when(F.col("session") == s, F.col("session_date_utc"))) for s in SPRINT_QUALIFYING]
+    """One row per event with the dates of its qualifying sessions and whether it has a race."""
+    session, date = F.col("session"), F.col("session_date_utc")
+    sprint_dates = [F.max(F.when(session == s, date)) for s in SPRINT_QUALIFYING]
     return (
-        sessions.where(F.col("session").isin("Q", *SPRINT_QUALIFYING))
+        sessions.where(session.isin("Q", "R", *SPRINT_QUALIFYING))
         .groupBy(*EVENT_KEYS)
         .agg(
-            F.max(F.when(is_q, F.col("event_number"))).alias("target_event_number"),
-            F.max(F.when(is_q, F.col("session_date_utc"))).alias("qualifying_session_date_utc"),
-            F.coalesce(*sprint_date).alias("sprint_qualifying_session_date_utc"),
+            F.max(F.when(session == "Q", F.col("event_number"))).alias("target_event_number"),
+            F.max(F.when(session == "Q", date)).alias("qualifying_session_date_utc"),
+            F.coalesce(*sprint_dates).alias("sprint_qualifying_session_date_utc"),
+            F.max(session == "R").alias("has_race"),
         )
     )
 
 
-def _with_calendar(df: DataFrame, sessions: DataFrame) -> DataFrame:
+def with_calendar(df: DataFrame, sessions: DataFrame) -> DataFrame:
     return df.join(event_calendar(sessions), EVENT_KEYS, "left").withColumn(
         "is_sprint_weekend", F.col("sprint_qualifying_session_date_utc").isNotNull()
     )
 
 
 def target_events(targets: DataFrame, sessions: DataFrame) -> DataFrame:
-    return _with_calendar(distinct_events(targets), sessions)
+    return with_calendar(distinct_events(targets), sessions).drop("has_race")
 
 
 def driver_targets(targets: DataFrame, sessions: DataFrame) -> DataFrame:
     """Targets with the dates of their event; the calendar is joined as is, without listing the events first."""
-    return _with_calendar(targets, sessions)
+    return with_calendar(targets, sessions).drop("has_race")
 
 
 def with_weather(df: DataFrame, weather: DataFrame) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrank.functions.values import exact, whole
-from eventrank.operators.events import select_sessions, session_dates
+from eventrank.operators.events import select_sessions, session_dates, with_calendar
 from eventrank.operators.pace import race_lap_sums, race_pace_columns
-from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, SESSION_KEYS
+from eventrank.schemas import DRIVER_EVENT_KEYS, SESSION_KEYS
 
 YEARS_BACK = 3
 RACES_BACK = 3
@@ -88,14 +88,15 @@ def season_form(targets: DataFrame, results: DataFrame, sessions: DataFrame, dep
     )
 
 
-def race_events(sessions: DataFrame) -> DataFrame:
-    return select_sessions(sessions, "R").select(*EVENT_KEYS).distinct()
-
-
-def race_result_sums(results: DataFrame, sessions: DataFrame) -> DataFrame:
+def race_result_sums(results: DataFrame) -> DataFrame:
     """Exact sums over the race results of each driver and event."""
+    finish = whole(results, "finishing_position")
     return (
-        dated_results(results, sessions, "R")
+        select_sessions(results, "R")
+        .select(
+            whole(results, "event_year"), "event", whole(results, "driver_number"), finish.alias("finish"),
+            _points().alias("points"),
+        )
         .groupBy(*DRIVER_EVENT_KEYS)
         .agg(
             F.sum("finish").alias("finish_sum"), F.count("finish").alias("finishes"),
@@ -104,17 +105,27 @@ def race_result_sums(results: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def past_sums(targets: DataFrame, yearly: DataFrame, sums: list[str], years: int = YEARS_BACK) -> DataFrame:
-    """Targets with the columns of ``yearly`` and, as ``past_...``, its sums over the seasons before at the same event.
+def past_sums(
+    targets: DataFrame, parts: list[DataFrame], sums: list[str], sessions: DataFrame, years: int = YEARS_BACK
+) -> DataFrame:
+    """Targets with the dates of their event, the columns of ``parts`` and, as ``past_...``, the ``sums`` over the
+    seasons before at the same event.
 
-    ``yearly`` has one row per driver, event and season, whatever it was made of. The full join keeps the rows of
-    seasons without a target in reach of the window; only target rows leave it. A driver has one row per season
-    there, so the window is as long as the calendar has years.
+    Each of ``parts`` has one row per driver, event and season. Instead of being joined, targets and parts are put
+    under each other and meet in one window per event and driver: rows of the same season give a target its own
+    values, rows of earlier seasons its past ones. That takes one shuffle, and a window is as long as the calendar
+    has years. The sums count where the calendar knows a race.
     """
-    both = targets.withColumn("is_target", F.lit(True)).join(yearly, DRIVER_EVENT_KEYS, "full")
-    earlier = Window.partitionBy("event", "driver_number").orderBy("event_year").rangeBetween(-years, -1)
-    past = {f"past_{c}": F.sum(c).over(earlier) for c in sums}
-    return both.withColumns(past).where(F.col("is_target")).drop("is_target")
+    rows = targets.withColumn("is_target", F.lit(True))
+    for part in parts:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    seasons = Window.partitionBy("event", "driver_number").orderBy("event_year")
+    same, earlier = seasons.rangeBetween(0, 0), seasons.rangeBetween(-years, -1)
+    own = [c for part in parts for c in part.columns if c not in sums and c not in DRIVER_EVENT_KEYS]
+    values = {c: F.max(c).over(same) for c in own}
+    past = {f"past_{c}": F.sum(F.when(F.col("has_race"), F.col(c))).over(earlier) for c in sums}
+    dated = with_calendar(rows, sessions).withColumns({**values, **past})
+    return dated.where(F.col("is_target")).drop("is_target", "has_race", *sums)
 
 
 def venue_columns() -> list[Column]:
@@ -128,13 +139,12 @@ def venue_columns() -> list[Column]:
 
 def venue_results(targets: DataFrame, results: DataFrame, sessions: DataFrame) -> DataFrame:
     """Race results at the same event in the three seasons before the target, for targets that have any."""
-    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), race_result_sums(results, sessions), RESULT_SUMS)
+    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), [race_result_sums(results)], RESULT_SUMS, sessions)
     return past.where(F.col("past_races").isNotNull()).select(*DRIVER_EVENT_KEYS, *venue_columns())
 
 
 def race_pace_history(targets: DataFrame, laps: DataFrame, sessions: DataFrame) -> DataFrame:
     """Race lap pace at the same event in the three seasons before the target, for targets that have any."""
-    yearly = race_lap_sums(laps).join(race_events(sessions), EVENT_KEYS, "left_semi")
-    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), yearly, LAP_SUMS)
+    past = past_sums(targets.select(*DRIVER_EVENT_KEYS), [race_lap_sums(laps)], LAP_SUMS, sessions)
     pace = race_pace_columns(*[F.col(f"past_{c}") for c in LAP_SUMS])
     return past.where(F.col("past_race_laps").isNotNull()).select(*DRIVER_EVENT_KEYS, *pace)

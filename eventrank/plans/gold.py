@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from eventrank.functions.values import whole
 from eventrank.operators.events import (
-    driver_targets,
     qualifying_targets,
     select_sessions,
     target_filter,
@@ -18,13 +17,12 @@ from eventrank.operators.history import (
     RESULT_SUMS,
     YEARS_BACK,
     past_sums,
-    race_events,
     race_result_sums,
     season_form,
     venue_columns,
 )
 from eventrank.operators.pace import pace_summary, race_pace_columns
-from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS
+from eventrank.schemas import DRIVER_EVENT_KEYS
 
 PACE_GROUPS = ["practice", "qualifying", "sprint_qualifying", "race"]
 
@@ -36,17 +34,6 @@ def _in_reach(df: DataFrame, event_year: int | None, event: str | None) -> DataF
     return df if event is None else df.where(F.col("event") == F.lit(event))
 
 
-def _driver_events(results: DataFrame, laps: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Everything that is known of a driver at an event, one row each: pace of all sessions and race sums.
-
-    The laps are read once. Race laps only count where the calendar knows a race.
-    """
-    raced = race_events(sessions).withColumn("raced", F.lit(True))
-    pace = pace_summary(laps, PACE_GROUPS).join(raced, EVENT_KEYS, "left")
-    counted = pace.withColumns({c: F.when(F.col("raced"), F.col(c)) for c in LAP_SUMS}).drop("raced")
-    return counted.join(race_result_sums(results, sessions), DRIVER_EVENT_KEYS, "full")
-
-
 def gold_features(
     results: DataFrame,
     laps: DataFrame,
@@ -61,13 +48,14 @@ def gold_features(
     driver and event; the two kinds of history are one window each, over the event's earlier years and over the
     driver's season.
     """
-    targets = driver_targets(target_filter(qualifying_targets(results), event_year, event), sessions)
-    known = _driver_events(_in_reach(results, event_year, event), _in_reach(laps, event_year, event), sessions)
-    past = past_sums(targets, known, [*LAP_SUMS, *RESULT_SUMS])
-    inner = {*LAP_SUMS, *RESULT_SUMS}
+    targets = target_filter(qualifying_targets(results), event_year, event)
+    sums = [*LAP_SUMS, *RESULT_SUMS]
+    pace = pace_summary(_in_reach(laps, event_year, event), PACE_GROUPS)
+    raced = race_result_sums(_in_reach(results, event_year, event))
+    past = past_sums(targets, [pace, raced], sums, sessions)
+    kept = [c for c in past.columns if not c.startswith("past_")]
     history = [*venue_columns(), *race_pace_columns(*[F.col(f"past_{c}") for c in LAP_SUMS])]
-    features = past.select(*[c for c in past.columns if c not in inner and not c.startswith("past_")], *history)
-    return with_weather(season_form(features, results, sessions), weather)
+    return with_weather(season_form(past.select(*kept, *history), results, sessions), weather)
 
 
 def race_labels(results: DataFrame) -> DataFrame:
