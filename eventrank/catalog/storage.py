@@ -62,7 +62,7 @@ def scan_bulk(spark, folder):
     path = scratch_folder(spark, "bulk")
     rows = _results(spark, folder)
     rows.withColumn("season", F.col("event_year")).hint("rebalance", "season").write.partitionBy("season").parquet(path)
-    rows.limit(1).select(F.lit("not a table").alias("value")).coalesce(1).write.text(f"{path}/season={CORRUPT_YEAR}")
+    rows.agg(F.max(F.lit("not a table")).alias("value")).write.text(f"{path}/season={CORRUPT_YEAR}")
     read = lake.read_bulk(spark, [path], "event_year int, driver_number int")
     season = F.regexp_extract("file_path", "season=([0-9]+)/", 1).cast("int").alias("event_year")
     good = read.select(season, F.lit(1).alias("row"))

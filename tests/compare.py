@@ -48,18 +48,24 @@ def kind(value):
     return type(value).__name__
 
 
+def plan_problems(df):
+    """Operators that must not occur: joins without keys and row-wise Python."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [f"plan has {op}" for op in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas") if op in plan]
+
+
 def check(spark, con, query, sql, folder):
     """Problems found, number of rows, seconds in Spark."""
     start = time.time()
     df = query(spark, folder)
     got = df.collect()
     seconds = time.time() - start
+    problems = plan_problems(df)
     if sql is None:
-        return ([] if got else ["no rows"]), len(got), seconds
+        return problems + ([] if got else ["no rows"]), len(got), seconds
     result = con.execute(sql)
     names = [c[0] for c in result.description]
     want = result.fetchall()
-    problems = []
     if sorted(names) != sorted(df.columns):
         problems.append(f"columns: only spark {set(df.columns) - set(names)}, only sql {set(names) - set(df.columns)}")
         return problems, len(got), seconds
