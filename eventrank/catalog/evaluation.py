@@ -77,8 +77,12 @@ def known(spark, folder):
     return labelled(spark, folder).dropna(subset=["qualifying_position", e.LABEL])
 
 
+def predictions(spark, folder):
+    return labelled(spark, folder).withColumn("predicted_score", F.col("prediction"))
+
+
 def scored(spark, folder):
-    return e.score_events(labelled(spark, folder).withColumn("predicted_score", F.col("prediction")))
+    return e.score_events(predictions(spark, folder))
 
 
 def _rounded(df, *names, digits=9):
@@ -196,14 +200,14 @@ def score_export(spark, folder):
 SELECT event_year, event, string_agg(abbreviation, ',' ORDER BY predicted_rank) AS predicted_podium
 FROM scored WHERE predicted_rank <= 3 GROUP BY 1, 2"""))
 def podium_topk(spark, folder):
-    return e.podium(scored(spark, folder))
+    return e.podium(predictions(spark, folder))
 
 
 @register(with_binding(LABELLED, """
 SELECT event_year, event, count(*) AS total_drivers, count(*) FILTER (WHERE is_podium_prediction) AS podium_predictions
 FROM scored GROUP BY 1, 2"""))
 def score_summary(spark, folder):
-    return e.score_summary(scored(spark, folder))
+    return e.score_summary(e.flag_scores(predictions(spark, folder)))
 
 
 @register(with_binding(LABELLED, "SELECT * FROM pr"))

@@ -74,23 +74,28 @@ def training_clean(df: DataFrame, features: Sequence[str], drop_missing: bool =
     return cleaned.dropna(subset=available) if drop_missing else cleaned
 
 
-def score_events(df: DataFrame, score: str = "predicted_score") -> DataFrame:
-    """Rounded position (half to even), podium flag and rank within the event."""
+def flag_scores(df: DataFrame, score: str = "predicted_score") -> DataFrame:
+    """Rows with a score, their rounded position (half to even) and the podium flag."""
     position = F.rint(F.col(score)).cast("int")
-    flagged = df.where(F.col(score).isNotNull()).withColumns(
+    return df.where(F.col(score).isNotNull()).withColumns(
         {"predicted_position": position, "is_podium_prediction": position <= PODIUM}
     )
-    return rank_within(flagged, EVENT_KEYS, score, "driver_number", "predicted_rank")
+
+
+def score_events(df: DataFrame, score: str = "predicted_score") -> DataFrame:
+    """Flagged scores with the rank within the event; equal scores stand in the order of the driver numbers."""
+    return rank_within(flag_scores(df, score), EVENT_KEYS, score, "driver_number", "predicted_rank")
 
 
 def with_error(scored: DataFrame) -> DataFrame:
     return scored.withColumn("abs_error", F.abs(F.col("predicted_rank") - F.col(LABEL)).cast("int"))
 
 
-def podium(scored: DataFrame, depth: int = PODIUM) -> DataFrame:
-    """The first of each event by rank; only ``depth`` rows per event are collected."""
-    first = scored.where(F.col("predicted_rank") <= depth)
-    rows = F.sort_array(F.collect_list(F.struct("predicted_rank", "abbreviation")))
+def podium(df: DataFrame, score: str = "predicted_score", depth: int = PODIUM) -> DataFrame:
+    """The first ``depth`` drivers of each event; each task passes on no more than that per event."""
+    place = F.row_number().over(Window.partitionBy(*EVENT_KEYS).orderBy(score, "driver_number"))
+    first = df.where(F.col(score).isNotNull()).withColumn("place", place).where(F.col("place") <= depth)
+    rows = F.sort_array(F.collect_list(F.struct("place", "abbreviation")))
     return first.groupBy(*EVENT_KEYS).agg(F.array_join(rows["abbreviation"], ",").alias("predicted_podium"))
 
 
