@@ -8,7 +8,6 @@ from eventrank.catalog.binding_sql import with_binding
 from eventrank.catalog.features import DATED, LAST3, POINTS, TRAINING_STEPS, bound_form, bound_targets, bound_training
 from eventrank.catalog.registry import register
 from eventrank.operators import evaluation as e
-from eventrank.operators import events as ev
 from eventrank.operators import quality
 from eventrank.operators.history import season_form
 from eventrank.plans.gold import training_dataset

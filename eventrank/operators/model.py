@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrank.operators.evaluation import LABEL
@@ -79,11 +79,9 @@ def seasons(df: DataFrame) -> list[int]:
 def season_folds(df: DataFrame) -> DataFrame:
     """Rows to train on and to test on for each season held out."""
     per_season = df.groupBy("event_year").agg(F.count(F.lit(1)).alias("test_rows"))
-    # One row per season: a window without partition sees a handful of rows.
-    total = per_season.agg(F.sum("test_rows")).first()[0]
-    return per_season.select(
-        F.col("event_year").alias("held_out_season"), "test_rows", (F.lit(total) - F.col("test_rows")).alias("train_rows")
-    )
+    # The window sees one row per season.
+    others = F.sum("test_rows").over(Window.partitionBy()) - F.col("test_rows")
+    return per_season.select(F.col("event_year").alias("held_out_season"), "test_rows", others.alias("train_rows"))
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], trees: int = TREES) -> DataFrame:
