@@ -2,7 +2,8 @@
 
 Equal values are counted first (combined on the map side). The distinct values of a group are cut into slices
 of the value axis; the rows below a slice are known from the slice totals, so ordering happens within a slice
-only and no task has to hold a whole group. ``width`` is the length of a slice on the value axis.
+only and no task has to hold a whole group. Slices are a thousandth wide around zero and grow with the value to
+a thousandth of it, so there are at most 1.5 million of them for any numbers.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SLICES_PER_UNIT = 1000
+
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
@@ -21,9 +24,15 @@ def _before(window: Window) -> Window:
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running_counts(counts: DataFrame, keys: Sequence[str], value: str, width: float = 1.0) -> DataFrame:
+def _slice(value: Column) -> Column:
+    """Number of the slice of a value; a greater value never has a smaller number."""
+    number = value.cast("double")
+    return F.floor(F.signum(number) * F.log1p(F.abs(number)) * SLICES_PER_UNIT)
+
+
+def running_counts(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Per distinct value, the number of rows of its group with a smaller value as ``below``."""
-    sliced = counts.withColumn("slice", F.floor(F.col(value) / width))
+    sliced = counts.withColumn("slice", _slice(F.col(value)))
     totals = sliced.groupBy(*keys, "slice").agg(F.sum("n").alias("in_slice"))
     along = _before(Window.partitionBy(*keys).orderBy("slice"))
     offsets = totals.select(*keys, "slice", F.coalesce(F.sum("in_slice").over(along), F.lit(0)).alias("offset"))
@@ -38,11 +47,9 @@ def twice_average_rank() -> Column:
     return 2 * F.col("below") + F.col("n") + 1
 
 
-def rank_within(
-    df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str, width: float = 1.0
-) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str) -> DataFrame:
     """Rank of each row in its group by ``value``, equal values in the order of ``tie``."""
-    placed = running_counts(value_counts(df, keys, value), keys, value, width).drop("n")
+    placed = running_counts(value_counts(df, keys, value), keys, value).drop("n")
     equal = Window.partitionBy(*keys, value).orderBy(tie)
     joined = df.join(placed, [*keys, value])
     return joined.withColumn(rank, (F.col("below") + F.row_number().over(equal)).cast("int")).drop("below").select(
@@ -50,10 +57,10 @@ def rank_within(
     )
 
 
-def medians(counts: DataFrame, keys: Sequence[str], value: str, width: float = 1.0) -> DataFrame:
+def medians(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Exact median of each group of counted values, the mean of the middle two for an even number."""
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("size"))
-    ranked = running_counts(counts, keys, value, width).join(sizes, list(keys))
+    ranked = running_counts(counts, keys, value).join(sizes, list(keys))
     below, upto, size = F.col("below"), F.col("below") + F.col("n"), F.col("size")
     low, high = F.floor((size + 1) / 2), F.floor(size / 2) + 1
 
