@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from eventrank.catalog import load
 from tests.compare import check, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, EXPECTED = entry.queries(), entry.oracle_sql()
+QUERIES, EXPECTED = load()
 
 
 @pytest.fixture(scope="module")
@@ -24,5 +25,9 @@ def test_expected_sql_belongs_to_queries():
     assert set(EXPECTED) <= set(QUERIES)
 
 
+def test_entry_has_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(EXPECTED) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
