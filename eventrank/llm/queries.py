@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 import corpus_pipeline
-from eventrank.llm import decontaminate
+from eventrank.llm import decontaminate, packing, quality
 from eventrank.llm.common import read
 from eventrank.llm.sql import EXPECTED
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,6 +22,14 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(read(spark, folder, "documents"), TOKENIZER)
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     queries = {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
     queries["pipeline"] = corpus_pipeline.run
