@@ -27,4 +27,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
 
-EXPECTED = {"op1_decontamination": DECONTAMINATION}
+NEAR_DUPLICATES = """
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, w[i:least(i + 2, len(w))] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM doc
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT reach.a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id, reach.a = min(b) AS kept
+FROM reach LEFT JOIN size ON size.doc_id = reach.a GROUP BY reach.a"""
+
+EXPECTED = {"op7_near_duplicates": NEAR_DUPLICATES, "op1_decontamination": DECONTAMINATION}
