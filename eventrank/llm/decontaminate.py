@@ -19,11 +19,13 @@ from eventrank.sources.session import stored
 
 WINDOW = 13
 SHINGLE = 3
+# A document is contaminated if its words are at most this many times those that are hit.
+SHARE = 20
 # Windows of one block; a larger benchmark is searched in several blocks, one after the other.
 BLOCK_WINDOWS = 100_000
 FILTER_BITS = 20
 
-SCHEMA = "row bigint, doc_id bigint, n_words bigint, hits array<struct<start:int,end:int>>, items array<string>"
+SCHEMA = "row bigint, doc_id bigint, text_key bigint, n_words bigint, hits array<struct<start:int,end:int>>, items array<string>"
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -195,8 +197,9 @@ def _occurrences(docs: DataFrame, prefixes: Prefixes) -> DataFrame:
                 items[pair // len(block.items)].update(block.items[pair % len(block.items)])
             yield pa.RecordBatch.from_pydict(
                 {
-                    "row": batch.column(2),
+                    "row": batch.column(3),
                     "doc_id": batch.column(0),
+                    "text_key": batch.column(2),
                     "n_words": words.count,
                     "hits": hits,
                     "items": [[block.names[i] for i in sorted(x)] for x in items],
@@ -206,13 +209,13 @@ def _occurrences(docs: DataFrame, prefixes: Prefixes) -> DataFrame:
 
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     schema = pa.schema(
-        [("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", span), ("items", pa.list_(pa.string()))]
+        [(c, pa.int64()) for c in ("row", "doc_id", "text_key", "n_words")] + [("hits", span), ("items", pa.list_(pa.string()))]
     )
     return docs.mapInArrow(run, SCHEMA)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """One row for each document: ``doc_id``, ``n_words``, ``hits`` (disjoint word ranges), ``items`` (found item ids).
+    """For each row ``doc_id``, ``text_key``, ``n_words``, ``hits`` (disjoint word ranges) and ``items`` (found item ids).
 
     A null or empty text has no words, hits or items; a null id stays null; repeated rows give repeated results; items
     without id, text or words have no windows; other columns are left out. An empty benchmark finds nothing.
@@ -222,7 +225,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     n = windows.count()
     blocks = max(1, -(-n // block_windows))
     # Documents keep a row number while several blocks are searched; with one block each row is seen once.
-    rows = documents(docs).withColumn("row", F.monotonically_increasing_id())
+    text_key = F.xxhash64(F.col("text").cast("string")).alias("text_key")
+    rows = documents(docs, text_key).withColumn("row", F.monotonically_increasing_id())
     if blocks > 1:
         rows = stored(rows, "decontaminate")
     found = []
@@ -239,11 +243,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         every = every.unionByName(more)
     merged = every.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
+        F.first("text_key").alias("text_key"),
         F.first("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
     )
-    return merged.select("doc_id", "n_words", _united("hits").alias("hits"), "items")
+    return merged.select("doc_id", "text_key", "n_words", _united("hits").alias("hits"), "items")
 
 
 def _united(name: str):
@@ -256,16 +261,27 @@ def _united(name: str):
     )
 
 
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda total, x: total + (x["end"] - x["start"]).cast("bigint"))
+    rows = contamination(docs, benchmark).withColumn("n_hit", n_hit)
+    return rows.withColumn("contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words")))
+
+
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contamination by document: a document is contaminated if at least a twentieth of its words is hit."""
-    rows = contamination(docs, benchmark)
-    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda total, x: total + (x["end"] - x["start"]).cast("bigint"))
-    rows = rows.select("doc_id", "n_words", n_hit.alias("n_hit"), "items")
-    return rows.select(
+    return _judged(docs, benchmark).select(
         "doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        "contaminated",
     )
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated."""
+    gone = stored(_judged(docs, benchmark).where("contaminated").select("doc_id", "text_key").distinct(), "contaminated")
+    text_key = F.xxhash64(docs["text"].cast("string"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(gone["doc_id"]) & (text_key == gone["text_key"])
+    return docs.join(gone, same, "left_anti")

@@ -177,7 +177,7 @@ def deduplicated(docs: DataFrame, percent: int, shingle: int) -> DataFrame:
     found = stored(groups(docs, percent, shingle), "groups")
     dropped = found.where("NOT kept").select("doc_id", "text_key").distinct()
     text_key = F.xxhash64(docs["text"].cast("string"))
-    same = docs["doc_id"].eqNullSafe(dropped["doc_id"]) & (text_key == dropped["text_key"])
+    same = docs["doc_id"].cast("bigint").eqNullSafe(dropped["doc_id"]) & (text_key == dropped["text_key"])
     kept = docs.join(dropped, same, "left_anti")
     if found.count() > found.select("doc_id", "text_key").distinct().count():
         kept = kept.dropDuplicates(["doc_id", "text"])

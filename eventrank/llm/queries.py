@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from eventrank.llm import decontaminate, neardup, packing, quality
+from eventrank.llm import decontaminate, linededup, neardup, packing, quality
 from eventrank.llm.common import read
 from eventrank.llm.sql import EXPECTED
 
@@ -30,6 +30,10 @@ def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.report(read(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.report(read(spark, folder, "documents"))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
 

@@ -49,4 +49,51 @@ reach AS (
 SELECT reach.a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id, reach.a = min(b) AS kept
 FROM reach LEFT JOIN size ON size.doc_id = reach.a GROUP BY reach.a"""
 
-EXPECTED = {"op7_near_duplicates": NEAR_DUPLICATES, "op1_decontamination": DECONTAMINATION}
+LINE_DEDUP = """
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+line AS (
+  SELECT doc_id, nr, row_number() OVER (PARTITION BY doc_id ORDER BY nr) - 1 AS pos,
+    CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS key
+  FROM (SELECT doc_id, nr, trim(x[nr + 1], ' ' || chr(9) || chr(13)) AS line
+        FROM (SELECT doc_id, x, unnest(range(len(x))) AS nr FROM split))
+  WHERE line <> ''),
+gram AS (
+  SELECT doc_id, pos, CAST('0x' || substr(md5(key || ',' || next), 1, 15) AS BIGINT) AS print
+  FROM (SELECT *, lead(key) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM line) WHERE next IS NOT NULL),
+slid AS (
+  SELECT *, lead(print) OVER w AS next, row_number() OVER w AS r FROM gram WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+chosen AS (
+  SELECT DISTINCT doc_id, CASE WHEN next <= print THEN pos + 1 ELSE pos END AS pos, least(print, next) AS print
+  FROM slid WHERE next IS NOT NULL OR r = 1),
+placed AS (SELECT *, lag(pos) OVER (PARTITION BY doc_id, print ORDER BY pos) AS before FROM chosen),
+first AS (
+  SELECT print, min((doc_id, pos)) AS f FROM placed WHERE before IS NULL GROUP BY print HAVING count(*) > 1),
+found AS (
+  SELECT doc_id, pos, doc_id AS doc0, pos - before AS shift FROM placed WHERE before IS NOT NULL
+  UNION ALL
+  SELECT doc_id, pos, f[1], pos - f[2] FROM placed JOIN first USING (print) WHERE before IS NULL AND f[1] <> doc_id),
+same AS (
+  SELECT d.doc_id, d.doc0, d.shift, a.pos, a.nr
+  FROM (SELECT DISTINCT doc_id, doc0, shift FROM found) d JOIN line a ON a.doc_id = d.doc_id
+  JOIN line b ON b.doc_id = d.doc0 AND b.pos = a.pos - d.shift AND b.key = a.key),
+run AS (
+  SELECT s.*, s.pos - row_number() OVER (PARTITION BY doc_id, doc0, shift ORDER BY pos) AS island, f.pos IS NOT NULL AS hit
+  FROM same s LEFT JOIN found f USING (doc_id, doc0, shift, pos)),
+gone AS (
+  SELECT DISTINCT doc_id, min(nr)::INTEGER AS a, max(nr)::INTEGER AS z FROM run
+  GROUP BY doc_id, doc0, shift, island HAVING bool_or(hit)),
+runs AS (SELECT doc_id, string_agg(a || '-' || z, ',' ORDER BY a, z) AS removed FROM gone GROUP BY doc_id),
+deleted AS (SELECT DISTINCT doc_id, unnest(range(a, z + 1)) AS nr FROM gone),
+kept AS (
+  SELECT p.doc_id, string_agg(x, chr(10) ORDER BY p.nr) AS text
+  FROM (SELECT doc_id, unnest(range(len(x))) AS nr, unnest(x) AS x FROM split) p
+  LEFT JOIN deleted d ON d.doc_id = p.doc_id AND d.nr = p.nr WHERE d.nr IS NULL GROUP BY p.doc_id)
+SELECT s.doc_id, CASE WHEN s.text IS NULL THEN 0 ELSE len(s.x) END::INTEGER AS n_lines, coalesce(r.removed, '') AS removed,
+  CASE WHEN s.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM split s LEFT JOIN runs r USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
+
+EXPECTED = {
+    "op1_decontamination": DECONTAMINATION,
+    "op7_near_duplicates": NEAR_DUPLICATES,
+    "op8_line_dedup": LINE_DEDUP,
+}
