@@ -8,8 +8,9 @@ again, together, in further rounds.
 
 from __future__ import annotations
 
-import os
+import json
 import re
+import struct
 import zlib
 from itertools import combinations
 
@@ -30,11 +31,13 @@ ROUNDS = 4
 NO_ID = -(1 << 63)
 # Sequences filled less than this are packed again together with those of other shards.
 WELL_FILLED = 0.98
-# Distinct chunks of text of which a worker remembers the ids; beyond it, it starts anew.
-REMEMBERED = 300_000
+# Texts of which a worker remembers the ids, about 150 bytes each; beyond it, it starts anew.
+REMEMBERED = 1_000_000
 
 # The characters that Unicode calls white space.
-_SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_SPACE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+# Two of these in a row, or one of the others, need the general way of cutting.
+_OTHER_SPACE = [x for x in _SPACE if x not in " \n"] + ["  ", " \n", "\n ", "\n\n"]
 # No token reaches over the border of two chunks: the vocabulary's own pattern splits before a space that a visible
 # character follows, and around all other white space.
 _CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -43,28 +46,86 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 PACKED = PIECES + ", sequence_id bigint, offset bigint, loose boolean"
 
 
+# A word of Latin letters, and marks behind it: two tokens' worth of text whatever stands around.
+_PLAIN = re.compile("( ?[A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u00ff]+)([.,:;!?#*$%&|]*)")
+_MARKS = ".,:;!?#*$%&|"
+
+
+class _Remembered(dict):
+    """Ids by text; a text that is asked for the first time is looked up."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, text: str) -> bytes:
+        found = self[text] = self.find(text)
+        return found
+
+
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes. Ids of chunks are remembered, up to a bound."""
+    """Token ids of texts as little-endian 32-bit bytes, for a byte-level vocabulary without normalisation.
 
-    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    Equal chunks have equal ids, so each is split and merged once and remembered, up to a bound. Merging uses the
+    vocabulary's model without the library's own small memory, which costs more than it saves for rare words.
+    """
 
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.remembered, self.known = remembered, {}
+    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        tokenizer = Tokenizer.from_str(vocabulary)
+        if tokenizer.normalizer is not None or not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+            raise ValueError("the vocabulary must be byte-level and without normalisation")
+        model = json.loads(vocabulary)["model"]
+        merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in model["merges"]]
+        self.model = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        # How the vocabulary writes the bytes of plain words.
+        self.letters = {b: self.split(bytes([b]).decode())[0][0] for b in range(128)}
+        for first in (0xC2, 0xC3):
+            for last in range(0x80, 0xC0):
+                self.letters[first], self.letters[last] = self.split(bytes([first, last]).decode())[0][0]
+        self.space = self.letters[32]
+        self.remembered = remembered
+        self.pieces = _Remembered(self._merged)
+        self.chunks = _Remembered(self._ids)
+        self.spaced = _Remembered(self._spaced_ids)
+
+    def _merged(self, piece: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ids(self, chunk: str) -> bytes:
+        plain = _PLAIN.fullmatch(chunk)
+        if plain is None:
+            return b"".join([self.pieces[piece] for piece, _ in self.split(chunk)])
+        word, marks = plain.groups()
+        out = self.pieces[word.encode().decode("latin-1").translate(self.letters)]
+        return out + self.pieces[marks] if marks else out
+
+    def _spaced_ids(self, chunk: str) -> bytes:
+        """Ids of a space and a chunk."""
+        word = chunk.rstrip(_MARKS)
+        if not (word.isascii() and word.isalpha()):
+            return self._ids(" " + chunk)
+        out = self.pieces[self.space + word]
+        return out + self.pieces[chunk[len(word) :]] if len(word) < len(chunk) else out
+
+    def _line(self, line: str) -> bytes:
+        """A line of words with one space between them."""
+        words = line.split(" ")
+        return self.chunks[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
+
+    def _text(self, text: str) -> bytes:
+        if text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, _OTHER_SPACE)):
+            return b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
+        return self.chunks["\n"].join(map(self._line, text.split("\n")))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunks = [_CHUNK.findall(x) if x else [] for x in texts]
-        if len(self.known) > self.remembered:
-            self.known = {}
-        missing = list(set().union(*chunks).difference(self.known))
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            for chunk, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) for x in chunks]
+        if len(self.pieces) + len(self.spaced) + len(self.chunks) > self.remembered:
+            for memory in (self.pieces, self.spaced, self.chunks):
+                memory.clear()
+        return [self._text(x) if x else b"" for x in texts]
 
 
 _encoders: dict[int, Encoder] = {}
