@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventrank.llm.common import documents, held_out, ship, slices, text_bytes
@@ -189,9 +189,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LineModel
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
     known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
     known = known.where(~held_out(F.col("doc_id")))
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
-    label_of = {r["doc_id"]: int(r["quality"]) for r in chosen.select("doc_id", "quality").collect()}
+    label_of = {}
+    for quality in (0, 1):
+        first = known.where(F.col("quality") == quality).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        label_of |= {r["doc_id"]: quality for r in first.select("doc_id").collect()}
     texts = documents(docs).where(F.col("doc_id").isin(list(label_of))) if label_of else documents(docs).limit(0)
     texts = texts.where((F.octet_length("text") > 0) & (F.octet_length("text") <= SAMPLE_BYTES)).dropDuplicates(["doc_id"])
     table = texts.toArrow().sort_by("doc_id").combine_chunks()
