@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from eventrank.llm import decontaminate, linededup, neardup, packing, quality
+from eventrank.llm import decontaminate, language, linededup, neardup, packing, quality, rules, secrets, unitdedup
 from eventrank.llm.common import read
 from eventrank.llm.sql import EXPECTED
 
@@ -26,6 +26,18 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), TOKENIZER)
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(read(spark, folder, "documents"))
+
+
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(read(spark, folder, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return unitdedup.report(read(spark, folder, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.report(read(spark, folder, "documents"))
 
@@ -38,6 +50,10 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.report(read(spark, folder, "documents"))
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     queries = {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
     queries["pipeline"] = corpus_pipeline.run

@@ -92,8 +92,32 @@ SELECT s.doc_id, CASE WHEN s.text IS NULL THEN 0 ELSE len(s.x) END::INTEGER AS n
   CASE WHEN s.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM split s LEFT JOIN runs r USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
 
+SUBSTRING_DEDUP = """
+WITH piece AS (
+  SELECT doc_id, i, x[i] AS raw, list_sum([len(z) + 1 for z in x[1:i - 1]]) AS before
+  FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i
+        FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?]) ', '\\1' || chr(10), 'g'), chr(10)) AS x
+              FROM documents))),
+worded AS (
+  SELECT doc_id, i, raw, coalesce(before, 0) AS before,
+    regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w
+  FROM piece),
+unit AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS unit, array_to_string(w, ' ') AS norm,
+    len(w) AS n_words, before + len(regexp_extract(raw, '^[\\x20\\x09-\\x0D]*')) AS "start",
+    before + len(regexp_replace(raw, '[\\x20\\x09-\\x0D]+$', '')) AS "end"
+  FROM worded WHERE len(w) > 0),
+first AS (SELECT norm, min((doc_id, "start")) AS f FROM unit GROUP BY norm HAVING count(*) > 1),
+later AS (SELECT unit.*, f[1] AS first_doc FROM unit JOIN first USING (norm) WHERE (doc_id, "start") <> f),
+island AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS island FROM later)
+SELECT doc_id, min("start")::BIGINT AS "start", max("end")::BIGINT AS "end", count(*) AS n_units,
+  sum(n_words)::BIGINT AS n_words, arg_min(first_doc, unit) AS first_doc_id
+FROM island GROUP BY doc_id, island HAVING sum(n_words) >= 10"""
+
 EXPECTED = {
     "op1_decontamination": DECONTAMINATION,
+    "op6_substring_dedup": SUBSTRING_DEDUP,
     "op7_near_duplicates": NEAR_DUPLICATES,
     "op8_line_dedup": LINE_DEDUP,
 }
