@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from eventrank.llm import decontaminate, language, linededup, neardup, packing, quality, rules, secrets, unitdedup
+from eventrank.llm import decontaminate, language, linededup, neardup, packing, pii, quality, rules, secrets, unitdedup
 from eventrank.llm.common import read
 from eventrank.llm.sql import EXPECTED
 
@@ -26,6 +26,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), TOKENIZER)
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(read(spark, folder, "documents"))
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(read(spark, folder, "documents"))
 
