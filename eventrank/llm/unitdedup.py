@@ -51,7 +51,7 @@ def units_of(blob: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
     new = np.ones(len(unit), bool)
     new[1:] = (unit[1:] != unit[:-1]) | (words.doc[1:] != words.doc[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(unit))
+    last = np.append(first, len(unit))[1:]
     doc = words.doc[first]
     points = np.concatenate([[0], np.cumsum(_FIRST_BYTE[blob])])
     base = points[ends[doc]]
@@ -61,7 +61,7 @@ def units_of(blob: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
         "doc": doc,
         "unit": number,
         "start": points[words.start[first]] - base,
-        "end": points[words.end[last - 1]] - base if len(last) else last,
+        "end": points[words.end[last - 1]] - base,
         "n_words": last - first,
         "d1": d1.view(np.int64),
         "d2": d2.view(np.int64),
