@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
-from eventrank.catalog.features import DATED, LAST3, POINTS, TRAINING_STEPS, bound_form, bound_targets, bound_training
+from eventrank.catalog.features import ENTRIES, FORM, TRAINING_STEPS, bound_form, bound_targets, bound_training
 from eventrank.catalog.registry import register
 from eventrank.operators import evaluation as e
 from eventrank.operators import quality
@@ -19,10 +19,10 @@ YEAR, EARLY, LATE = 1998, "bahrain", "british"
 MODEL_RUN = "20260228T033812Z"
 
 # Label rows: targets with the outcome of the race, and the qualifying position as the baseline's prediction.
-LABELLED = DATED + """
+LABELLED = ENTRIES + """
 lab AS (
   SELECT d.*, r.finishing_position AS race_finishing_position, CAST(d.qualifying_position AS DOUBLE) AS prediction
-  FROM dated d LEFT JOIN b_results r ON r.session = 'R' AND r.event_year = d.event_year AND r.event = d.event
+  FROM entry d LEFT JOIN b_results r ON r.session = 'R' AND r.event_year = d.event_year AND r.event = d.event
     AND r.driver_number = d.driver_number),
 known AS (SELECT * FROM lab WHERE race_finishing_position IS NOT NULL AND qualifying_position IS NOT NULL),
 scored AS (
@@ -56,11 +56,10 @@ sp AS (SELECT event_year, round(corr(CAST(a AS DOUBLE), CAST(b AS DOUBLE)), 9) A
 
 _METRICS = ["precision_at_3", "recall_at_3", "precision_at_10", "recall_at_10"]
 _KEYS = ", ".join(DRIVER_EVENT_KEYS)
-_ROLLING = LABELLED + f"""
-ph AS ({POINTS}), l3 AS ({LAST3}),
+_ROLLING = LABELLED + FORM + f"""
 roll AS (
-  SELECT dated.*, season_points_to_date, last3_race_count
-  FROM dated LEFT JOIN ph USING (event_year, event, driver_number) LEFT JOIN l3 USING (event_year, event, driver_number)
+  SELECT entry.*, season_points_to_date, last3_race_count
+  FROM entry JOIN form USING (event_year, event, driver_number)
   WHERE event_year = {YEAR} AND event IN ('{EARLY}', '{LATE}')),
 """
 
@@ -265,14 +264,13 @@ def accuracy_summary(spark, folder):
     return _rounded(summary, "podium_accuracy_percent", "points_accuracy_percent")
 
 
-@register(with_binding(DATED, """
-SELECT DISTINCT event_year, event FROM dated
-WHERE NOT EXISTS (SELECT 1 FROM b_weather w WHERE w.event_year = dated.event_year AND w.event = dated.event)"""))
+@register(with_binding(ENTRIES, """
+SELECT DISTINCT event_year, event FROM entry ANTI JOIN b_weather USING (event_year, event)"""))
 def missing_weather(spark, folder):
     return quality.missing_weather(bound_targets(spark, folder), binding.weather(spark, folder))
 
 
-@register(with_binding(DATED, """
+@register(with_binding(ENTRIES, """
 SELECT event_year, count(*) AS targets, count(points_before) AS with_history,
   CAST(COALESCE(sum(points_before), 0) AS DOUBLE) AS points_before,
   CAST(COALESCE(sum(points_after), 0) AS DOUBLE) AS points_after, CAST(0 AS BIGINT) AS violations
@@ -282,7 +280,7 @@ FROM (
       AS points_before,
     sum(CASE WHEN s.session_date_utc >= d.qualifying_session_date_utc THEN CAST(r.points AS DECIMAL(18,4)) END)
       AS points_after
-  FROM dated d
+  FROM entry d
   LEFT JOIN b_results r ON r.event_year = d.event_year AND r.driver_number = d.driver_number AND r.session IN ('R', 'S')
   LEFT JOIN b_dim s ON s.event_year = r.event_year AND s.event = r.event AND s.session = r.session
   GROUP BY 1, 2, 3)
@@ -327,6 +325,6 @@ def rolling_compare(spark, folder):
     return quality.rolling_compare(bound_form(spark, folder), YEAR, EARLY, LATE)
 
 
-@register(with_binding(DATED, "SELECT count(*) AS targets, CAST(0 AS BIGINT) AS repeated_keys FROM dated"))
+@register(with_binding(ENTRIES, "SELECT count(*) AS targets, CAST(0 AS BIGINT) AS repeated_keys FROM entry"))
 def target_key_check(spark, folder):
     return quality.target_key_check(bound_targets(spark, folder))

@@ -17,24 +17,20 @@ FILTER_YEAR, FILTER_EVENT = 1998, "monaco"
 
 LAP_VIEW = ["event_year", "event", "session", "driver_number", "lap_number", "lap_time_seconds"]
 
-TARGETS = """
-targets AS (
-  SELECT event_year, event, event_name, driver_number, driver_id, full_name, abbreviation, team_id, team_name,
-    team_color, finishing_position AS qualifying_position, q1_seconds, q2_seconds, q3_seconds
-  FROM b_results WHERE session = 'Q'),
-"""
-
-DATED = TARGETS + """
-calendar AS (
-  SELECT e.event_year, e.event, q.event_number AS target_event_number,
-    q.session_date_utc AS qualifying_session_date_utc,
-    s.session_date_utc AS sprint_qualifying_session_date_utc, s.session_date_utc IS NOT NULL AS is_sprint_weekend
-  FROM (SELECT DISTINCT event_year, event FROM targets) e
-  LEFT JOIN b_dim q ON q.event_year = e.event_year AND q.event = e.event AND q.session = 'Q'
-  LEFT JOIN b_dim s ON s.event_year = e.event_year AND s.event = e.event AND s.session IN ('SQ', 'SS')),
-dated AS (
-  SELECT t.*, c.* EXCLUDE (event_year, event)
-  FROM targets t LEFT JOIN calendar c ON c.event_year = t.event_year AND c.event = t.event),
+# One row per weekend with the moments of its sessions, and one per driver who took part in qualifying.
+ENTRIES = """
+weekend AS (
+  SELECT event_year, event, max(event_number) FILTER (WHERE session = 'Q') AS target_event_number,
+    max(session_date_utc) FILTER (WHERE session = 'Q') AS qualifying_session_date_utc,
+    max(session_date_utc) FILTER (WHERE session IN ('SQ', 'SS')) AS sprint_qualifying_session_date_utc,
+    bool_or(session IN ('SQ', 'SS')) AS is_sprint_weekend
+  FROM b_dim GROUP BY event_year, event),
+entry AS (
+  SELECT b_results.* EXCLUDE (event_number, session, finishing_position, grid_starting_position, is_retired, points,
+      time_seconds, laps),
+    finishing_position AS qualifying_position, target_event_number, qualifying_session_date_utc,
+    sprint_qualifying_session_date_utc, coalesce(is_sprint_weekend, FALSE) AS is_sprint_weekend
+  FROM b_results LEFT JOIN weekend USING (event_year, event) WHERE session = 'Q'),
 """
 
 _MEAN = "CAST(sum(lap_ms) AS DOUBLE) / (count(*) * 1000E0)"
@@ -70,78 +66,80 @@ PRACTICE = _pace_sql("practice", "session = 'P1'", True)
 QUALIFYING = _pace_sql("qualifying", "session = 'Q'", False)
 SPRINT = _pace_sql("sprint_qualifying", "session IN ('SQ', 'SS')", True)
 
-POINTS = """
-SELECT d.event_year, d.event, d.driver_number, CAST(sum(CAST(r.points AS DECIMAL(18,4))) AS DOUBLE) AS season_points_to_date
-FROM dated d
-JOIN b_dim s ON s.event_year = d.event_year AND s.session IN ('R', 'S')
-  AND s.session_date_utc < d.qualifying_session_date_utc
-JOIN b_results r ON r.event_year = s.event_year AND r.event = s.event AND r.session = s.session
-  AND r.driver_number = d.driver_number
-GROUP BY 1, 2, 3
-"""
-
-LAST3 = """
-SELECT event_year, event, driver_number,
-  CAST(sum(CAST(points AS DECIMAL(18,4))) AS DOUBLE) AS last3_race_points,
-  avg(finishing_position) AS last3_avg_finish,
-  CAST(sum(CASE WHEN is_retired THEN 1 ELSE 0 END) AS BIGINT) AS last3_dnfs, count(*) AS last3_race_count
-FROM (
-  SELECT d.event_year, d.event, d.driver_number, r.points, r.finishing_position, r.is_retired,
-    row_number() OVER (PARTITION BY d.event_year, d.event, d.driver_number ORDER BY s.event_number DESC) AS rn
-  FROM dated d
-  JOIN b_dim s ON s.event_year = d.event_year AND s.session = 'R' AND s.session_date_utc < d.qualifying_session_date_utc
-  JOIN b_results r ON r.event_year = s.event_year AND r.event = s.event AND r.session = 'R'
-    AND r.driver_number = d.driver_number)
-WHERE rn <= 3 GROUP BY 1, 2, 3
-"""
-
-CIRCUIT = """
-SELECT d.event_year, d.event, d.driver_number, avg(r.finishing_position) AS circuit_last3y_avg_finish,
-  CAST(sum(CAST(r.points AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS circuit_last3y_avg_points,
-  count(*) AS circuit_last3y_race_count
-FROM dated d
-JOIN b_dim s ON s.event = d.event AND s.session = 'R' AND s.event_year BETWEEN d.event_year - 3 AND d.event_year - 1
-JOIN b_results r ON r.event_year = s.event_year AND r.event = s.event AND r.session = 'R'
-  AND r.driver_number = d.driver_number
-GROUP BY 1, 2, 3
+# Entries and outcomes of a season on one axis of time; the frame ends before the entry's own moment.
+FORM = """
+moment AS (
+  SELECT event_year, event, driver_number, qualifying_session_date_utc AS moment, NULL::DECIMAL(18,4) AS points,
+    NULL::INTEGER AS finish, NULL::INTEGER AS retired, FALSE AS scores, FALSE AS races, TRUE AS asks
+  FROM entry
+  UNION ALL
+  SELECT event_year, event, driver_number, b_dim.session_date_utc, CAST(points AS DECIMAL(18,4)), finishing_position,
+    is_retired::INTEGER, TRUE, session = 'R', FALSE
+  FROM b_results JOIN b_dim USING (event_year, event, session) WHERE session IN ('R', 'S')),
+along AS (
+  SELECT *, sum(points) OVER past AS points_so_far, count(*) FILTER (WHERE scores) OVER past AS outcomes,
+    (list(points) FILTER (WHERE races) OVER past)[-3:] AS recent_points,
+    (list(finish) FILTER (WHERE races) OVER past)[-3:] AS recent_finishes,
+    (list(retired) FILTER (WHERE races) OVER past)[-3:] AS recent_retirements
+  FROM moment
+  WINDOW past AS (PARTITION BY event_year, driver_number ORDER BY moment
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP)),
+form AS (
+  SELECT event_year, event, driver_number, CASE WHEN outcomes > 0 THEN CAST(points_so_far AS DOUBLE) END AS season_points_to_date,
+    CAST(list_sum(recent_points) AS DOUBLE) AS last3_race_points, list_avg(recent_finishes) AS last3_avg_finish,
+    CAST(list_sum(recent_retirements) AS BIGINT) AS last3_dnfs,
+    CASE WHEN len(recent_points) > 0 THEN CAST(len(recent_points) AS BIGINT) END AS last3_race_count
+  FROM along WHERE asks),
 """
 
-RACE_PACE = f"""
-SELECT d.event_year, d.event, d.driver_number, {_MEAN} AS hist_avg_race_lap_time,
-  {_STD} AS hist_race_lap_time_std, count(*) AS hist_race_laps_count
-FROM dated d
-JOIN b_dim s ON s.event = d.event AND s.session = 'R' AND s.event_year BETWEEN d.event_year - 3 AND d.event_year - 1
-JOIN b_valid l ON l.event_year = s.event_year AND l.event = s.event AND l.session = 'R'
-  AND l.driver_number = d.driver_number
-GROUP BY 1, 2, 3
+# Sums of each year at one place, and a frame over the three years before.
+VENUE = """
+yearly AS (
+  SELECT event, driver_number, event_year, FALSE AS asks, sum(finishing_position) AS places, count(finishing_position) AS placed,
+    sum(CAST(points AS DECIMAL(18,4))) AS points, count(*) AS starts, 0::HUGEINT AS ms, 0::HUGEINT AS ms2, 0 AS laps
+  FROM b_results SEMI JOIN weekend USING (event_year, event) WHERE session = 'R' GROUP BY event, driver_number, event_year
+  UNION ALL
+  SELECT event, driver_number, event_year, FALSE, 0, 0, 0, 0, sum(lap_ms), sum(CAST(lap_ms AS HUGEINT) * lap_ms), count(*)
+  FROM b_valid SEMI JOIN weekend USING (event_year, event) WHERE session = 'R' GROUP BY event, driver_number, event_year
+  UNION ALL
+  SELECT event, driver_number, event_year, TRUE, 0, 0, 0, 0, 0, 0, 0 FROM entry),
+before AS (
+  SELECT event, driver_number, event_year, asks, sum(places) OVER w AS places, sum(placed) OVER w AS placed,
+    sum(points) OVER w AS points, sum(starts) OVER w AS starts, sum(ms) OVER w AS ms, sum(ms2) OVER w AS ms2,
+    sum(laps) OVER w AS laps
+  FROM yearly
+  WINDOW w AS (PARTITION BY event, driver_number ORDER BY event_year RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING)),
+venue AS (
+  SELECT event_year, event, driver_number,
+    CASE WHEN placed > 0 THEN CAST(places AS DOUBLE) / placed END AS circuit_last3y_avg_finish,
+    CASE WHEN starts > 0 THEN CAST(points AS DOUBLE) / starts END AS circuit_last3y_avg_points,
+    CASE WHEN starts > 0 THEN CAST(starts AS BIGINT) END AS circuit_last3y_race_count,
+    CASE WHEN laps > 0 THEN CAST(ms AS DOUBLE) / (laps * 1000E0) END AS hist_avg_race_lap_time,
+    CASE WHEN laps > 1 THEN round(sqrt(CAST(laps * ms2 - ms * ms AS DOUBLE) / (CAST(laps AS DOUBLE) * (laps - 1))) / 1000, 6)
+      END AS hist_race_lap_time_std,
+    CASE WHEN laps > 0 THEN CAST(laps AS BIGINT) END AS hist_race_laps_count
+  FROM before WHERE asks),
 """
 
-GOLD_STEPS = DATED + f"""
-pa AS ({PRACTICE}), qla AS ({QUALIFYING}), sqla AS ({SPRINT}), ph AS ({POINTS}), l3 AS ({LAST3}),
-c3 AS ({CIRCUIT}), rlh AS ({RACE_PACE}),
+GOLD_STEPS = ENTRIES + FORM + VENUE + f"""
+in_practice AS ({PRACTICE}), in_qualifying AS ({QUALIFYING}), in_sprint_qualifying AS ({SPRINT}),
 gold AS (
-  SELECT dated.*, pa.* EXCLUDE (event_year, event, driver_number), qla.* EXCLUDE (event_year, event, driver_number),
-    sqla.* EXCLUDE (event_year, event, driver_number), season_points_to_date,
-    l3.* EXCLUDE (event_year, event, driver_number), c3.* EXCLUDE (event_year, event, driver_number),
-    hist_avg_race_lap_time, round(hist_race_lap_time_std, 6) AS hist_race_lap_time_std, hist_race_laps_count,
-    COALESCE(w.precipitation_sum_mm, 0) >= 1.0 AS is_wet_race,
-    w.temperature_max_c, w.temperature_min_c, w.wind_speed_max_kmh
-  FROM dated
-  LEFT JOIN pa USING (event_year, event, driver_number)
-  LEFT JOIN qla USING (event_year, event, driver_number)
-  LEFT JOIN sqla USING (event_year, event, driver_number)
-  LEFT JOIN ph USING (event_year, event, driver_number)
-  LEFT JOIN l3 USING (event_year, event, driver_number)
-  LEFT JOIN c3 USING (event_year, event, driver_number)
-  LEFT JOIN rlh USING (event_year, event, driver_number)
-  LEFT JOIN b_weather w USING (event_year, event)),
+  SELECT * EXCLUDE (precipitation_sum_mm), coalesce(precipitation_sum_mm, 0) >= 1.0 AS is_wet_race
+  FROM entry
+  LEFT JOIN form USING (event_year, event, driver_number)
+  LEFT JOIN venue USING (event_year, event, driver_number)
+  LEFT JOIN in_practice USING (event_year, event, driver_number)
+  LEFT JOIN in_qualifying USING (event_year, event, driver_number)
+  LEFT JOIN in_sprint_qualifying USING (event_year, event, driver_number)
+  LEFT JOIN b_weather USING (event_year, event)),
 """
 
 TRAINING_STEPS = GOLD_STEPS + """
-training AS (
-  SELECT g.*, r.finishing_position AS race_finishing_position, r.time_seconds AS race_time_seconds
-  FROM gold g LEFT JOIN b_results r ON r.session = 'R' AND r.event_year = g.event_year AND r.event = g.event
-    AND r.driver_number = g.driver_number),
+outcome AS (
+  SELECT event_year, event, driver_number, max(finishing_position) AS race_finishing_position,
+    max(time_seconds) AS race_time_seconds
+  FROM b_results WHERE session = 'R' GROUP BY event_year, event, driver_number),
+training AS (SELECT * FROM gold LEFT JOIN outcome USING (event_year, event, driver_number)),
 """
 
 _ROUND_STD = "* REPLACE (round(practice_std_lap_time_seconds, 6) AS practice_std_lap_time_seconds)"
@@ -168,20 +166,23 @@ def bound_training(spark, folder):
     return gold.training_dataset(bound_gold(spark, folder), binding.results(spark, folder))
 
 
-@register(with_binding(DATED, "SELECT * FROM dated"))
+@register(with_binding(ENTRIES, "SELECT * FROM entry"))
 def driver_targets(spark, folder):
     return bound_targets(spark, folder)
 
 
-@register(with_binding(DATED, """
-SELECT DISTINCT t.event_year, t.event, t.event_name, c.* EXCLUDE (event_year, event)
-FROM targets t JOIN calendar c ON c.event_year = t.event_year AND c.event = t.event"""))
+@register(with_binding(ENTRIES, """
+SELECT DISTINCT event_year, event, event_name, target_event_number, qualifying_session_date_utc,
+  sprint_qualifying_session_date_utc, is_sprint_weekend
+FROM entry"""))
 def target_events(spark, folder):
     targets = ev.qualifying_targets(binding.results(spark, folder))
     return ev.target_events(targets, binding.sessions(spark, folder))
 
 
-@register(with_binding(TARGETS, "SELECT * FROM targets"))
+@register(with_binding(ENTRIES, """
+SELECT * EXCLUDE (target_event_number, qualifying_session_date_utc, sprint_qualifying_session_date_utc, is_sprint_weekend)
+FROM entry"""))
 def target_projection(spark, folder):
     return ev.qualifying_targets(binding.results(spark, folder))
 
@@ -249,27 +250,31 @@ def bound_form(spark, folder):
     )
 
 
-@register(with_binding(DATED, POINTS))
+@register(with_binding(ENTRIES + FORM, """
+SELECT event_year, event, driver_number, season_points_to_date FROM form WHERE season_points_to_date IS NOT NULL"""))
 def season_points_to_date(spark, folder):
     column = "season_points_to_date"
     return bound_form(spark, folder).select(*DRIVER_EVENT_KEYS, column).dropna(subset=[column])
 
 
-@register(with_binding(DATED, LAST3))
+@register(with_binding(ENTRIES + FORM, "SELECT * EXCLUDE (season_points_to_date) FROM form WHERE last3_race_count IS NOT NULL"))
 def last3_form(spark, folder):
     columns = ["last3_race_points", "last3_avg_finish", "last3_dnfs", "last3_race_count"]
     return bound_form(spark, folder).select(*DRIVER_EVENT_KEYS, *columns).dropna(subset=["last3_race_count"])
 
 
-@register(with_binding(DATED, CIRCUIT))
+@register(with_binding(ENTRIES + VENUE, """
+SELECT event_year, event, driver_number, circuit_last3y_avg_finish, circuit_last3y_avg_points, circuit_last3y_race_count
+FROM venue WHERE circuit_last3y_race_count IS NOT NULL"""))
 def circuit_last3y(spark, folder):
     return history.venue_results(
         bound_targets(spark, folder), binding.results(spark, folder), binding.sessions(spark, folder)
     )
 
 
-@register(with_binding(DATED, f"""
-SELECT * REPLACE (round(hist_race_lap_time_std, 6) AS hist_race_lap_time_std) FROM ({RACE_PACE})"""))
+@register(with_binding(ENTRIES + VENUE, """
+SELECT event_year, event, driver_number, hist_avg_race_lap_time, hist_race_lap_time_std, hist_race_laps_count
+FROM venue WHERE hist_race_laps_count IS NOT NULL"""))
 def race_pace_hist(spark, folder):
     past = history.race_pace_history(
         bound_targets(spark, folder), binding.laps(spark, folder), binding.sessions(spark, folder)
@@ -277,10 +282,10 @@ def race_pace_hist(spark, folder):
     return rounded(past, "hist_race_lap_time_std")
 
 
-@register(with_binding(DATED, """
-SELECT d.event_year, d.event, d.driver_number, COALESCE(w.precipitation_sum_mm, 0) >= 1.0 AS is_wet_race,
-  w.temperature_max_c, w.temperature_min_c, w.wind_speed_max_kmh
-FROM dated d LEFT JOIN b_weather w USING (event_year, event)"""))
+@register(with_binding(ENTRIES, """
+SELECT event_year, event, driver_number, coalesce(precipitation_sum_mm, 0) >= 1.0 AS is_wet_race, temperature_max_c,
+  temperature_min_c, wind_speed_max_kmh
+FROM entry LEFT JOIN b_weather USING (event_year, event)"""))
 def weather_join(spark, folder):
     targets = bound_targets(spark, folder).select(*DRIVER_EVENT_KEYS)
     return ev.with_weather(targets, binding.weather(spark, folder))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
-from eventrank.catalog.features import DATED, LAST3, POINTS, bound_form, bound_targets
+from eventrank.catalog.features import ENTRIES, FORM, bound_form, bound_targets
 from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
 from eventrank.schemas import SESSION_KEYS
@@ -104,8 +104,8 @@ def _runs(spark, folder):
     return path
 
 
-@register(with_binding(DATED, """
-SELECT event_year, event, driver_number, qualifying_position, '20260228T042635Z' AS run_id FROM dated"""))
+@register(with_binding(ENTRIES, """
+SELECT event_year, event, driver_number, qualifying_position, '20260228T042635Z' AS run_id FROM entry"""))
 def sink_run(spark, folder):
     return lake.read_latest(spark, _runs(spark, folder))
 
@@ -118,9 +118,8 @@ def latest_run(spark, folder):
     return lake.latest_run(lake.list_files(spark, [path]))
 
 
-@register(with_binding(DATED + f"ph AS ({POINTS}), l3 AS ({LAST3}),", """
-SELECT event_year, event, driver_number, season_points_to_date, last3_race_points, last3_race_count
-FROM dated LEFT JOIN ph USING (event_year, event, driver_number) LEFT JOIN l3 USING (event_year, event, driver_number)"""))
+@register(with_binding(ENTRIES + FORM, """
+SELECT event_year, event, driver_number, season_points_to_date, last3_race_points, last3_race_count FROM form"""))
 def csv_roundtrip(spark, folder):
     path = scratch_folder(spark, "csv")
     lake.write_csv(bound_form(spark, folder).select(*ROLLING), path)
