@@ -75,9 +75,10 @@ def training_clean(df: DataFrame, features: Sequence[str], drop_missing: bool =
 
 
 def flag_scores(df: DataFrame, score: str = "predicted_score") -> DataFrame:
-    """Rows with a score, their rounded position (half to even) and the podium flag."""
-    position = F.rint(F.col(score)).cast("int")
-    return df.where(F.col(score).isNotNull()).withColumns(
+    """Rows with a score (NaN is none), their rounded position (half to even) and the podium flag."""
+    known = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    position = F.rint(known).try_cast("int")
+    return df.where(known.isNotNull()).withColumns(
         {"predicted_position": position, "is_podium_prediction": position <= PODIUM}
     )
 

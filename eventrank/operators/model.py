@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
@@ -15,9 +18,11 @@ from pyspark.sql import functions as F
 from eventrank.operators.evaluation import LABEL
 from eventrank.operators.order_stats import medians, rank_within, value_counts
 from eventrank.schemas import EVENT_KEYS
+from eventrank.sources.session import stored
 
 # Settings of the boosted trees.
 TREES, DEPTH, STEP, SUBSAMPLE, SEED = 200, 3, 0.05, 0.9, 42
+SIDE_BY_SIDE = 4
 
 
 def feature_medians(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
@@ -40,18 +45,23 @@ def most_frequent(train: DataFrame, column: str) -> str | None:
     return None if row is None else row[column]
 
 
+def numbered(values: DataFrame, column: str, code: str) -> DataFrame:
+    """Distinct values with their number from 0 in ascending order; no task and not the driver sees all of them."""
+    ranged = values.select(column).distinct().repartitionByRange(column).withColumn("part", F.spark_partition_id())
+    ranged = stored(ranged, "numbered")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    # The window sees one row per partition.
+    first = sizes.select("part", (F.sum("n").over(Window.partitionBy().orderBy("part")) - F.col("n")).alias("first"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(column)) - 1
+    return ranged.withColumn("place", place).join(first, "part").select(column, (F.col("first") + F.col("place")).cast("int").alias(code))
+
+
 def ordinal_codes(train: DataFrame, df: DataFrame, column: str, code: str) -> DataFrame:
     """Missing values become the most frequent one, values get codes in text order, unknown ones -1."""
     usual = most_frequent(train, column)
     filled = df.withColumn(column, F.coalesce(F.col(column), F.lit(usual)))
-    indexer = StringIndexer(inputCol=column, outputCol="_code", stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = indexer.fit(train.where(F.col(column).isNotNull()))
-    known = len(model.labels)
-    return (
-        model.transform(filled)
-        .withColumn(code, F.when(F.col("_code") < known, F.col("_code")).otherwise(-1).cast("int"))
-        .drop("_code")
-    )
+    codes = numbered(train.where(F.col(column).isNotNull()), column, code)
+    return filled.join(codes, column, "left").withColumn(code, F.coalesce(code, F.lit(-1))).select(*df.columns, code)
 
 
 def boosted_trees(features: Sequence[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeline:
@@ -66,9 +76,15 @@ def boosted_trees(features: Sequence[str], trees: int = TREES, depth: int = DEPT
 
 
 def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], trees: int = TREES) -> DataFrame:
-    """Impute with the medians of ``train``, fit on it, predict ``test``."""
+    """Impute with the medians of ``train``, fit on it, predict ``test``.
+
+    A feature without any value in ``train`` has no median and is left out of the fit.
+    """
     values = feature_medians(train, features)
-    model = boosted_trees(features, trees).fit(impute(train, values))
+    used = [c for c in features if c in values]
+    if not used:
+        raise ValueError("no feature has a value to learn from")
+    model = boosted_trees(used, trees).fit(impute(train, values))
     return model.transform(impute(test, values)).drop("features")
 
 
@@ -89,12 +105,15 @@ def cross_validate(df: DataFrame, features: Sequence[str], trees: int = TREES) -
     held_out = seasons(df)
     if len(held_out) < 2:
         raise ValueError("leave-one-season-out needs at least two seasons")
-    predictions = None
-    for season in held_out:
+
+    def predicted(season: int) -> DataFrame:
         test = F.col("event_year") == season
-        part = fit_predict(df.where(~test), df.where(test), features, trees)
-        predictions = part if predictions is None else predictions.unionByName(part)
-    return predictions
+        return fit_predict(df.where(~test), df.where(test), features, trees)
+
+    # Folds are fitted side by side: the driver only waits for their jobs.
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(predicted), held_out))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def neighbour_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -118,6 +137,7 @@ def neighbour_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def pairwise_scores(train: DataFrame, df: DataFrame, features: Sequence[str], steps: int = 20) -> DataFrame:
     """Linear score learned from who beat whom; a lower score means a better expected place."""
     values = feature_medians(train, features)
+    features = [c for c in features if c in values]
     pairs = neighbour_pairs(impute(train, values), features)
     sign = F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("sign")
     both = pairs.select(*features, sign).select(

@@ -1,7 +1,9 @@
+import math
 import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventrank.operators import order_stats
 
@@ -53,3 +55,22 @@ def test_average_ranks(spark):
     ranks = order_stats.running_counts(order_stats.value_counts(df, ["g"], "x"), ["g"], "x")
     got = {r.x: r.r / 2 for r in ranks.select("x", order_stats.twice_average_rank().alias("r")).collect()}
     assert got == {1.0: 1.0, 2.0: 2.0, 3.0: 4.0}
+
+
+def test_narrow_range_far_from_zero_is_sliced(spark):
+    counts = spark.range(100_000).select(F.lit("g").alias("g"), (F.col("id") + 1.7e9).alias("x"), F.lit(1).alias("n"))
+    slices = order_stats.sliced(counts, ["g"], "x").groupBy("slice").count()
+    assert slices.count() > 50 and slices.agg(F.max("count")).first()[0] < 5000
+
+
+def test_nan_is_not_ranked(spark):
+    df = spark.createDataFrame([("a", x, i) for i, x in enumerate((math.nan, 1.0, 2.0, 3.0, 5.0))], "g string, x double, tie int")
+    ranks = {r.tie: r.place for r in order_stats.rank_within(df, ["g"], "x", "tie", "place").collect()}
+    assert ranks == {1: 1, 2: 2, 3: 3, 4: 4}
+    assert order_stats.medians(order_stats.value_counts(df, ["g"], "x"), ["g"], "x").first()["median"] == 2.5
+
+
+def test_constant_value_is_ranked_by_tie(spark):
+    df = spark.range(2000).select(F.lit("g").alias("g"), F.lit(4.0).alias("x"), (2000 - F.col("id")).alias("tie"))
+    ranks = order_stats.rank_within(df, ["g"], "x", "tie", "place")
+    assert ranks.where("place <> tie").count() == 0 and ranks.count() == 2000
