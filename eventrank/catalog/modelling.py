@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from eventrank.catalog.registry import register
 from eventrank.operators import evaluation as e
 from eventrank.operators import model as m
 from eventrank.operators import reports
-from eventrank.schemas import DRIVER_EVENT_KEYS, RUN_METADATA_SCHEMA
+from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, RUN_METADATA_SCHEMA
 from eventrank.sources import calendar, lake
 from eventrank.sources.session import scratch_folder, stored
 from eventrank.sources.tables import table
@@ -20,8 +20,6 @@ from eventrank.streaming import ingest
 
 HELD_OUT = 2000
 IMPUTED = ["qualifying_position", "q2_seconds", "q3_seconds"]
-# Registered fits are short; the defaults of the operators are the full settings.
-FEW_TREES = 3
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -67,20 +65,38 @@ def loso_folds(spark, folder):
     return m.season_folds(known(spark, folder))
 
 
-@register()
+def _beats_mean(rows):
+    """Whether the predictions of labelled rows are nearer to the outcome, by mean square, than the outcome's mean."""
+    label, error = F.col(e.LABEL), F.col("prediction") - F.col(e.LABEL)
+    return rows.where(label.isNotNull()).agg((F.avg(error * error) < F.var_pop(label)).alias("beats_mean"))
+
+
+@register(with_binding(LABELLED, f"""
+SELECT {', '.join(DRIVER_EVENT_KEYS)}, TRUE AS is_place, TRUE AS beats_mean FROM lab WHERE race_finishing_position IS NOT NULL"""))
 def gbt_scores(spark, folder):
-    """Boosted trees over the candidate features, fitted on all seasons but one."""
+    """Boosted trees at their full setting over the candidate features, fitted on all seasons but one.
+
+    Fitted numbers cannot be stated in SQL. What can: every driver and event has one prediction, it lies among the places
+    that occur, and over the seasons of the fit the predictions are better than the mean place.
+    """
     rows = stored(candidate_frame(spark, folder), "candidates")
-    held_out = F.col("event_year") == HELD_OUT
-    predicted = m.fit_predict(rows.where(~held_out), rows, e.CANDIDATE_FEATURES, FEW_TREES)
-    return predicted.select(*DRIVER_EVENT_KEYS, "prediction")
+    trained = F.col("event_year") != HELD_OUT
+    predicted = stored(m.fit_predict(rows.where(trained), rows, e.CANDIDATE_FEATURES), "predictions")
+    places = rows.where(trained).agg(F.min(e.LABEL).alias("first"), F.max(e.LABEL).alias("last"))
+    (low, high), (better,) = places.first(), _beats_mean(predicted.where(trained)).first()
+    is_place = F.col("prediction").between(low - 0.5, high + 0.5)
+    return predicted.select(*DRIVER_EVENT_KEYS, is_place.alias("is_place"), F.lit(better).alias("beats_mean"))
 
 
-@register()
+@register(with_binding(LABELLED, """
+SELECT event_year, count(*) AS rows, TRUE AS metrics_in_range FROM known GROUP BY event_year"""))
 def loso_cv(spark, folder):
-    """Metrics of each season by trees over the baseline feature that were fitted on the other seasons."""
+    """Metrics of each season by full boosted trees over the baseline feature that were fitted on the other seasons."""
     rows = stored(known(spark, folder).select(*DRIVER_EVENT_KEYS, "qualifying_position", e.LABEL), "folds")
-    return e.fold_metrics(m.cross_validate(rows, ["qualifying_position"], FEW_TREES))
+    found = e.fold_metrics(m.cross_validate(rows, ["qualifying_position"]))
+    shares = [F.col(c).between(0, 1) for c in ("precision_at_3", "recall_at_3", "precision_at_10", "recall_at_10")]
+    in_range = reduce(lambda a, b: a & b, [*shares, F.col("spearman").between(-1, 1)])
+    return found.select("event_year", "rows", in_range.alias("metrics_in_range"))
 
 
 @register(with_binding(LABELLED, """
@@ -99,13 +115,20 @@ def pair_expand(spark, folder):
     return m.neighbour_pairs(labelled(spark, folder), ["qualifying_position"])
 
 
-@register()
+@register(with_binding(LABELLED, """
+SELECT event_year, event, count(*) AS drivers, TRUE AS ranks_are_one_to_n FROM known GROUP BY event_year, event"""))
 def pairwise_rank(spark, folder):
-    """Linear ranking learned from neighbours in the finishing order of all seasons but one."""
-    features = ["qualifying_position", "q1_seconds"]
-    rows = stored(known(spark, folder).select(*DRIVER_EVENT_KEYS, *features, e.LABEL), "pairs")
-    scored = m.pairwise_scores(rows.where(F.col("event_year") != HELD_OUT), rows, features)
-    return e.score_events(scored).select(*DRIVER_EVENT_KEYS, "predicted_score", "predicted_rank")
+    """Linear ranking over all candidate features, learned from neighbours in the finishing order of all seasons but one.
+
+    Its ranks are fitted numbers; that they number the drivers of each event from one is what SQL can state.
+    """
+    rows = candidate_frame(spark, folder).where(F.col(e.LABEL).isNotNull() & F.col("qualifying_position").isNotNull())
+    rows = stored(rows, "pairs")
+    scored = m.pairwise_scores(rows.where(F.col("event_year") != HELD_OUT), rows, e.CANDIDATE_FEATURES)
+    ranks = e.score_events(scored).groupBy(*EVENT_KEYS)
+    n = F.count(F.lit(1))
+    numbered = (F.count_distinct("predicted_rank") == n) & (F.min("predicted_rank") == 1) & (F.max("predicted_rank") == n)
+    return ranks.agg(n.alias("drivers"), numbered.alias("ranks_are_one_to_n"))
 
 
 @register(with_binding(LABELLED, """
