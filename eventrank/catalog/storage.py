@@ -10,7 +10,7 @@ from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
 from eventrank.schemas import SESSION_KEYS
 from eventrank.sources import binding, calendar, lake
-from eventrank.sources.session import scratch_folder
+from eventrank.sources.session import scratch_folder, stored
 
 COLUMNS = ["event_year", "event", "session", "driver_number", "finishing_position", "q3_seconds", "points"]
 SCHEMA = (
@@ -19,6 +19,7 @@ SCHEMA = (
 )
 DRIFT_YEAR = 1998
 CORRUPT_YEAR = 1900
+EMPTY_YEAR = 1901
 ROLLING = ["event_year", "event", "driver_number", "season_points_to_date", "last3_race_points", "last3_race_count"]
 
 
@@ -58,20 +59,68 @@ def scan_pruned(spark, folder):
 SELECT event_year, count(*) AS rows, CAST(0 AS BIGINT) AS failed_files FROM b_results GROUP BY 1
 UNION ALL SELECT {CORRUPT_YEAR}, 0, 1"""))
 def scan_bulk(spark, folder):
-    """Season folders, one of which holds a file that is no Parquet file."""
+    """Season folders; one holds a file that is no Parquet file, and one more holds a file without rows, which is fine."""
     path = scratch_folder(spark, "bulk")
     rows = _results(spark, folder)
     rows.withColumn("season", F.col("event_year")).hint("rebalance", "season").write.partitionBy("season").parquet(path)
     rows.agg(F.max(F.lit("not a table")).alias("value")).write.text(f"{path}/season={CORRUPT_YEAR}")
-    read = lake.read_bulk(spark, [path], "event_year int, driver_number int")
+    rows.where("event_year IS NULL").coalesce(1).write.parquet(f"{path}/season={EMPTY_YEAR}")
+    schema = "event_year int, driver_number int"
+    status = stored(lake.bulk_status(spark, [path], schema), "status")
     season = F.regexp_extract("file_path", "season=([0-9]+)/", 1).cast("int").alias("event_year")
-    good = read.select(season, F.lit(1).alias("row"))
-    bad = lake.failed_files(lake.list_files(spark, [path]), read).select(season, F.lit(1).alias("failed"))
+    good = lake.read_bulk(spark, [path], schema, status).select(season, F.lit(1).alias("row"))
+    bad = lake.failed_files(status).select(season, F.lit(1).alias("failed"))
     return good.unionByName(bad, allowMissingColumns=True).groupBy("event_year").agg(
         F.count("row").alias("rows"), F.count("failed").alias("failed_files")
     )
 
 
+@register(with_binding("", """
+SELECT CASE WHEN event_number <> 12 THEN event_year END AS event_year, event, session, driver_number, finishing_position,
+  q3_seconds, points
+FROM b_results"""))
+def sink_null_partition(spark, folder):
+    """NULL in a numeric partition column."""
+    path = scratch_folder(spark, "sink")
+    known = F.when(F.col("event_number") != 12, F.col("event_year")).alias("event_year")
+    rows = binding.results(spark, folder).withColumn("event_year", known).select(*COLUMNS)
+    lake.write_partitioned(rows, path, SESSION_KEYS)
+    return lake.read_partitioned(spark, path, SCHEMA.replace("driver_number bigint", "driver_number int"), SESSION_KEYS)
+
+
+@register(with_binding("", """
+SELECT count(*) AS rows, TRUE AS replaced, CAST(0 AS BIGINT) AS errors FROM b_results"""))
+def sink_report(spark, folder):
+    """The report of a write over older data."""
+    path = scratch_folder(spark, "sink")
+    rows = _results(spark, folder)
+    lake.write_partitioned(rows.where(F.col("event_year") < DRIFT_YEAR), path, SESSION_KEYS)
+    report = lake.write_partitioned(rows, path, SESSION_KEYS)
+    counted = lake.read_partitioned(spark, path, SCHEMA, SESSION_KEYS).agg(F.count(F.lit(1)).alias("rows"))
+    facts = {"replaced": F.lit(report.deleted > 0), "errors": F.lit(len(report.errors)).cast("bigint")}
+    return counted.withColumns(facts)
+
+
+@register(with_binding(ENTRIES, """
+SELECT event_year, event, driver_number, qualifying_position, '20260228T042635Z' AS run_id FROM entry"""))
+def publish_run(spark, folder):
+    """Two published runs; the pointer names the second."""
+    path = scratch_folder(spark, "published")
+    targets = bound_targets(spark, folder).select("event_year", "event", "driver_number", "qualifying_position")
+    about = targets.agg(F.count(F.lit(1)).alias("rows"))
+    lake.publish_run(targets.where(F.col("event_year") < 2000), path, "20260101T000000Z", about)
+    lake.publish_run(targets, path, "20260228T042635Z", about)
+    return lake.read_published(spark, path)
+
+
+@register(with_binding(ENTRIES, "SELECT event_year, event, driver_number, 'Q' AS session FROM entry WHERE event_year = 1999 AND event = 'monaco'"))
+def land_session(spark, folder):
+    """Raw rows of one session in the landing layout, stamped with their session."""
+    rows = _results(spark, folder).where("event_year = 1999 AND event = 'monaco' AND session = 'Q'")
+    path = lake.land(rows.select("driver_number"), scratch_folder(spark, "landing"), 1999, "monaco", "Q")
+    return spark.read.parquet(path)
+
+
 @register(with_binding("", """
 SELECT event_year, CASE WHEN event_number <> 12 THEN event || '_' || event_number END AS event, session, driver_number,
   finishing_position, q3_seconds, points

@@ -314,16 +314,16 @@ def ready_run(spark, folder):
 
 @register(with_binding(TRACKING, f"""
 SELECT n > 0 AS should_ingest,
-  CASE WHEN n > 0 THEN 'qualifying time passed, data not yet loaded' ELSE 'nothing to load' END AS ingest_reason,
-  predict_reason = 'all conditions met' AS should_predict, predict_reason, model_run_id, event_partition_key,
+  CASE WHEN n > 0 THEN 'qualifying is over but not loaded' ELSE 'up to date' END AS ingest_reason,
+  predict_reason = 'ready' AS should_predict, predict_reason, model_run_id, event_partition_key,
   n AS late_sessions
 FROM (
   SELECT n, run_id AS model_run_id, x.event_partition_key,
-    CASE WHEN run_id IS NULL THEN 'no trained model available'
-         WHEN x.event_partition_key IS NULL THEN 'not in prediction window'
-         WHEN p.event IS NOT NULL THEN 'predictions already exist'
-         WHEN NOT qualifying_loaded THEN 'qualifying data not yet loaded'
-         ELSE 'all conditions met' END AS predict_reason
+    CASE WHEN run_id IS NULL THEN 'no finished model run'
+         WHEN x.event_partition_key IS NULL THEN 'no event to predict now'
+         WHEN p.event IS NOT NULL THEN 'event was predicted before'
+         WHEN NOT qualifying_loaded THEN 'qualifying is not loaded'
+         ELSE 'ready' END AS predict_reason
   FROM (SELECT count(*) AS n FROM t WHERE session_name_abr = 'Q' AND session_date_utc <= '{NOW}'
           AND NOT COALESCE(data_loaded, FALSE))
   CROSS JOIN (SELECT max(run_id) AS run_id FROM runs WHERE event_year % 2 = 1)

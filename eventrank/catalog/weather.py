@@ -138,17 +138,16 @@ def weather_daily_row(spark, folder):
 
 _ALIGNED = """
 SELECT event_year, event, race_dt_utc, race_hour_timestamp_utc, race_hour_offset_minutes,
-  message LIKE 'OK%' AS aligned, message
+  message LIKE 'aligned%' AS aligned, message
 FROM (
   SELECT *, CASE
       WHEN race_hour_timestamp_utc[1:10] <> race_dt_utc[1:10]
-        THEN 'date mismatch: race_hour=' || race_hour_timestamp_utc[1:10] || ' race_dt=' || race_dt_utc[1:10]
+        THEN 'the hour is of ' || race_hour_timestamp_utc[1:10] || ', the race of ' || race_dt_utc[1:10]
       WHEN race_hour_timestamp_utc[12:13] <> race_dt_utc[12:13]
-        THEN 'hour mismatch: race_hour=' || CAST(race_hour_timestamp_utc[12:13] AS INTEGER)
-          || ' race_dt=' || CAST(race_dt_utc[12:13] AS INTEGER)
-      WHEN abs(race_hour_offset_minutes) > 60
-        THEN 'offset too large: race_hour_offset_minutes=' || race_hour_offset_minutes
-      ELSE 'OK (offset=' || race_hour_offset_minutes || ' min)' END AS message
+        THEN 'the hour begins at ' || CAST(race_hour_timestamp_utc[12:13] AS INTEGER) || ', the race within hour '
+          || CAST(race_dt_utc[12:13] AS INTEGER)
+      WHEN abs(race_hour_offset_minutes) > 60 THEN 'the hour is ' || race_hour_offset_minutes || ' minutes off'
+      ELSE 'aligned, ' || race_hour_offset_minutes || ' minutes off' END AS message
   FROM days JOIN race_hour USING (day))
 """
 

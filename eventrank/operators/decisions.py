@@ -155,16 +155,16 @@ def pipeline_decision(tracking: DataFrame, ready: DataFrame, predicted: DataFram
     known = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
     ingest = F.col("late_sessions") > 0
     reason = (
-        F.when(F.col("model_run_id").isNull(), "no trained model available")
-        .when(F.col("event_partition_key").isNull(), "not in prediction window")
-        .when(F.col("predicted"), "predictions already exist")
-        .when(~F.col("qualifying_loaded"), "qualifying data not yet loaded")
-        .otherwise("all conditions met")
+        F.when(F.col("model_run_id").isNull(), "no finished model run")
+        .when(F.col("event_partition_key").isNull(), "no event to predict now")
+        .when(F.col("predicted"), "event was predicted before")
+        .when(~F.col("qualifying_loaded"), "qualifying is not loaded")
+        .otherwise("ready")
     )
     return known.select(
         ingest.alias("should_ingest"),
-        F.when(ingest, "qualifying time passed, data not yet loaded").otherwise("nothing to load").alias("ingest_reason"),
-        (reason == "all conditions met").alias("should_predict"),
+        F.when(ingest, "qualifying is over but not loaded").otherwise("up to date").alias("ingest_reason"),
+        (reason == "ready").alias("should_predict"),
         reason.alias("predict_reason"),
         "model_run_id", "event_partition_key", "late_sessions",
     )

@@ -137,25 +137,24 @@ def race_hour_alignment(rows: DataFrame) -> DataFrame:
     hour = parse_utc(text)
     offset = F.coalesce("race_hour_offset_minutes", F.lit(0))
 
-    def differ(what: str, chosen: Column, wanted: Column) -> Column:
-        return F.format_string(
-            f"{what} mismatch: race_hour=%s race_dt=%s", chosen.cast("string"), wanted.cast("string")
-        )
-
+    as_text = lambda value: F.coalesce(value.cast("string"), F.lit("?"))
     message = (
-        F.when(F.coalesce(text, F.lit("")) == "", "missing race_hour_timestamp_utc")
-        .when(hour.isNull(), F.format_string("could not parse race_hour_timestamp_utc: '%s'", text))
-        .when(F.to_date(hour) != F.to_date(race), differ("date", F.to_date(hour), F.to_date(race)))
-        .when(F.hour(hour) != F.hour(race), differ("hour", F.hour(hour), F.hour(race)))
+        F.when(F.coalesce(text, F.lit("")) == "", "no race hour is stored")
+        .when(hour.isNull(), F.format_string("the race hour '%s' is no time", text))
+        .when(
+            F.to_date(hour) != F.to_date(race),
+            F.format_string("the hour is of %s, the race of %s", as_text(F.to_date(hour)), as_text(F.to_date(race))),
+        )
         .when(
-            F.abs(offset) > RACE_TOLERANCE_MINUTES,
-            F.format_string("offset too large: race_hour_offset_minutes=%d", offset),
+            F.hour(hour) != F.hour(race),
+            F.format_string("the hour begins at %s, the race within hour %s", as_text(F.hour(hour)), as_text(F.hour(race))),
         )
-        .otherwise(F.format_string("OK (offset=%d min)", offset))
+        .when(F.abs(offset) > RACE_TOLERANCE_MINUTES, F.format_string("the hour is %d minutes off", offset))
+        .otherwise(F.format_string("aligned, %d minutes off", offset))
     )
     return rows.select(
         "event_year", "event", "race_dt_utc", "race_hour_timestamp_utc", "race_hour_offset_minutes",
-        message.startswith("OK").alias("aligned"), message.alias("message"),
+        message.startswith("aligned").alias("aligned"), message.alias("message"),
     )
 
 

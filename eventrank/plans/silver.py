@@ -10,20 +10,30 @@ from eventrank.functions.text import clear_tokens, null_if_token, session_type,
 from eventrank.schemas import SILVER_LAP_COLUMNS, SILVER_RESULT_COLUMNS, prioritise
 
 # Columns of the two tables by type.
-LAP_TEXT = "event_name session_name session event driver team deleted_reason".split()
-LAP_INTS = "event_year driver_number lap_number stint tyre_life position track_status".split()
-LAP_BOOLS = "is_personal_best fresh_tyre deleted is_accurate".split()
-LAP_TIMES = (
-    "time_seconds lap_time_seconds lap_start_time_seconds sector1_time_seconds sector2_time_seconds"
-    " sector3_time_seconds pit_in_time_seconds pit_out_time_seconds sector1_session_time_seconds"
-    " sector2_session_time_seconds sector3_session_time_seconds"
-).split()
-LAP_DOUBLES = "speed_i1 speed_i2 speed_fl speed_st".split()
-RESULT_TEXT = (
-    "event_name event session_name session driver_id full_name first_name last_name broadcast_name abbreviation"
-    " country_code team_id team_name team_color headshot_url"
-).split()
-RESULT_TIMES = "q1_seconds q2_seconds q3_seconds time_seconds".split()
+LAP_TEXT = [
+    "event_name", "session_name", "session", "event", "driver", "team", "deleted_reason",
+]
+LAP_INTS = [
+    "event_year", "driver_number", "lap_number", "stint", "tyre_life", "position", "track_status",
+]
+LAP_BOOLS = [
+    "is_personal_best", "fresh_tyre", "deleted", "is_accurate",
+]
+LAP_TIMES = [
+    "time_seconds", "lap_time_seconds", "lap_start_time_seconds", "sector1_time_seconds", "sector2_time_seconds",
+    "sector3_time_seconds", "pit_in_time_seconds", "pit_out_time_seconds", "sector1_session_time_seconds",
+    "sector2_session_time_seconds", "sector3_session_time_seconds",
+]
+LAP_DOUBLES = [
+    "speed_i1", "speed_i2", "speed_fl", "speed_st",
+]
+RESULT_TEXT = [
+    "event_name", "event", "session_name", "session", "driver_id", "full_name", "first_name", "last_name",
+    "broadcast_name", "abbreviation", "country_code", "team_id", "team_name", "team_color", "headshot_url",
+]
+RESULT_TIMES = [
+    "q1_seconds", "q2_seconds", "q3_seconds", "time_seconds",
+]
 
 
 class _Rows:

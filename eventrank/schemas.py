@@ -11,26 +11,27 @@ EVENT_KEYS = ["event_year", "event"]
 DRIVER_EVENT_KEYS = ["event_year", "event", "driver_number"]
 SESSION_KEYS = ["event_year", "event", "session"]
 
-# Column order of the silver tables (fixed by the data contract).
-SILVER_LAP_COLUMNS = """
-event_year event_name session_name session_type session driver driver_number team lap_number stint
-time_seconds lap_time_seconds lap_start_time_seconds
-sector1_time_seconds sector2_time_seconds sector3_time_seconds total_sector_time_seconds sector_time_mismatch
-pit_in_time_seconds pit_out_time_seconds is_pit_lap
-speed_i1 speed_i2 speed_fl speed_st compound tyre_life fresh_tyre position track_status
-is_personal_best is_accurate deleted fastf1_generated lap_start_date
-sector1_session_time_seconds sector2_session_time_seconds sector3_session_time_seconds deleted_reason
-""".split()
-
-SILVER_RESULT_COLUMNS = """
-event_year event_name event session_name session session_type is_practice is_qualifying is_race is_sprint
-driver_number driver_id full_name first_name last_name broadcast_name abbreviation country_code
-team_id team_name team_color
-finishing_position classified_position grid_starting_position position_change is_retired is_classified
-q1_seconds q2_seconds q3_seconds has_qualifying_data has_complete_qualifying_data
-time_seconds status laps points has_race_data has_complete_race_data headshot_url
-""".split()
+# Column order of the silver tables.
+SILVER_LAP_COLUMNS = [
+    "event_year", "event_name", "session_name", "session_type", "session", "driver", "driver_number", "team",
+    "lap_number", "stint", "time_seconds", "lap_time_seconds", "lap_start_time_seconds", "sector1_time_seconds",
+    "sector2_time_seconds", "sector3_time_seconds", "total_sector_time_seconds", "sector_time_mismatch",
+    "pit_in_time_seconds", "pit_out_time_seconds", "is_pit_lap", "speed_i1", "speed_i2", "speed_fl", "speed_st",
+    "compound", "tyre_life", "fresh_tyre", "position", "track_status", "is_personal_best", "is_accurate", "deleted",
+    "fastf1_generated", "lap_start_date", "sector1_session_time_seconds", "sector2_session_time_seconds",
+    "sector3_session_time_seconds", "deleted_reason",
+]
+
+SILVER_RESULT_COLUMNS = [
+    "event_year", "event_name", "event", "session_name", "session", "session_type", "is_practice", "is_qualifying",
+    "is_race", "is_sprint", "driver_number", "driver_id", "full_name", "first_name", "last_name", "broadcast_name",
+    "abbreviation", "country_code", "team_id", "team_name", "team_color", "finishing_position", "classified_position",
+    "grid_starting_position", "position_change", "is_retired", "is_classified", "q1_seconds", "q2_seconds",
+    "q3_seconds", "has_qualifying_data", "has_complete_qualifying_data", "time_seconds", "status", "laps", "points",
+    "has_race_data", "has_complete_race_data", "headshot_url",
+]
 
+# Columns of a target.
 TARGET_COLUMNS = [
     "event_year", "event", "event_name", "driver_number", "driver_id", "full_name", "abbreviation",
     "team_id", "team_name", "team_color",

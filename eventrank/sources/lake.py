@@ -6,13 +6,30 @@ All access goes through Spark's readers and writers, so any file system that the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventrank.schemas import require_columns
+from eventrank.sources.session import stored
 
 NULL_PARTITION = "__NULL__"
+# Fixed value: errors that a write report tells at most.
+REPORTED_ERRORS = 10
+# Fixed value: the first and last bytes of a Parquet file. A file without rows is no larger than a footer.
+PARQUET_MAGIC = "PAR1"
+FOOTER_BYTES = 1 << 20
+
+
+@dataclass
+class WriteReport:
+    """What a write did: rows written, files of the data before that were deleted, the first errors of deleting."""
+
+    rows: int = 0
+    deleted: int = 0
+    errors: list[str] = field(default_factory=list)
 
 
 def pointer_columns(path: Column) -> list[Column]:
@@ -31,32 +48,85 @@ def _partition_value(name: str) -> Column:
     return F.coalesce(safe, F.lit(NULL_PARTITION)).alias(name)
 
 
-def write_partitioned(df: DataFrame, path: str, parts: Sequence[str], whole: bool = True) -> None:
+def _data_files(spark: SparkSession, path: str) -> tuple[object, list]:
+    """The file system of ``path`` and the data files below it."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    if system.exists(root):
+        files = system.listFiles(root, True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if not file.getName().startswith(("_", ".")):
+                found.append(file)
+    return system, found
+
+
+def _delete(system, files: list, report: WriteReport) -> None:
+    for file in files:
+        try:
+            report.deleted += bool(system.delete(file, False))
+        except Exception as error:  # told in the report; the new data is complete
+            if len(report.errors) < REPORTED_ERRORS:
+                report.errors.append(f"{file.toString()}: {error}")
+
+
+def write_partitioned(
+    df: DataFrame, path: str, parts: Sequence[str], whole: bool = True, order: Sequence[str] = ()
+) -> WriteReport:
     """Snappy Parquet below ``col=value`` folders; the partition columns are kept in the path only.
 
     ``whole`` replaces the full dataset, and leaves it alone when there are no rows; otherwise only the
-    partitions that occur in ``df`` are replaced. Rows are rebalanced by partition: small partitions share a
+    partitions that occur in ``df`` are replaced. ``df`` is run once: whether it had rows is known after writing, and
+    only then the files of before are deleted. Rows are rebalanced by partition: small partitions share a
     task and write one file each, a partition that holds a large share of the rows is split over several.
+    ``order`` sorts the rows of all files instead, range by range.
     """
-    require_columns(df, parts)
-    if whole and df.isEmpty():
-        return
+    require_columns(df, [*parts, *order])
+    spark, seen = df.sparkSession, Observation()
+    if order:
+        # Ranges are found by sampling, which would run the source a second time.
+        df = stored(df, "ordered").repartitionByRange(*order).sortWithinPartitions(*parts, *order)
     named = df.select(*[_partition_value(c) if c in parts else F.col(c) for c in df.columns])
-    writer = named.hint("rebalance", *parts).write.partitionBy(*parts).mode("overwrite")
-    writer.option("partitionOverwriteMode", "static" if whole else "dynamic").parquet(path)
+    dealt = (named if order else named.hint("rebalance", *parts)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    report = WriteReport()
+    if whole:
+        system, before = _data_files(spark, path)
+        dealt.write.partitionBy(*parts).mode("append").parquet(path)
+        report.rows = seen.get["rows"]
+        if report.rows:
+            _delete(system, before, report)
+    else:
+        writer = dealt.write.partitionBy(*parts).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        report.rows = seen.get["rows"]
+    return report
+
+
+def _named_partitions(spark: SparkSession, path: str, schema: str, parts: Sequence[str]) -> tuple[DataFrame, T.StructType]:
+    """The dataset with its partition columns as text, since the name for NULL is no number, and the wanted schema."""
+    wanted = T.StructType.fromDDL(schema)
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in parts else f.dataType) for f in wanted])
+    return spark.read.schema(as_text).parquet(path), wanted
+
+
+def _typed_partitions(df: DataFrame, wanted: T.StructType, parts: Sequence[str]) -> DataFrame:
+    return df.withColumns({p: F.nullif(F.col(p), F.lit(NULL_PARTITION)).cast(wanted[p].dataType) for p in parts})
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: str, parts: Sequence[str]) -> DataFrame:
     """Partitioned dataset with a given schema: columns that a file lacks read as NULL."""
-    df = spark.read.schema(schema).parquet(path)
-    return df.withColumns({p: F.nullif(F.col(p).cast("string"), F.lit(NULL_PARTITION)).cast(df.schema[p].dataType) for p in parts})
+    df, wanted = _named_partitions(spark, path, schema, parts)
+    return _typed_partitions(df, wanted, parts)
 
 
 def read_session(spark: SparkSession, path: str, schema: str, event_year: int, event: str, session: str) -> DataFrame:
     """Rows of one session; only its folder is read. A session without rows is an error."""
-    rows = spark.read.schema(schema).parquet(path).where(
-        (F.col("event_year") == event_year) & (F.col("event") == event) & (F.col("session") == session)
-    )
+    parts = ["event_year", "event", "session"]
+    df, wanted = _named_partitions(spark, path, schema, parts)
+    chosen = df.where((F.col("event_year") == str(event_year)) & (F.col("event") == event) & (F.col("session") == session))
+    rows = _typed_partitions(chosen, wanted, parts)
     if rows.isEmpty():
         raise ValueError(f"no rows for event_year={event_year} event={event} session={session}")
     return rows
@@ -77,16 +147,51 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reader.load(list(paths)).select(F.col("path").alias("file_path"))
 
 
-def read_bulk(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
-    """All Parquet files below ``paths`` in one frame; files that cannot be read are skipped."""
+def _path(column: str = "file_path") -> Column:
+    return F.regexp_replace(column, "^[a-z0-9]+:/*", "/").alias("file_path")
+
+
+def _readable(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
     reader = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
     return reader.parquet(*paths).select("*", "_metadata.file_path")
 
 
-def failed_files(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """Files that no row was read from."""
-    plain = lambda df: df.select(F.regexp_replace("file_path", "^[a-z0-9]+:/*", "/").alias("file_path"))
-    return plain(files).join(plain(rows).distinct(), "file_path", "left_anti")
+def bulk_status(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:
+    """Each file below ``paths`` with the rows that its footer states, the rows that can be read, and ``good``.
+
+    A file is good if both numbers agree. One whose pages break half way, or that has no footer, is not; one without rows
+    is, if it ends as a Parquet file does.
+    """
+    # Without columns only footers are read.
+    stated = _readable(spark, paths, schema).groupBy(_path()).agg(F.count(F.lit(1)).alias("stated"))
+    every = _readable(spark, paths, schema)
+    columns = [F.col(c) for c in every.columns if c != "file_path"]
+    # With a digest of all columns, so that their pages are read to the end.
+    read = every.groupBy(_path()).agg(F.count(F.lit(1)).alias("read"), F.bit_xor(F.xxhash64(*columns)).alias("digest"))
+    binary = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    small = binary.load(list(paths)).where(F.col("length") <= FOOTER_BYTES)
+    magic = F.lit(PARQUET_MAGIC).cast("binary")
+    whole = F.expr("substring(content, -4)") == magic
+    ended = small.select(_path("path"), whole.alias("ended"))
+    status = list_files(spark, paths).select(_path()).join(stated, "file_path", "left").join(read, "file_path", "left")
+    counted = status.join(ended, "file_path", "left").withColumns(
+        {"stated": F.coalesce("stated", F.lit(0)), "read": F.coalesce("read", F.lit(0))}
+    )
+    some = (F.col("read") > 0) & F.col("digest").isNotNull()
+    good = (F.col("stated") == F.col("read")) & (some | F.coalesce("ended", F.lit(False)))
+    return counted.select("file_path", "stated", "read", good.alias("good"))
+
+
+def read_bulk(spark: SparkSession, paths: Sequence[str], schema: str, status: DataFrame | None = None) -> DataFrame:
+    """All Parquet files below ``paths`` in one frame; files that are not good (see ``bulk_status``) are left out whole."""
+    status = bulk_status(spark, paths, schema) if status is None else status
+    bad = status.where("NOT good").select(F.col("file_path").alias("bad_path"))
+    rows = _readable(spark, paths, schema)
+    return rows.join(bad, _path() == F.col("bad_path"), "left_anti")
+
+
+def failed_files(status: DataFrame) -> DataFrame:
+    return status.where("NOT good").select("file_path")
 
 
 def write_run(df: DataFrame, path: str, run_id: str) -> None:
@@ -109,10 +214,45 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/run_id={newest}").withColumn("run_id", F.lit(newest))
 
 
+def _write_line(spark: SparkSession, value: str, path: str) -> None:
+    spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def publish_run(df: DataFrame, path: str, run_id: str, metadata: DataFrame) -> None:
+    """Output of a run, then its metadata, then the marker that it is complete, and last the pointer to it."""
+    spark = df.sparkSession
+    write_run(df, f"{path}/data", run_id)
+    metadata.write.mode("overwrite").json(f"{path}/metadata/{run_id}")
+    _write_line(spark, run_id, f"{path}/complete/{run_id}")
+    _write_line(spark, run_id, f"{path}/latest")
+
+
+def published_run(spark: SparkSession, path: str) -> str:
+    """The run that the pointer names; an error if its marker is missing."""
+    run_id = spark.read.text(f"{path}/latest").first()["value"]
+    _, marked = _data_files(spark, f"{path}/complete/{run_id}")
+    if not marked:
+        raise ValueError(f"run {run_id} below {path} is not complete")
+    return run_id
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    run_id = published_run(spark, path)
+    return spark.read.parquet(f"{path}/data/run_id={run_id}").withColumn("run_id", F.lit(run_id))
+
+
+def land(df: DataFrame, path: str, event_year: int, event: str, session: str) -> str:
+    """Raw rows of one session, stamped with it, below its folder; the folder is the pointer to keep."""
+    folder = f"{path}/{event_year}/{event}/{session}"
+    stamped = df.withColumns({"event_year": F.lit(event_year), "event": F.lit(event), "session": F.lit(session)})
+    stamped.write.mode("overwrite").parquet(folder)
+    return folder
+
+
 def write_ranked(df: DataFrame, path: str, parts: Sequence[str], order: str) -> None:
     """Rows of each partition in the order of ``order``; a large partition continues in the next file."""
     require_columns(df, [*parts, order])
-    placed = df.repartitionByRange(*parts, order).sortWithinPartitions(*parts, order)
+    placed = stored(df, "ranked").repartitionByRange(*parts, order).sortWithinPartitions(*parts, order)
     placed.write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

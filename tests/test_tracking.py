@@ -102,11 +102,11 @@ def test_target_window(spark, now, key, mode):
 @pytest.mark.parametrize(
     "run, done, loaded, now, reason",
     [
-        (None, [], True, "2025-05-25T00:00:00Z", "no trained model available"),
-        ("r1", [], True, "2025-05-01T00:00:00Z", "not in prediction window"),
-        ("r1", ["a"], True, "2025-05-25T00:00:00Z", "predictions already exist"),
-        ("r1", ["other"], False, "2025-05-25T00:00:00Z", "qualifying data not yet loaded"),
-        ("r1", ["other"], True, "2025-05-25T00:00:00Z", "all conditions met"),
+        (None, [], True, "2025-05-25T00:00:00Z", "no finished model run"),
+        ("r1", [], True, "2025-05-01T00:00:00Z", "no event to predict now"),
+        ("r1", ["a"], True, "2025-05-25T00:00:00Z", "event was predicted before"),
+        ("r1", ["other"], False, "2025-05-25T00:00:00Z", "qualifying is not loaded"),
+        ("r1", ["other"], True, "2025-05-25T00:00:00Z", "ready"),
     ],
 )
 def test_pipeline_decision(spark, run, done, loaded, now, reason):
@@ -115,7 +115,7 @@ def test_pipeline_decision(spark, run, done, loaded, now, reason):
     predicted = spark.createDataFrame([(d,) for d in done], "event_partition_key string")
     got = decisions.pipeline_decision(rows, ready, predicted, now).collect()
     assert len(got) == 1 and got[0].predict_reason == reason
-    assert got[0].should_predict == (reason == "all conditions met")
+    assert got[0].should_predict == (reason == "ready")
     assert got[0].should_ingest == (not loaded and now > "2025-05-24T14:00:00Z")
 
 
