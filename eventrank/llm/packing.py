@@ -28,6 +28,8 @@ END_ID = 2
 # Pieces that one task packs together.
 SHARD = 4000
 ROUNDS = 4
+# Exchanges of the local search for each piece of a shard, at most.
+EXCHANGES = 2
 NO_ID = -(1 << 63)
 # Sequences filled less than this are packed again together with those of other shards.
 WELL_FILLED = 0.98
@@ -196,44 +198,66 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(bins: list[list[int]], room: list[int], lengths: list[int], emptiest: int, underfull: list[int]) -> bool:
-    """The exchange that takes most out of the emptiest bin: a move, one for one, two for one or one for two."""
-    own = bins[emptiest]
-    give = [(lengths[i], (i,)) for i in own] + [(lengths[i] + lengths[j], (i, j)) for i, j in combinations(own, 2)]
-    best = (0, None, (), ())
-    for b in underfull:
-        if b == emptiest or not room[b]:
-            continue
-        take = [(0, ())] + [(lengths[i], (i,)) for i in bins[b]]
-        pairs = [(lengths[i] + lengths[j], (i, j)) for i, j in combinations(bins[b], 2)]
-        for gain, given in give:
-            for loss, taken in take if len(given) == 2 else take + pairs:
-                if best[0] < gain - loss <= room[b]:
-                    best = (gain - loss, b, given, taken)
-    gain, b, given, taken = best
-    if b is None:
-        return False
-    bins[emptiest] = [i for i in own if i not in given] + list(taken)
-    bins[b] = [i for i in bins[b] if i not in taken] + list(given)
-    room[emptiest] += gain
-    room[b] -= gain
-    return True
+class _Search:
+    """Bins under change: what each underfull bin can give or take, as sums of up to two of its pieces."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.lengths, self.capacity = bins, lengths, capacity
+        self.fill = np.array([sum(lengths[i] for i in x) for x in bins], np.int64)
+        self.options = {b: self._options(b) for b in np.flatnonzero(self.fill < capacity).tolist()}
+        self._flatten()
+
+    def _options(self, b: int) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+        members = [(), *((i,) for i in self.bins[b]), *combinations(self.bins[b], 2)]
+        return np.array([sum(self.lengths[i] for i in x) for x in members], np.int64), members
+
+    def _flatten(self) -> None:
+        order = sorted(self.options)
+        sizes = [len(self.options[b][0]) for b in order]
+        self.sums = np.concatenate([np.zeros(0, np.int64), *(self.options[b][0] for b in order)])
+        self.of = np.repeat(np.array(order, np.int64), sizes)
+        self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in sizes)])
+        counts = [len(x) for b in order for x in self.options[b][1]]
+        self.count = np.array(counts, np.int64)
+
+    def exchange(self, a: int) -> bool:
+        """The exchange of bin ``a`` with another that increases the sum of squared fills most, if one does."""
+        best = (0, None)
+        for given in self.options[a][1][1:]:
+            gain = sum(self.lengths[i] for i in given) - self.sums
+            growth = gain * (self.fill[self.of] - self.fill[a] + gain)
+            able = (gain > 0) & (gain <= self.capacity - self.fill[self.of]) & (self.of != a) & (self.count + len(given) < 4)
+            k = int(np.argmax(np.where(able, growth, 0))) if len(growth) else 0
+            if len(growth) and able[k] and growth[k] > best[0]:
+                best = (int(growth[k]), (given, int(self.of[k]), int(self.place[k])))
+        if best[1] is None:
+            return False
+        given, b, place = best[1]
+        taken = self.options[b][1][place]
+        for bin_, out, into in ((a, given, taken), (b, taken, given)):
+            self.bins[bin_] = [i for i in self.bins[bin_] if i not in out] + list(into)
+            self.fill[bin_] = sum(self.lengths[i] for i in self.bins[bin_])
+            if 0 < self.fill[bin_] < self.capacity:
+                self.options[bin_] = self._options(bin_)
+            else:
+                del self.options[bin_]
+        self._flatten()
+        return True
 
 
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
-    """Empties bins by exchanges. Each one makes the emptiest bin emptier and a fuller bin fuller, so it ends."""
-    room = [capacity - sum(lengths[i] for i in x) for x in bins]
-    least = -(-sum(lengths) // capacity)
-    alive = sorted(range(len(bins)), key=lambda b: room[b])
-    while len(alive) > least:
-        emptiest = alive.pop()
-        underfull = [b for b in alive if room[b]]
-        while bins[emptiest] and _exchange(bins, room, lengths, emptiest, underfull):
-            underfull = [b for b in underfull if room[b]]
-        if bins[emptiest]:
-            break
-        alive.sort(key=lambda b: room[b])
-    return [x for x in bins if x]
+    """Exchanges between underfull bins, emptiest first, while the sum of squared fills grows; empty bins go.
+
+    The sum is a whole number and grows with each exchange, so the search ends; ``EXCHANGES`` for each piece bounds it.
+    """
+    search, left = _Search(bins, lengths, capacity), EXCHANGES * len(lengths)
+    least, moved = -(-sum(lengths) // capacity), True
+    while moved:
+        moved = False
+        for a in sorted(search.options, key=lambda b: (search.fill[b], b)):
+            while left and a in search.options and np.count_nonzero(search.fill) > least and search.exchange(a):
+                moved, left = True, left - 1
+    return [x for x in search.bins if x]
 
 
 def _packed(rows: DataFrame, shards: int, number: int, capacity: int) -> DataFrame:
