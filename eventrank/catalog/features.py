@@ -12,6 +12,7 @@ from eventrank.operators import history, pace
 from eventrank.plans import gold
 from eventrank.schemas import DRIVER_EVENT_KEYS
 from eventrank.sources import binding
+from eventrank.sources.session import stored
 
 FILTER_YEAR, FILTER_EVENT = 1998, "monaco"
 
@@ -154,16 +155,20 @@ def bound_targets(spark, folder):
     return ev.driver_targets(ev.qualifying_targets(binding.results(spark, folder)), binding.sessions(spark, folder))
 
 
-def bound_gold(spark, folder, **limits):
-    df = gold.gold_features(
-        binding.results(spark, folder), binding.laps(spark, folder), binding.sessions(spark, folder),
-        binding.weather(spark, folder), **limits,
-    )
+def silver(spark, folder):
+    """Results, sessions and weather, stored: gold reads each of them in several places, the given tables are read once."""
+    return {name: stored(getattr(binding, name)(spark, folder), name) for name in ("results", "sessions", "weather")}
+
+
+def bound_gold(spark, folder, tables=None, **limits):
+    tables = tables or silver(spark, folder)
+    df = gold.gold_features(tables["results"], binding.laps(spark, folder), tables["sessions"], tables["weather"], **limits)
     return rounded(df, "practice_std_lap_time_seconds", "hist_race_lap_time_std")
 
 
 def bound_training(spark, folder):
-    return gold.training_dataset(bound_gold(spark, folder), binding.results(spark, folder))
+    tables = silver(spark, folder)
+    return gold.training_dataset(bound_gold(spark, folder, tables), tables["results"])
 
 
 @register(with_binding(ENTRIES, "SELECT * FROM entry"))

@@ -44,7 +44,7 @@ def gold_features(
 ) -> DataFrame:
     """One row per driver in qualifying with everything known before the race.
 
-    ``event_year`` and ``event`` limit the targets only: history always sees all seasons. All parts meet on the
+    ``event_year`` and ``event`` limit the targets only: history sees all that can matter to them. All parts meet on the
     driver and event; the two kinds of history are one window each, over the event's earlier years and over the
     driver's season.
     """
@@ -55,7 +55,9 @@ def gold_features(
     past = past_sums(targets, [pace, raced], sums, sessions)
     kept = [c for c in past.columns if not c.startswith("past_")]
     history = [*venue_columns(), *race_pace_columns(*[F.col(f"past_{c}") for c in LAP_SUMS])]
-    return with_weather(season_form(past.select(*kept, *history), results, sessions), weather)
+    # Form is counted within a season.
+    season = results if event_year is None else results.where(F.col("event_year") == int(event_year))
+    return with_weather(season_form(past.select(*kept, *history), season, sessions), weather)
 
 
 def race_labels(results: DataFrame) -> DataFrame:

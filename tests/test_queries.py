@@ -31,3 +31,9 @@ def test_entry_has_them():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["gold_features", "training_dataset"])
+def test_gold_reads_the_given_results_once(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 0 and plan.count("lineitem.parquet") == 1
