@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -216,6 +216,11 @@ def stream_silver(spark, folder):
 SELECT event_id, ts, user_id, event_type, value, props FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_dedupe(spark, folder):
+    """Two deliveries merged into one target by key, and a third call with nothing new."""
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
-    target = _ingest_twice(spark, folder, partial(ingest.newest, keys=keys, order=order), [])
-    return ingest.read_newest(spark, target, keys, order)
+    landing, target, state = (scratch_folder(spark, name) for name in ("landing", "target", "state"))
+    for delivery in (False, True):
+        _land(spark, folder, landing, delivery)
+        ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
+    ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
+    return ingest.read_merged(spark, target)

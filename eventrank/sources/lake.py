@@ -63,6 +63,11 @@ def _data_files(spark: SparkSession, path: str) -> tuple[object, list]:
     return system, found
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the data files below ``path``; none if there is no such folder."""
+    return [file.toString() for file in _data_files(spark, path)[1]]
+
+
 def _delete(system, files: list, report: WriteReport) -> None:
     for file in files:
         try:

@@ -34,20 +34,32 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A new folder that all executors can reach, below the one named in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting may fall back to this machine's temporary folder.
-    """
+def _scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not root:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
         root = _local_roots.get(context.applicationId)
         if root is None:
             root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="eventrank-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/eventrank-{context.applicationId}"
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that all executors can reach, below the one named in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting may fall back to this machine's temporary folder. Results are lazy, so
+    nobody but the caller knows when a folder has been read for the last time: ``remove_scratch`` removes them all.
+    """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Removes all scratch folders of this application; call it when its results have been read or written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -157,10 +157,13 @@ def test_scratch_folder_follows_the_setting(spark):
         def get(self, key, default=None):
             return "hdfs://shared/ckpt/" if key == "spark.checkpoint.dir" else default
 
+    class Context:
+        applicationId = "app-1"
+
     class Fake:
-        conf = Conf()
+        conf, sparkContext = Conf(), Context()
 
-    assert session.scratch_folder(Fake(), "x").startswith("hdfs://shared/ckpt/x-")
+    assert session.scratch_folder(Fake(), "x").startswith("hdfs://shared/ckpt/eventrank-app-1/x-")
 
 
 def test_stream_takes_each_file_once(spark, folder):
@@ -185,3 +188,23 @@ def test_stream_batch_can_be_repeated(spark, folder):
     for _ in range(2):
         ingest._write_batch(spark.range(4), folder, 7, [])
     assert spark.read.parquet(folder).count() == 4
+
+
+def test_merged_target_does_not_grow_with_deliveries(spark, folder):
+    keys, order, files = ["k"], ["t"], []
+    for delivery in range(3):
+        spark.range(40).select(F.col("id").alias("k"), F.lit(delivery).alias("t")).write.mode("append").parquet(f"{folder}/in")
+        ingest.merge_new_files(spark, f"{folder}/in", "k bigint, t int", f"{folder}/out", f"{folder}/state", keys, order, buckets=4)
+        merged = ingest.read_merged(spark, f"{folder}/out").collect()
+        assert sorted(r.k for r in merged) == list(range(40)) and {r.t for r in merged} == {delivery}
+        files.append(len(lake.data_files(spark, f"{folder}/out")))
+    assert files[0] == files[1] == files[2] <= 8
+
+
+def test_scratch_is_removed(spark):
+    kept = session.stored(spark.range(3), "kept")
+    assert kept.count() == 3
+    path = session._scratch_root(spark)
+    assert pathlib.Path(path).exists()
+    session.remove_scratch(spark)
+    assert not pathlib.Path(path).exists()
