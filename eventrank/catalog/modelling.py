@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
@@ -88,6 +89,27 @@ def gbt_scores(spark, folder):
     return predicted.select(*DRIVER_EVENT_KEYS, is_place.alias("is_place"), F.lit(better).alias("beats_mean"))
 
 
+@register(with_binding(LABELLED, """
+SELECT event_year, event, count(*) AS drivers, TRUE AS ranks_are_one_to_n FROM lab
+WHERE qualifying_position IS NOT NULL GROUP BY event_year, event"""))
+def score_run(spark, folder):
+    """All entries scored by a model that was fitted, saved and loaded again; positions come as text, some are unreadable."""
+    rows = stored(known(spark, folder).select(*DRIVER_EVENT_KEYS, "qualifying_position", e.LABEL), "fold")
+    model, values = m.fit(rows.where(F.col("event_year") != HELD_OUT), ["qualifying_position"])
+    path = scratch_folder(spark, "model")
+    model.write().overwrite().save(path)
+    entries = labelled(spark, folder).select(*DRIVER_EVENT_KEYS, "qualifying_position")
+    raw = F.coalesce(F.col("qualifying_position").cast("string"), F.lit("none"))
+    entries = entries.withColumn("qualifying_position", raw)
+    return _ranked(m.score_rows(entries, PipelineModel.load(path), values, ["qualifying_position"]))
+
+
+def _ranked(scored):
+    n = F.count(F.lit(1))
+    numbered = (F.count_distinct("predicted_rank") == n) & (F.min("predicted_rank") == 1) & (F.max("predicted_rank") == n)
+    return scored.groupBy(*EVENT_KEYS).agg(n.alias("drivers"), numbered.alias("ranks_are_one_to_n"))
+
+
 @register(with_binding(LABELLED, """
 SELECT event_year, count(*) AS rows, TRUE AS metrics_in_range FROM known GROUP BY event_year"""))
 def loso_cv(spark, folder):
@@ -125,10 +147,7 @@ def pairwise_rank(spark, folder):
     rows = candidate_frame(spark, folder).where(F.col(e.LABEL).isNotNull() & F.col("qualifying_position").isNotNull())
     rows = stored(rows, "pairs")
     scored = m.pairwise_scores(rows.where(F.col("event_year") != HELD_OUT), rows, e.CANDIDATE_FEATURES)
-    ranks = e.score_events(scored).groupBy(*EVENT_KEYS)
-    n = F.count(F.lit(1))
-    numbered = (F.count_distinct("predicted_rank") == n) & (F.min("predicted_rank") == 1) & (F.max("predicted_rank") == n)
-    return ranks.agg(n.alias("drivers"), numbered.alias("ranks_are_one_to_n"))
+    return _ranked(e.score_events(scored))
 
 
 @register(with_binding(LABELLED, """

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +15,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventrank.operators.evaluation import LABEL
+from eventrank.operators.evaluation import LABEL, score_events
 from eventrank.operators.order_stats import medians, rank_within, value_counts
 from eventrank.schemas import EVENT_KEYS
 from eventrank.sources.session import stored
@@ -80,12 +80,31 @@ def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], tree
 
     A feature without any value in ``train`` has no median and is left out of the fit.
     """
+    model, values = fit(train, features, trees)
+    return model.transform(impute(test, values)).drop("features")
+
+
+def fit(train: DataFrame, features: Sequence[str], trees: int = TREES) -> tuple[PipelineModel, dict[str, float]]:
+    """The fitted trees, and the medians of the features that they use."""
     values = feature_medians(train, features)
     used = [c for c in features if c in values]
     if not used:
         raise ValueError("no feature has a value to learn from")
-    model = boosted_trees(used, trees).fit(impute(train, values))
-    return model.transform(impute(test, values)).drop("features")
+    return boosted_trees(used, trees).fit(impute(train, values)), values
+
+
+def score_rows(rows: DataFrame, model: PipelineModel, values: dict[str, float], required: Sequence[str]) -> DataFrame:
+    """Scores, rounded places, podium flags and ranks of rows that may hold anything.
+
+    Features are read as numbers; what is none, NaN too, is missing. Rows without a required feature are left out, other
+    gaps get the medians of the fit. It is an error if no row is left.
+    """
+    nothing = F.lit(None).cast("double")
+    numbers = {c: F.nanvl(F.col(c).try_cast("double"), nothing) if c in rows.columns else nothing for c in values}
+    valid = rows.withColumns(numbers).dropna(subset=list(required))
+    if valid.isEmpty():
+        raise ValueError(f"no row has {', '.join(required)}")
+    return score_events(model.transform(impute(valid, values)).drop("features"), "prediction")
 
 
 def seasons(df: DataFrame) -> list[int]:

@@ -2,6 +2,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from eventrank.operators import evaluation as e
 from eventrank.operators import model as m
@@ -97,3 +98,27 @@ def test_boosted_trees_learn_the_grid(outcome):
 def test_pairwise_ranking_learns_the_grid(outcome):
     scored = e.score_events(m.pairwise_scores(outcome, outcome, ["grid"]))
     assert all(r.predicted_rank == r.driver_number for r in scored.collect())
+
+
+def test_scoring_leaves_out_what_is_no_number(spark):
+    train = spark.createDataFrame([(2000 + i % 3, "a", i, float(i % 7), None, i % 7 + 1) for i in range(60)],
+                                  f"event_year int, event string, driver_number int, x double, gap double, {e.LABEL} int")
+    model, values = m.fit(train, ["x", "gap"], trees=3)
+    assert list(values) == ["x"]
+    rows = spark.createDataFrame([(2004, "a", 1, "3"), (2004, "a", 2, "NaN"), (2004, "a", 3, "fast"), (2004, "a", 4, "1.5"), (2004, "a", 5, None)],
+                                 "event_year int, event string, driver_number int, x string")
+    scored = m.score_rows(rows, model, values, ["x"]).collect()
+    assert {r.driver_number: r.predicted_rank for r in scored} == {4: 1, 1: 2}
+    with pytest.raises(ValueError, match="no row"):
+        m.score_rows(rows.where("driver_number IN (2, 3)"), model, values, ["x"])
+
+
+def test_nan_score_is_no_score(spark):
+    rows = spark.createDataFrame([(2000, "a", 1, float("nan")), (2000, "a", 2, 2.5)], "event_year int, event string, driver_number int, predicted_score double")
+    assert [(r.driver_number, r.predicted_position, r.predicted_rank) for r in e.score_events(rows).collect()] == [(2, 2, 1)]
+
+
+def test_labels_are_numbered_in_order(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("c"))
+    codes = m.numbered(rows.repartition(5).union(rows), "c", "code")
+    assert codes.where("code <> cast(substring(c, 2) AS int)").count() == 0 and codes.count() == 5000
