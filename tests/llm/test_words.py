@@ -45,7 +45,6 @@ def test_sets_are_distinct_shingles():
     blob, ends = text_bytes(pa.array(TEXTS))
     sets = Sets(blob, ends, 3)
     for d, text in enumerate(TEXTS):
-        w = lower(text or "").replace("\x1f", "_").split()
         w = re.findall("[^\x20\x09-\x0d]+", lower(text or ""))
         want = {tuple(w[i : i + 3]) for i in range(max(len(w) - 2, 1))} if w else set()
         assert sets.size[d] == len(want)
@@ -54,14 +53,13 @@ def test_sets_are_distinct_shingles():
 def test_signatures_estimate_similarity():
     r = random.Random(5)
     pool = [f"w{i}" for i in range(4000)]
-    texts, pairs = [], []
+    texts = []
     for k in range(60):
         shared, own = 10 + 5 * k, 60
         base = r.sample(pool, shared + 2 * own)
         texts += [" ".join(base[: shared + own]), " ".join(base[:shared] + base[shared + own :])]
-        pairs.append(None)
     blob, ends = text_bytes(pa.array(texts))
-    sets = Sets(blob, ends, 1 + 0) if False else Sets(blob, ends, 3)
+    sets = Sets(blob, ends, 3)
     found = signatures(sets)
     errors = []
     for k in range(60):
