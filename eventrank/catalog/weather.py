@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from eventrank.catalog.registry import register
 from eventrank.functions.values import parse_utc
 from eventrank.operators import weather as w
-from eventrank.schemas import PAYLOAD_SCHEMA
+from eventrank.schemas import EVENT_KEYS, PAYLOAD_SCHEMA
 from eventrank.sources import payloads
 from eventrank.sources.binding import EVENT_NAMES
-from eventrank.sources.lake import read_json, write_json
+from eventrank.sources.lake import read_json, read_partitioned, write_json
 from eventrank.sources.session import scratch_folder
 
 _NAME = " ".join(f"WHEN {k} THEN '{name}'" for k, (name, _) in EVENT_NAMES.items())
@@ -125,6 +125,21 @@ def silver_weather_qualifying(spark, folder):
     return _silver(spark, folder, w.silver_qualifying)
 
 
+@register(sql("""
+SELECT event_year, event, 'forecast' AS dataset FROM days JOIN race_hour USING (day)
+UNION ALL SELECT event_year, event, 'historical_qualifying' FROM days JOIN qualifying_hour USING (day)"""))
+def weather_sink(spark, folder):
+    """Both weather datasets written below one folder and read back."""
+    path, landed = scratch_folder(spark, "weather"), _landed(spark, folder)
+    w.write_silver(payloads.pointers(landed), landed, path)
+    schema = "qualifying_dt_utc string, event_year int, event string"
+    parts = [
+        read_partitioned(spark, f"{path}/{name}", schema, EVENT_KEYS).select(*EVENT_KEYS, F.lit(name).alias("dataset"))
+        for name in w.DATASETS
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @register(sql("""
 SELECT event_year, event, event_name, strftime(race, '%Y-%m-%d') AS race_date, CAST(k AS DOUBLE) AS circuit_lat,
   CAST(-k AS DOUBLE) AS circuit_lng,

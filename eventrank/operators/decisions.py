@@ -85,8 +85,8 @@ def _session_times(tracking: DataFrame) -> DataFrame:
 
 def upcoming_event(tracking: DataFrame, now: str) -> DataFrame:
     """The event with the next qualifying after ``now``."""
-    later = _session_times(tracking).where(F.col("qualifying_time") > F.lit(now))
-    return later.orderBy("qualifying_time", "event_partition_key").limit(1)
+    later = _session_times(tracking).where(parse_utc(F.col("qualifying_time")) > parse_utc(F.lit(now)))
+    return later.orderBy(parse_utc(F.col("qualifying_time")), "event_partition_key").limit(1)
 
 
 def prediction_window(tracking: DataFrame, now: str) -> DataFrame:
@@ -143,7 +143,7 @@ def ready_run(runs: DataFrame, markers: DataFrame) -> DataFrame:
 
 def pipeline_decision(tracking: DataFrame, ready: DataFrame, predicted: DataFrame, now: str) -> DataFrame:
     """One row: is there data to ingest, is there a prediction to run, and why."""
-    late = (F.col("session_name_abr") == "Q") & (F.col("session_date_utc") <= F.lit(now)) & not_loaded()
+    late = (F.col("session_name_abr") == "Q") & (parse_utc(F.col("session_date_utc")) <= parse_utc(F.lit(now))) & not_loaded()
     backlog = tracking.agg(F.count_if(late).alias("late_sessions"))
     window = prediction_window(tracking, now)
     done = predicted.select("event_partition_key", F.lit(True).alias("predicted")).distinct()

@@ -73,9 +73,9 @@ def load_backlog(tracking: DataFrame, now: str | None, limit: int | None = None)
     """Sessions still to load, newest season and date first; ``now`` None includes future ones."""
     open_rows = tracking.where(not_loaded())
     if now is not None:
-        open_rows = open_rows.where(F.col("session_date_utc") < F.lit(now))
+        open_rows = open_rows.where(parse_utc(F.col("session_date_utc")) < parse_utc(F.lit(now)))
     ordered = open_rows.orderBy(
-        F.desc_nulls_last("event_year"), F.desc_nulls_last("session_date_utc"), *[F.asc(k) for k in KEYS]
+        F.desc_nulls_last("event_year"), parse_utc(F.col("session_date_utc")).desc_nulls_last(), *[F.asc(k) for k in KEYS]
     )
     return ordered if limit is None else ordered.limit(limit)
 

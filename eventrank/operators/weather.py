@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from eventrank.functions.text import event_slug
 from eventrank.functions.values import format_utc, is_wet, minute_offset, parse_utc, seconds_between
+from eventrank.schemas import EVENT_KEYS
+from eventrank.sources.lake import WriteReport, write_partitioned
 
 # Feature name -> series it is read from.
 DAILY_SERIES = {
@@ -109,6 +111,18 @@ def silver_qualifying(pointers: DataFrame, payloads: DataFrame) -> DataFrame:
     return _silver(pointers, payloads, [], ["qualifying_dt_utc", "fetched_at_utc"], "qualifying_hour")
 
 
+def write_silver(pointers: DataFrame, payloads: DataFrame, path: str, dataset: str = "all") -> dict[str, WriteReport]:
+    """The chosen datasets (``DATASETS``, or all of them) below ``path``, partitioned by event; a report of each write."""
+    if dataset != "all" and dataset not in DATASETS:
+        raise ValueError(f"no such dataset: {dataset}")
+    chosen = DATASETS if dataset == "all" else {dataset: DATASETS[dataset]}
+    return {name: write_partitioned(rows(pointers, payloads), f"{path}/{name}", EVENT_KEYS) for name, rows in chosen.items()}
+
+
+# Names of the weather datasets.
+DATASETS = {"forecast": silver_forecast, "historical_qualifying": silver_qualifying}
+
+
 def daily_rows(payloads: DataFrame) -> DataFrame:
     """First day of the series as one flat row with the wet flag."""
     daily = "open_meteo_response.daily"

@@ -129,3 +129,10 @@ def test_ready_run_needs_the_marker(spark):
     runs = spark.createDataFrame([("20250101T0Z",), ("20250201T0Z",)], "run_id string")
     markers = spark.createDataFrame([("20250101T0Z",)], "run_id string")
     assert decisions.ready_run(runs, markers).first().run_id == "20250101T0Z"
+
+
+def test_dates_are_compared_as_times(spark):
+    rows = [(2025, "2025-03-23 01:00:00", "Q", "a", False), (2025, "2025-03-23T00:30:00Z", "Q", "b", False), (2025, "soon", "Q", "c", False)]
+    columns = "event_year int, session_date_utc string, session_name_abr string, event_partition_key string, data_loaded boolean"
+    found = tracking.load_backlog(spark.createDataFrame(rows, columns), "2025-03-23T00:45:00Z").collect()
+    assert [r.event_partition_key for r in found] == ["b"]
