@@ -3,8 +3,8 @@
 Texts with equal sets of shingles are one class from the start, so that copies cost one row each. Classes that agree in a
 band share a bucket. A bucket is not expanded into pairs:
 
-1. each class is compared with one other, the first member of a bucket, chosen by the number of buckets they share, and
-   found links are united;
+1. each class is compared with one other, the centre of a bucket, chosen by the number of buckets they share, and found
+   links are united;
 2. buckets of one component are done. Classes of the other buckets are compared exactly: similar sets must share one of
    their rarest shingles, near enough to the front of both; only pairs of different components that do are verified.
    A shingle that a whole group has in common is not rare there, so it does not pair the group's members.
@@ -89,8 +89,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _first_links(members: DataFrame) -> DataFrame:
-    """Each class with the first member of the bucket most of whose kind it shares; one pair for a class at most."""
-    shared = members.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    """Each class with the centre of the buckets that it shares most of; one pair for a class at most.
+
+    The centre of a bucket is its member with most neighbours in all buckets: of a group of changed copies it is one
+    that was changed least, which most of the others are similar to.
+    """
+    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    central = F.max_by("node", F.struct("degree", -F.col("node"))).alias("pivot")
+    pivots = members.join(degrees, "node").groupBy("key").agg(central)
+    shared = members.join(pivots, "key").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
     best = shared.groupBy("node").agg(F.max_by("pivot", F.struct("n", -F.col("pivot"))).alias("pivot"))
     return best.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
@@ -104,8 +111,10 @@ def _further_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """
     tokens = sets.select("node", "component", F.size("keys").alias("n"), F.explode("keys").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
-    # A shingle of one class is rarer than all others and matches nothing: it only moves the others back.
-    ranked = tokens.join(counts.where("df > 1"), "token").groupBy("node", "component", "n").agg(
+    # A shingle of one class is rarer than all others and matches nothing: it only moves the others back. The counts are
+    # stored, so that both sides of the join are dealt out for it and a very common shingle's rows can be split.
+    counts = stored(counts.where("df > 1"), "counts")
+    ranked = tokens.join(counts, "token").groupBy("node", "component", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "token", (F.col("low") < F.col("high")).alias("mixed")))).alias("ranked")
     )
     length = F.expr(f"size(ranked) + 1 - CAST(({percent} * n + 99) DIV 100 AS int)")
@@ -144,7 +153,7 @@ def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> D
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     banded = classes.select("node", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = stored(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     members = stored(banded.join(buckets, "key"), "members")
     needed = classes.join(members.select("node").distinct(), "node", "left_semi")
     sets = stored(_sets(docs, needed, shingle), "sets")
