@@ -79,9 +79,9 @@ def _covered(found: DataFrame, docs: DataFrame) -> DataFrame:
     runs = F.regexp_extract_all(F.lower("secret"), F.lit("[a-z]{3,}"), F.lit(0))
     parts = found.select("secret").distinct().select("secret", F.explode(runs).alias("word"))
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col("text").cast("string")), "[^a-z]+"))).alias("word"))
-    wanted = parts.select("word").distinct()
-    # Counted before the join, so that a frequent word is a few rows; only words of findings stay.
-    known = words.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= KNOWN_WORD)
+    # Counted before anything is joined: a task passes on each of its words once, however often it occurs.
+    known = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= KNOWN_WORD)
+    known = known.join(parts.select("word").distinct(), "word", "left_semi")
     cover = parts.join(known.select("word"), "word").groupBy("secret").agg(F.sum(F.length("word")).alias("letters"))
     return found.join(cover, "secret", "left").withColumn("covered", F.coalesce(F.col("letters") / F.length("secret"), F.lit(0.0))).drop("letters")
 
