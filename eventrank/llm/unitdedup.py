@@ -96,7 +96,8 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = units(docs)
     place = F.struct("doc_id", "text_key", "start")
     first = found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where("first <> last").drop("last")
+    # Stored, so that both sides of the join are dealt out for it and a very common unit's rows can be split.
+    first = stored(first.where("first <> last").drop("last"), "first")
     later = found.join(first, ["d1", "d2"]).where(place != F.col("first")).drop("d1", "d2")
     # Units that follow each other have numbers that grow with their rank; repeated rows share a rank.
     rank = F.expr("dense_rank() OVER (PARTITION BY doc_id, text_key ORDER BY unit)")
