@@ -28,6 +28,8 @@ STEPS = 6
 MIN_ROWS = 200
 QUANTILE = 0.999999
 UNIT = 1000
+# Rows of a group meet its estimate in so many parts.
+SALTS = 64
 # Statistics, and the least deviation of each that counts as one unit of distance. Clean texts have no symbols or
 # repetition at all, so their covariance alone would be singular.
 STATISTICS = {
@@ -116,14 +118,22 @@ def _grouped(rows: DataFrame) -> DataFrame:
     group = F.struct(
         "kind", F.when(F.col("kind") > 0, F.col("lang")).alias("lang"), F.when(F.col("kind") == 2, F.col("source")).alias("source")
     )
-    return rows.join(kinds, F.expr("lang <=> lang_ AND source <=> source_")).withColumn("group", F.xxhash64(group)).drop("lang_", "source_", "kind")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    kinds = _salted(kinds).withColumnRenamed("salt", "salt_")
+    found = dealt.join(kinds, F.expr("lang <=> lang_ AND source <=> source_ AND salt = salt_")).drop("salt_")
+    return found.withColumn("group", F.xxhash64(group)).drop("lang_", "source_", "kind")
+
+
+def _salted(table: DataFrame) -> DataFrame:
+    """One copy of each row of a table of groups for each part that the group's rows are dealt over."""
+    return table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians, and inverse squared median deviations on the diagonal. Statistics have few distinct values."""
     names = list(STATISTICS)
     middle = rows.groupBy("group").agg(*[F.median(c).alias(f"m_{c}") for c in names])
-    near = rows.join(middle, "group").groupBy("group", *[f"m_{c}" for c in names])
+    near = rows.join(_salted(middle), ["group", "salt"]).groupBy("group", *[f"m_{c}" for c in names])
     spread = near.agg(F.count("*").alias("n"), *[F.median(F.abs(F.col(c) - F.col(f"m_{c}"))).alias(f"s_{c}") for c in names])
     inverse = []
     for a, i in enumerate(names):
@@ -144,7 +154,7 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     total = terms[0]
     for term in terms[1:]:
         total = total + term
-    joined_rows = rows.join(estimates, "group", "left").select("*", *[x.alias(f"away_{i}") for i, x in enumerate(away)])
+    joined_rows = rows.join(_salted(estimates), ["group", "salt"], "left").select("*", *[x.alias(f"away_{i}") for i, x in enumerate(away)])
     distance = joined_rows.withColumn("distance", total).drop(*[f"away_{i}" for i in range(len(names))])
     return distance.withColumn("bin", F.floor(64 * F.log2(F.greatest("distance", F.lit(0.0)) + F.lit(2.0**-10))).cast("int"))
 
@@ -160,7 +170,7 @@ def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """One concentration step."""
     names = list(STATISTICS)
     placed = _distance(rows, estimates)
-    near = placed.join(_quantile_bins(placed, SUPPORT), "group").where("bin <= cut")
+    near = placed.join(_salted(_quantile_bins(placed, SUPPORT)), ["group", "salt"]).where("bin <= cut")
     sums = near.groupBy("group", "n").agg(
         F.count("*").alias("kept"),
         *[F.sum(c).alias(f"s_{i}") for i, c in enumerate(names)],
@@ -217,7 +227,7 @@ def judged(docs: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     # The nearest part is narrower than the whole; the median distance tells by how much.
     wide = F.greatest(F.pow(F.lit(2.0), (F.col("cut") + 1) / 64) / chi_square(p, 0.5), F.lit(1.0))
     limits = middle.select("group", (wide * chi_square(p, quantile)).alias("limit"))
-    told = placed.join(limits, "group", "left").withColumn("kept", F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True)))
+    told = placed.join(_salted(limits), ["group", "salt"], "left").withColumn("kept", F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True)))
     columns = ["doc_id", "lang", "source", *BASE, "base_failed", "distance", "kept"]
     failed = rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     return told.select(*columns).unionByName(failed.select(*columns))
