@@ -185,6 +185,19 @@ def test_line_dedup_equals_brute_force(spark):
     assert {x for y in left for x in y} | {""} == before | {""}
 
 
+def test_long_runs_on_few_lines_are_removed(spark):
+    line = lambda seed, n: " ".join(data.words(seed, n))
+    long, half, other = line(1, 60), line(2, 26), line(3, 26)
+    docs = [(0, f"{line(10, 3)}\n{long}\n{line(11, 3)}"), (1, f"{line(12, 3)}\n{half}\n{other}\n{line(13, 3)}")]
+    docs += [(2 + i, f"{line(20 + i, 5)}\n{long}\n{line(70 + i, 5)}") for i in range(20)]
+    docs += [(50 + i, f"{line(120 + i, 5)}\n{half}\n\n{other}\n{line(170 + i, 5)}") for i in range(20)]
+    docs += [(100, long), (101, f"{line(14, 49)}"), (102, f"{line(14, 49)}"), (103, f"{line(15, 3)}\n{line(16, 70)}\n{line(17, 3)}\n{line(16, 70)}")]
+    found = {x.doc_id: [tuple(y) for y in x.removed] for x in linededup.deduplicated(data.frame(spark, docs)).collect()}
+    assert found[0] == found[1] == found[101] == found[102] == []
+    assert all(found[2 + i] == [(1, 1)] and found[50 + i] == [(1, 3)] for i in range(20))
+    assert found[100] == [(0, 0)] and found[103] == [(3, 3)]
+
+
 # Quality
 
 
