@@ -19,7 +19,7 @@ MIN_LENGTH = 12
 FINDING = f"[A-Za-z0-9_+/=-]{{{MIN_LENGTH},}}"
 # Characters before and after a finding that are looked at.
 CONTEXT = 60
-# Labelled findings that the forest learns from, the first by a hash.
+# Distinct findings of each label that the forest learns from, the first by a hash.
 SAMPLE = 20_000
 TREES = 40
 DEPTH = 6
@@ -122,6 +122,15 @@ def weak_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", rule.cast("double"))
 
 
+def _sample(learnt: DataFrame) -> DataFrame:
+    """Up to ``SAMPLE`` findings of each label, so that a rare one is there; copies in the same context are one."""
+    context = ["secret", "before", "after"]
+    distinct = learnt.groupBy("label", *context).agg(F.min(F.struct(*FEATURES)).alias("x"))
+    order = [F.xxhash64(*context), *context]
+    of = lambda label: distinct.where(F.col("label") == label).orderBy(*order).limit(SAMPLE)
+    return of(0.0).unionByName(of(1.0)).select("label", "x.*").coalesce(1)
+
+
 def scanned(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Every finding with the forest's ``score`` and ``is_secret``.
 
@@ -135,9 +144,7 @@ def scanned(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     if labels is not None:
         known = labels.groupBy("secret").agg(F.max(F.col("label").cast("double")).alias("reviewed"))
         learnt = found.join(known, "secret", "left").withColumn("label", F.coalesce("reviewed", "label"))
-    order = F.xxhash64("secret", "before", "after")
-    sample = learnt.orderBy(order, "secret", "before", "after", "doc_id", "start").limit(SAMPLE)
-    sample = stored(sample.select("label", *FEATURES), "labelled")
+    sample = stored(_sample(learnt), "labelled")
     kinds = sorted(r["label"] for r in sample.groupBy("label").count().collect())
     if len(kinds) < 2:
         scored = found.withColumn("score", F.lit(kinds[0] if kinds else 0.0))

@@ -368,6 +368,19 @@ def test_forest_removes_false_positives(spark):
     assert sum(turned[i] == (i >= 100) for i in turned) >= 114
 
 
+@pytest.mark.parametrize("many,copies", [(400, 1), (40, 30)])
+def test_rare_secrets_are_learnt(spark, monkeypatch, many, copies):
+    """A sample of 20 findings of each kind knows the rare kind, however often one finding is copied."""
+    r = random.Random(5)
+    key = lambda: "".join(r.choices("0123456789abcdef", k=39)) + "7"
+    numbers = [f"{data.prose(i, 20)} number {r.randrange(10**15, 10**16)} {data.prose(i + 99, 10)}" for i in range(many)]
+    rows = [(many * k + i, x) for k in range(copies) for i, x in enumerate(numbers)]
+    rows += [(2000 + i, f'{data.prose(i, 20)} api_key = "{key()}" {data.prose(i + 99, 10)}') for i in range(8)]
+    monkeypatch.setattr(secrets, "SAMPLE", 20)
+    found = {x.doc_id: x.is_secret for x in secrets.scanned(data.frame(spark, rows)).collect()}
+    assert len(found) == len(rows) and all(x == (i >= 2000) for i, x in found.items())
+
+
 # Substrings
 
 
