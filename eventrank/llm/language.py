@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from eventrank.llm.common import documents, held_out, ship, slices, text_bytes
 
-# Learning reads a bounded sample: documents of each language, the first by a hash of their id, of at most this size.
+# Learning reads a bounded sample: documents of each language, the first by a hash of their id, each up to this size.
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 20_000
-# Characters of each automaton; the same for all languages, so that none matches longer for having more text.
+# Characters of each automaton, or as many as its language has.
 TRAINED_CHARS = 32_768
 # All automata together; with more languages each gets less text.
 ALL_CHARS = 1 << 20
@@ -140,8 +140,8 @@ def learn(docs: DataFrame) -> Automata | None:
     limits = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(4.0 * SAMPLE_DOCS / n))])
     chosen = rows.withColumn("share", share).where(F.col("share") < limits[F.col("lang")])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "doc_id"))
-    fits = (F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS)
-    sample = chosen.where(fits).withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
+    chosen = chosen.withColumn("text", F.left("text", F.lit(SAMPLE_CHARS)))
+    sample = chosen.where(F.length("text") > 0).withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
     table = sample.select("lang", "place", "text").toArrow()
     texts: dict[str, list[str]] = {}
     for lang, _, text in sorted(zip(*(table[c].to_pylist() for c in ("lang", "place", "text")))):
@@ -150,8 +150,21 @@ def learn(docs: DataFrame) -> Automata | None:
     return train(texts) if texts else None
 
 
+def _halves(texts: list[str]) -> tuple[list[str], list[str]]:
+    """Every other text; a single text is cut in the middle, as no phrase is usual that is read where it was learnt."""
+    if len(texts) > 1:
+        return texts[::2], texts[1::2]
+    middle = -(-len(texts[0]) // 2)
+    return [texts[0][:middle]], [texts[0][middle:] or texts[0]]
+
+
 def train(texts: dict[str, list[str]]) -> Automata:
-    """Half of each language's texts make its automaton, the other half tell how many phrases are usual."""
+    """Half of each language's texts make its automaton, the other half tell how many phrases are usual.
+
+    An automaton of less text than the largest matches less far, and its phrases tell languages apart less well. Phrases
+    are about as long as the logarithm of the text, so its usual number is brought down to that of a large one: a poor
+    language wins only where it clearly fits, and takes nothing from the others.
+    """
     names = sorted(texts)
     counts: Counter[str] = Counter()
     for lang in names:
@@ -164,15 +177,18 @@ def train(texts: dict[str, list[str]]) -> Automata:
     codes[letters] = _RARE
     codes[[ord(c) for c in alphabet]] = np.arange(_RARE + 1, _RARE + 1 + len(alphabet))
     width = _RARE + 1 + len(alphabet)
-    halves = {lang: (texts[lang][::2], texts[lang][1::2] or texts[lang]) for lang in names}
+    halves = {lang: _halves(texts[lang]) for lang in names}
     trained = {lang: coded(halves[lang][0], codes)[0] for lang in names}
-    size = min(TRAINED_CHARS, ALL_CHARS // len(names), min(len(x) for x in trained.values()))
-    edges = [suffix_automaton(trained[lang][: max(size, 1)].tolist()) for lang in names]
+    size = max(min(TRAINED_CHARS, ALL_CHARS // len(names)), 1)
+    trained = {lang: x[:size] for lang, x in trained.items()}
+    largest = max(map(len, trained.values()))
+    edges = [suffix_automaton(trained[lang].tolist()) for lang in names]
     found = Automata(names, codes, edges, np.ones(len(names)), width)
     tables = found.tables()
     for k, lang in enumerate(names):
         chars, ends = coded(halves[lang][1], codes)
-        found.usual[k] = phrases(chars, ends, [tables[k]], width).sum() / max(len(chars), 1)
+        usual = phrases(chars, ends, [tables[k]], width).sum() / max(len(chars), 1)
+        found.usual[k] = usual * np.log(1 + len(trained[lang])) / np.log(1 + largest)
     return found
 
 

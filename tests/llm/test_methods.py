@@ -234,6 +234,44 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in found) >= 0.99 * len(found)
 
 
+def languages():
+    """Texts of two languages of their own words, and of a third."""
+    def texts(seed, letters, n, size):
+        r, known = random.Random(seed), data.words(seed, 300, letters)
+        return [" ".join(r.choices(known, k=size)) for _ in range(n)]
+
+    return texts(1, "abcdefghij", 60, 80), texts(2, "cdefghijkl", 60, 80), texts(3, "efghijklmn", 60, 80)
+
+
+def shares(learnt, texts):
+    automata = language.train(learnt)
+    tables = automata.tables()
+    return {lang: sum(x == lang for x in language.predict(own, automata, tables)[0]) / len(own) for lang, own in texts.items()}
+
+
+@pytest.mark.parametrize("poor", [["defgh ij klm nefg hijkl mnefgh"], ["fghij k", "lmn ef", "g"], ["e"]])
+def test_a_poor_language_takes_nothing_from_others(poor):
+    a, b, _ = languages()
+    found = shares({"a": a[:40], "b": b[:40], "poor": poor}, {"a": a[40:], "b": b[40:]})
+    assert found["a"] == found["b"] == 1
+
+
+def test_a_language_with_less_text_is_predicted():
+    a, b, c = languages()
+    found = shares({"a": a[:40], "b": b[:40], "c": c[:4]}, {"a": a[40:], "b": b[40:], "c": c[40:]})
+    assert min(found.values()) >= 0.9
+
+
+def test_a_language_of_long_documents_is_predicted(spark):
+    a, b, c = languages()
+    rows = [(i, x, "a") for i, x in enumerate(a)] + [(100 + i, x, "b") for i, x in enumerate(b)]
+    rows += [(200 + i, " ".join(random.Random(i).sample(c, 60)), "c") for i in range(6)]
+    assert len(rows[-1][1]) > language.SAMPLE_CHARS
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}
+    assert sum(found[i] == lang for i, _, lang in rows) >= 0.98 * len(rows) and all(found[200 + i] == "c" for i in range(6))
+
+
 def test_phrases_are_longest_matches():
     r = random.Random(6)
     trained = [r.randint(3, 6) for _ in range(400)]
