@@ -3,7 +3,7 @@
 A minimum-covariance-determinant estimate is made for each language and source: starting from medians and median
 deviations, each concentration step keeps the share ``SUPPORT`` of rows that are nearest by Mahalanobis distance and
 takes their mean and covariance. The steps are sums over all rows; statistics are whole thousandths, so that sums are
-exact in any order. Rows of small groups are pooled by language, and the rest over all.
+exact in any order. Rows of small groups are pooled by language; the rest is judged by an estimate from all rows.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def measurements(docs: DataFrame) -> DataFrame:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """The group whose estimate each row is judged by: ``kind`` 2 language and source, 1 language, 0 all rows."""
+    """The group whose estimate each row is judged by: language and source, language, or all rows for the ``rest``."""
     counts = rows.groupBy(F.col("lang").alias("lang_"), F.col("source").alias("source_")).agg(F.count("*").alias("n"))
     pooled = counts.where(F.col("n") < MIN_ROWS).groupBy(F.col("lang_").alias("pool_lang")).agg(F.sum("n").alias("pool"))
     kind = F.when(F.col("n") >= MIN_ROWS, 2).when(F.col("pool") >= MIN_ROWS, 1).otherwise(0)
@@ -121,7 +121,15 @@ def _grouped(rows: DataFrame) -> DataFrame:
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     kinds = _salted(kinds).withColumnRenamed("salt", "salt_")
     found = dealt.join(kinds, F.expr("lang <=> lang_ AND source <=> source_ AND salt = salt_")).drop("salt_")
-    return found.withColumn("group", F.xxhash64(group)).drop("lang_", "source_", "kind")
+    return found.withColumn("group", F.xxhash64(group)).withColumn("rest", F.col("kind") == 0).drop("lang_", "source_", "kind")
+
+
+def _pools(passed: DataFrame) -> DataFrame:
+    """The rows that each group's estimate is made from: its own, and all there are for the rest, if there is one."""
+    rest = passed.where("rest").select("group").first()
+    if rest is None:
+        return passed
+    return passed.where("NOT rest").unionByName(passed.withColumn("group", F.lit(rest["group"])))
 
 
 def _salted(table: DataFrame) -> DataFrame:
@@ -154,7 +162,7 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     total = terms[0]
     for term in terms[1:]:
         total = total + term
-    joined_rows = rows.join(_salted(estimates), ["group", "salt"], "left").select("*", *[x.alias(f"away_{i}") for i, x in enumerate(away)])
+    joined_rows = rows.join(_salted(estimates), ["group", "salt"]).select("*", *[x.alias(f"away_{i}") for i, x in enumerate(away)])
     distance = joined_rows.withColumn("distance", total).drop(*[f"away_{i}" for i in range(len(names))])
     return distance.withColumn("bin", F.floor(64 * F.log2(F.greatest("distance", F.lit(0.0)) + F.lit(2.0**-10))).cast("int"))
 
@@ -209,25 +217,26 @@ def chi_square(p: int, q: float) -> float:
 
 
 def judged(docs: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """For every row the base counts, ``base_failed``, ``distance`` (null where there is no estimate) and ``kept``.
+    """For every row the base counts, ``base_failed``, ``distance`` (null if they failed) and ``kept``.
 
     A null or empty text has no words and fails; a null language or source is a group like others; repeated rows are
     judged alike and count each; other columns are left out. Rows that fail the base rules are no part of the
-    estimates. Where fewer than ``MIN_ROWS`` rows are left over all, there is no estimate and the base rules decide.
+    estimates. Rows whose language has fewer than ``MIN_ROWS`` outside of larger groups are judged by all rows that pass,
+    however few those are.
     """
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = stored(measurements(docs).withColumn("base_failed", base_failed), "measurements")
     passed = stored(_grouped(rows.where("NOT base_failed")), "grouped")
-    estimates = stored(_start(passed).where(F.col("n") >= MIN_ROWS), "estimates")
+    pools = _pools(passed)
+    estimates = stored(_start(pools), "estimates")
     for _ in range(STEPS):
-        estimates = stored(_concentrated(passed, estimates), "estimates")
-    placed = _distance(passed, estimates)
+        estimates = stored(_concentrated(pools, estimates), "estimates")
     p = len(STATISTICS)
-    middle = _quantile_bins(placed.where("distance IS NOT NULL"), 0.5)
+    middle = _quantile_bins(_distance(pools, estimates), 0.5)
     # The nearest part is narrower than the whole; the median distance tells by how much.
     wide = F.greatest(F.pow(F.lit(2.0), (F.col("cut") + 1) / 64) / chi_square(p, 0.5), F.lit(1.0))
     limits = middle.select("group", (wide * chi_square(p, quantile)).alias("limit"))
-    told = placed.join(_salted(limits), ["group", "salt"], "left").withColumn("kept", F.coalesce(F.col("distance") <= F.col("limit"), F.lit(True)))
+    told = _distance(passed, estimates).join(_salted(limits), ["group", "salt"]).withColumn("kept", F.col("distance") <= F.col("limit"))
     columns = ["doc_id", "lang", "source", *BASE, "base_failed", "distance", "kept"]
     failed = rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     return told.select(*columns).unionByName(failed.select(*columns))

@@ -318,6 +318,19 @@ def test_outliers_are_rejected_and_others_kept(spark):
     assert sum(found[i].kept for i, _ in rows) >= 498 and not any(found[i].kept for i, _ in odd)
 
 
+def test_rows_of_small_groups_are_judged(spark):
+    odd = lambda seed: re.sub(r"(\w)( )", r"\1%%%\2", data.prose(seed, 120))
+    rows = [(i, data.prose(1000 + i, 120), "xx", "s") for i in range(400)]
+    rare = [(500 + i, odd(5000 + i) if i % 5 == 0 else data.prose(6000 + i, 120), "yy" if i % 2 else None, "t") for i in range(30)]
+    small = [(i, odd(7000 + i) if i % 10 == 0 else data.prose(8000 + i, 120), "xx", "s") for i in range(60)]
+    for docs, told in ((rows + rare, rare), (small, small)):
+        frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+        found = {r.doc_id: r for r in rules.judged(frame).collect()}
+        assert len(found) == len(docs) and not any(r.base_failed or r.distance is None for r in found.values())
+        assert all(found[i].kept == ("%%%" not in text) for i, text, *_ in told)
+        assert sum(found[i].kept for i, text, *_ in docs if "%%%" not in text) >= 0.99 * sum("%%%" not in x[1] for x in docs)
+
+
 def test_chi_square_quantiles():
     assert rules.chi_square(6, 0.5) == pytest.approx(5.348, rel=0.01) and rules.chi_square(6, 0.999) == pytest.approx(22.46, rel=0.01)
 
