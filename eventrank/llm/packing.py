@@ -69,16 +69,24 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, for a byte-level vocabulary without normalisation.
 
     Equal chunks have equal ids, so each is split and merged once and remembered, up to a bound. Merging uses the
-    vocabulary's model without the library's own small memory, which costs more than it saves for rare words.
+    vocabulary's model without the library's own small memory, which costs more than it saves for rare words. With
+    ``added``, the vocabulary's added tokens are found in texts as the library does; without, they are text like other.
     """
 
-    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
+    def __init__(self, vocabulary: str, remembered: int = REMEMBERED, added: bool = False):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         tokenizer = Tokenizer.from_str(vocabulary)
         if tokenizer.normalizer is not None or not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
             raise ValueError("the vocabulary must be byte-level and without normalisation")
-        model = json.loads(vocabulary)["model"]
+        found = json.loads(vocabulary)
+        model = found["model"]
+        tokens = (found.get("added_tokens") or []) if added else []
+        if any(x[kind] for x in tokens for kind in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens must be found wherever they stand, without what is around them")
+        self.added = {x["content"]: struct.pack("<I", x["id"]) for x in tokens}
+        # Of those that begin at the same place, the longest.
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in model["merges"]]
         self.model = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
@@ -118,6 +126,11 @@ class Encoder:
         words = line.split(" ")
         return self.chunks[words[0]] + b"".join(map(self.spaced.__getitem__, words[1:]))
 
+    def _whole(self, text: str) -> bytes:
+        if not any(map(text.__contains__, self.added)):
+            return self._text(text)
+        return b"".join([self.added.get(x) or self._text(x) for x in self.at_added.split(text) if x])
+
     def _text(self, text: str) -> bytes:
         if text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, _OTHER_SPACE)):
             return b"".join(map(self.chunks.__getitem__, _CHUNK.findall(text)))
@@ -127,16 +140,16 @@ class Encoder:
         if len(self.pieces) + len(self.spaced) + len(self.chunks) > self.remembered:
             for memory in (self.pieces, self.spaced, self.chunks):
                 memory.clear()
-        return [self._text(x) if x else b"" for x in texts]
+        return [self._whole(x) if x else b"" for x in texts]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple[int, bool], Encoder] = {}
 
 
-def _encoder(vocabulary: str) -> Encoder:
-    key = zlib.crc32(vocabulary.encode())
+def _encoder(vocabulary: str, added: bool) -> Encoder:
+    key = zlib.crc32(vocabulary.encode()), added
     if key not in _encoders:
-        _encoders[key] = Encoder(vocabulary)
+        _encoders[key] = Encoder(vocabulary, added=added)
     return _encoders[key]
 
 
@@ -148,15 +161,21 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, capacity) for at in range(first, n, capacity)]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of at most ``capacity`` ids of every document; an empty or null text is the end id alone."""
+def pieces(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, added: bool = False
+) -> DataFrame:
+    """Pieces of at most ``capacity`` ids of every document; an empty or null text is the end id alone.
+
+    With ``added``, added tokens of the vocabulary have their own ids inside texts, as the library's tokenizer gives them;
+    without, they are spelt out, as with its ``encode_special_tokens``.
+    """
     with open(tokenizer_path, encoding="utf-8") as file:
         vocabulary = docs.sparkSession.sparkContext.broadcast(file.read())
     ship(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = _encoder(vocabulary.value)
+        encoder = _encoder(vocabulary.value, added)
         for batch in batches:
             _, ends = text_bytes(batch.column(1))
             for a, b in slices(ends):
@@ -283,12 +302,12 @@ def _packed(rows: DataFrame, shards: int, number: int, capacity: int) -> DataFra
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, shard: int = SHARD) -> DataFrame:
-    """Every piece with its sequence and its place there.
+    """Every piece with its sequence and its place there; ids are those of the unchanged tokenizer.
 
     Each row is packed, repeated ones too; a null id stays null, a null text is empty, other columns are left out; no rows
     give no sequences. Ids of full pieces are negative numbers, those of the others count from 2^56.
     """
-    cut = stored(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, capacity, end_id, added=True), "pieces")
     full = cut.where(F.col("length") == capacity)
     out = full.select(
         *cut.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset")

@@ -92,6 +92,18 @@ def test_pieces_are_the_tokenizers_ids(spark):
         assert sorted(found[i]) == want
 
 
+def test_packing_finds_added_tokens(spark):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rows = list(enumerate(["a <|endoftext|> x", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "<|endoftext| > b", "no\n<|endoftext|>yes  ", data.prose(5, 2000) + "<|endoftext|>"]))
+    found = {}
+    for x in packing.pack(data.frame(spark, rows), TOKENIZER).collect():
+        found.setdefault(x.doc_id, []).append((x.start, x.length, x.ids_crc32))
+    for i, text in rows:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids + [2]
+        assert sum(n for _, n, _ in found[i]) == len(ids)
+        assert all(crc == zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes()) for a, n, crc in found[i])
+
+
 def least_bins(lengths, capacity):
     """Fewest bins, by trying all ways."""
     best = [len(lengths)]
