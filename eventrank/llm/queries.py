@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from eventrank.llm import decontaminate, language, linededup, neardup, packing, pii, quality, rules, secrets, unitdedup
+from eventrank.llm import annsearch, decontaminate, language, linededup, neardup, packing, pii, quality, rules, secrets, unitdedup, vectorcode
+from eventrank.llm import sql, sql_vectors
 from eventrank.llm.common import read
-from eventrank.llm.sql import EXPECTED
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -58,7 +58,15 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.report(read(spark, folder, "documents"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return annsearch.report(read(spark, folder, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcode.report(read(spark, folder, "embeddings"))
+
+
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     queries = {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}
     queries["pipeline"] = corpus_pipeline.run
-    return queries, dict(EXPECTED)
+    return queries, sql.EXPECTED | sql_vectors.EXPECTED
