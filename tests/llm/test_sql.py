@@ -19,5 +19,5 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(EXPECTED) < set(QUERIES)
