@@ -7,6 +7,7 @@ that language needs, say how foreign a text is; the language with the least wins
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -24,7 +25,10 @@ SAMPLE_CHARS = 20_000
 TRAINED_CHARS = 32_768
 # All automata together; with more languages each gets less text.
 ALL_CHARS = 1 << 20
+# Letters with a sign of their own, the most common ones of all languages alike. Any other letter is spelled by DIGITS
+# signs of a hash, so that scripts of thousands of letters need no wider tables.
 ALPHABET = 60
+DIGITS, BASE = 3, 16
 # A text is parsed in blocks of so many characters side by side; each border ends a phrase for all languages alike.
 BLOCK = 256
 UNKNOWN = "und"
@@ -91,8 +95,26 @@ def _table(state: np.ndarray, char: np.ndarray, target: np.ndarray, n: int, widt
     return out.ravel()
 
 
-def coded(texts: list[str | None], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Character codes of lower-cased texts, with runs of other characters than letters as one gap, and n + 1 offsets."""
+def in_word(c: str) -> bool:
+    """Letters, and the marks that stand with them in many scripts."""
+    return unicodedata.category(c)[0] in "LM"
+
+
+def _spelled(found: np.ndarray, points: np.ndarray, ends: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each rare letter as ``DIGITS`` signs from ``first`` on, each place with signs of its own."""
+    rare = found == _RARE
+    size = np.where(rare, DIGITS, 1)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    out = np.repeat(found, size)
+    mixed = points[rare].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for j in range(DIGITS):
+        digit = (mixed >> np.uint64(40 + 4 * j)) % np.uint64(BASE)
+        out[upto[:-1][rare] + j] = first + j * BASE + digit.astype(out.dtype)
+    return out, upto[ends]
+
+
+def coded(texts: list[str | None], codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signs of lower-cased texts, with runs of other characters than letters as one gap, and n + 1 offsets."""
     lowered = [x.lower() if x else "" for x in texts]
     ends = np.concatenate([[0], np.cumsum([len(x) for x in lowered], dtype=np.int64)])
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -101,7 +123,10 @@ def coded(texts: list[str | None], codes: np.ndarray) -> tuple[np.ndarray, np.nd
     again[1:] = (found[1:] == _GAP) & (found[:-1] == _GAP)
     again[ends[:-1][ends[:-1] < len(found)]] = False
     kept = np.concatenate([[0], np.cumsum(~again)])
-    return found[~again], kept[ends]
+    found, points, ends = found[~again], points[~again], kept[ends]
+    first = width - DIGITS * BASE
+    # Without signs for digits nothing rare was learnt, and a rare letter is a sign that no language knows.
+    return _spelled(found, points, ends, first) if first > int(codes.max()) else (found, ends)
 
 
 def phrases(found: np.ndarray, ends: np.ndarray, tables: list[np.ndarray], width: int) -> np.ndarray:
@@ -168,17 +193,16 @@ def train(texts: dict[str, list[str]]) -> Automata:
     names = sorted(texts)
     counts: Counter[str] = Counter()
     for lang in names:
-        own = Counter(c for x in texts[lang] for c in x.lower() if c.isalpha())
+        own = Counter(c for x in texts[lang] for c in x.lower() if in_word(c))
         total = sum(own.values())
         counts.update({c: n / total for c, n in own.items()})
     alphabet = sorted(c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET])
     codes = np.full(0x110000, _GAP, np.uint8)
-    letters = [i for i in range(0x110000) if chr(i).isalpha()]
-    codes[letters] = _RARE
+    codes[[i for i in range(0x110000) if in_word(chr(i))]] = _RARE
     codes[[ord(c) for c in alphabet]] = np.arange(_RARE + 1, _RARE + 1 + len(alphabet))
-    width = _RARE + 1 + len(alphabet)
+    width = _RARE + 1 + len(alphabet) + (DIGITS * BASE if len(counts) > ALPHABET else 0)
     halves = {lang: _halves(texts[lang]) for lang in names}
-    trained = {lang: coded(halves[lang][0], codes)[0] for lang in names}
+    trained = {lang: coded(halves[lang][0], codes, width)[0] for lang in names}
     size = max(min(TRAINED_CHARS, ALL_CHARS // len(names)), 1)
     trained = {lang: x[:size] for lang, x in trained.items()}
     largest = max(map(len, trained.values()))
@@ -186,7 +210,7 @@ def train(texts: dict[str, list[str]]) -> Automata:
     found = Automata(names, codes, edges, np.ones(len(names)), width)
     tables = found.tables()
     for k, lang in enumerate(names):
-        chars, ends = coded(halves[lang][1], codes)
+        chars, ends = coded(halves[lang][1], codes, width)
         usual = phrases(chars, ends, [tables[k]], width).sum() / max(len(chars), 1)
         found.usual[k] = usual * np.log(1 + len(trained[lang])) / np.log(1 + largest)
     return found
@@ -194,7 +218,7 @@ def train(texts: dict[str, list[str]]) -> Automata:
 
 def predict(texts: list[str | None], automata: Automata, tables: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
     """The language of each text, and by how much of the runner-up's phrases it needs fewer."""
-    found, ends = coded(texts, automata.codes)
+    found, ends = coded(texts, automata.codes, automata.width)
     counts = phrases(found, ends, tables, automata.width) / automata.usual
     best = counts.argmin(axis=1)
     least = counts[np.arange(len(texts)), best]

@@ -284,6 +284,34 @@ def test_a_language_of_long_documents_is_predicted(spark):
     assert sum(found[i] == lang for i, _, lang in rows) >= 0.98 * len(rows) and all(found[200 + i] == "c" for i in range(6))
 
 
+# First signs of scripts and how many of them texts use.
+SCRIPTS = {
+    "latin": [(0x61, 26)], "cyrillic": [(0x430, 33)], "greek": [(0x3B1, 25)], "armenian": [(0x561, 38)], "georgian": [(0x10D0, 33)],
+    "hebrew": [(0x5D0, 27)], "indic": [(0x915, 37), (0x93E, 12)], "hangul": [(0xAC00, 900)], "han": [(0x4E00, 1500)],
+    "mixed": [(0x3041, 80), (0x4E00, 400)],
+}
+
+
+def scripted(name, n, size):
+    """Texts of a script's own words, of which few are common and most are rare."""
+    r = random.Random(name)
+    signs = [chr(first + k) for first, many in SCRIPTS[name] for k in range(many)]
+    known = ["".join(r.choices(signs, k=r.randint(1, 3) if len(signs) > 100 else r.randint(3, 8))) for _ in range(3000)]
+    weights = [1 / (k + 3) for k in range(len(known))]
+    return [" ".join(r.choices(known, weights, k=size)) for _ in range(n)]
+
+
+def test_ten_scripts():
+    texts = {name: scripted(name, 140, 60) for name in SCRIPTS}
+    found = shares({name: x[:60] for name, x in texts.items()}, {name: x[60:] for name, x in texts.items()})
+    assert min(found.values()) >= 0.95, found
+
+
+def test_marks_are_parts_of_words():
+    text = "\u0915\u093f\u0924\u093e\u092c"
+    assert all(map(language.in_word, text)) and not any(map(language.in_word, " 1.-\n"))
+
+
 def test_phrases_are_longest_matches():
     r = random.Random(6)
     trained = [r.randint(3, 6) for _ in range(400)]
