@@ -10,7 +10,9 @@ every line one occurrence stays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrank.sources.session import stored
@@ -19,6 +21,11 @@ GRAM = 2
 WINDOW = 2
 # A repeated run of so many words is always found, be it a single line.
 LONG_WORDS = 50
+# Lines that a match is compared with on either side at first, and by how much that grows where all were equal.
+REACH = 2
+FURTHER = 8
+# Columns on the way that no column of a document is likely to be called.
+_SPLIT, _STAY = "_lines_of_the_text", "_lines_that_stay"
 # Stands for a null id: its rows come last.
 LAST_ID = (1 << 63) - 1
 
@@ -82,7 +89,9 @@ def fingerprints(lines: DataFrame, gram: int = GRAM, window: int = WINDOW, words
     if words is not None:
         # Runs of more lines have a winnowed print.
         chosen += [_long_grams(k, words) for k in range(1, gram + window - 1)]
-    rows = rows.select("doc", "text_key", F.array_sort(F.array_distinct(F.concat(*chosen))).alias("chosen"))
+    rows = rows.select("doc", "text_key", F.sort_array(F.concat(*chosen)).alias("sorted"))
+    once = F.filter("sorted", lambda x, i: (i == 0) | (F.get("sorted", i - 1) != x))
+    rows = rows.select("doc", "text_key", once.alias("chosen"))
     # In ascending order of print and descending order of place, the next one is the same print's last place above.
     above = F.transform(
         "chosen",
@@ -102,7 +111,8 @@ def matches(prints: DataFrame) -> DataFrame:
     )
     fresh = prints.where("before IS NULL")
     first = fresh.groupBy("print").agg(F.min(F.struct("doc", "text_key", "pos")).alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").select("print", "first")
+    # Stored, so that both sides of the join are dealt out for it and the rows of a very common print can be split.
+    first = stored(first.where("n > 1").select("print", "first"), "first")
     later = fresh.join(first, "print").where("(doc, text_key) <> (first.doc, first.text_key)")
     return own.unionByName(
         later.select(
@@ -112,24 +122,72 @@ def matches(prints: DataFrame) -> DataFrame:
     )
 
 
+_DIAGONAL = ["doc", "text_key", "doc0", "key0", "shift"]
+
+
+def _united(segments: DataFrame) -> DataFrame:
+    """Segments of lines ``a`` to ``z`` that overlap or adjoin on a diagonal become one. An end stays open if no segment
+    that ends there knows that it is one."""
+    along = Window.partitionBy(*_DIAGONAL).orderBy("a", "z")
+    before = F.max("z").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = (before.isNull() | (F.col("a") > before + 1)).cast("int")
+    numbered = segments.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(along))
+    first, last = F.min(F.struct("a", "left_open")), F.max(F.struct("z", "right_done"))
+    rows = numbered.groupBy(*_DIAGONAL, "island").agg(first.alias("first"), last.alias("last"))
+    return rows.select(*_DIAGONAL, "first.*", "last.*")
+
+
+def _extended(segments: DataFrame, each: DataFrame, reach: int) -> DataFrame:
+    """Open ends moved on by up to ``reach`` lines that are equal at both places; ends that meet a difference are done."""
+    sides = F.array(
+        F.when(F.col("left_open"), F.struct(F.col("a").alias("edge"), F.lit(-1).alias("step"))),
+        F.when(~F.col("right_done"), F.struct(F.col("z").alias("edge"), F.lit(1).alias("step"))),
+    )
+    ends = segments.select(*_DIAGONAL, "a", "z", F.explode(F.array_compact(sides)).alias("end"))
+    ahead = ends.select(*_DIAGONAL, "a", "z", "end.*", F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("far"))
+    ahead = ahead.withColumn("pos", F.col("edge") + F.col("step") * F.col("far")).withColumn("pos0", F.col("pos") - F.col("shift"))
+    own = each.select("doc", "text_key", "pos", "key")
+    earlier = each.select(F.col("doc").alias("doc0"), F.col("text_key").alias("key0"), F.col("pos").alias("pos0"), F.col("key").alias("line0"))
+    equal = ahead.join(own, ["doc", "text_key", "pos"]).join(earlier, ["doc0", "key0", "pos0"]).where("key = line0")
+    # The edge itself is equal; the lines that follow without a gap are those whose distance is their place.
+    run = F.size(F.filter(F.array_sort(F.collect_list("far")), lambda x, i: x == i)) - 1
+    moved = equal.groupBy(*_DIAGONAL, "a", "z", "step").agg(run.alias("run"))
+    by_side = moved.groupBy(*_DIAGONAL, "a", "z").agg(
+        F.max(F.when(F.col("step") < 0, F.col("run"))).alias("left"), F.max(F.when(F.col("step") > 0, F.col("run"))).alias("right")
+    )
+    new_a, new_z = F.col("a") - F.coalesce("left", F.lit(0)), F.col("z") + F.coalesce("right", F.lit(0))
+    return by_side.select(
+        *_DIAGONAL, new_a.alias("a"), new_z.alias("z"), F.coalesce(F.col("left") == reach, F.lit(False)).alias("left_open"),
+        F.coalesce(F.col("right") < reach, F.lit(True)).alias("right_done"),
+    )
+
+
 def repeated_runs(lines: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int | None = LONG_WORDS) -> DataFrame:
-    """Runs of line numbers (``start`` to ``end``, inclusive) of each row that repeat earlier lines."""
+    """Runs of line numbers (``start`` to ``end``, inclusive) of each row that repeat earlier lines.
+
+    Matches grow outwards from their places by lines that are equal at both: a few at first, then ever more where all of
+    them were, until every end has met a difference. What grows together on a diagonal (two texts, so many lines apart)
+    is one run, so the work is that of the matches and of the runs they are in.
+    """
     found = stored(matches(fingerprints(lines, gram, window, words)), "matches")
     each = lines.select("doc", "text_key", F.posexplode("lines").alias("pos", "line"))
-    each = each.select("doc", "text_key", "pos", "line.at", "line.key")
-    place = ["doc", "text_key", "doc0", "key0", "shift"]
-    # Both ways from the match: all pairs of lines the same distance apart that are equal.
-    along = found.select(*place).distinct().join(each, ["doc", "text_key"])
-    earlier = each.select(F.col("doc").alias("doc0"), F.col("text_key").alias("key0"), F.col("pos").alias("pos0"), F.col("key").alias("line0"))
-    same = ["doc0", "key0", "pos0"]
-    equal = along.withColumn("pos0", F.col("pos") - F.col("shift")).join(earlier, same).where("key = line0")
-    marked = equal.select(*place, "pos", "at", F.lit(0).alias("match")).unionByName(
-        found.select(*place, "pos", F.lit(None).cast("int").alias("at"), F.lit(1).alias("match"))
-    )
-    in_order = "dense_rank() OVER (PARTITION BY doc, text_key, doc0, key0, shift ORDER BY pos)"
-    islands = marked.withColumn("island", F.col("pos") - F.expr(in_order))
-    runs = islands.groupBy(*place, "island").agg(F.min("at").alias("start"), F.max("at").alias("end"), F.max("match").alias("match"))
-    return runs.where("match = 1").select("doc", "text_key", "start", "end").distinct()
+    each = stored(each.select("doc", "text_key", "pos", "line.at", "line.key"), "each")
+    segments = found.select(*_DIAGONAL, F.col("pos").alias("a"), F.col("pos").alias("z")).distinct()
+    segments = segments.withColumns({"left_open": F.lit(True), "right_done": F.lit(False)})
+    reach, done = REACH, []
+    while True:
+        segments = stored(_united(_extended(segments, each, reach)), "segments")
+        is_open = F.col("left_open") | ~F.col("right_done")
+        done.append(segments.where(~is_open))
+        segments = segments.where(is_open)
+        if segments.isEmpty():
+            break
+        reach *= FURTHER
+    places = reduce(DataFrame.unionByName, done).select("doc", "text_key", "a", "z").distinct()
+    at = each.select("doc", "text_key", F.col("pos").alias("p"), "at")
+    ends = places.select("*", F.explode(F.array("a", "z")).alias("p")).join(at, ["doc", "text_key", "p"])
+    runs = ends.groupBy("doc", "text_key", "a", "z").agg(F.min("at").alias("start"), F.max("at").alias("end"))
+    return runs.select("doc", "text_key", "start", "end")
 
 
 def deduplicated(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int | None = LONG_WORDS) -> DataFrame:
@@ -147,22 +205,21 @@ def deduplicated(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words:
     text = docs["text"].cast("string")
     rows = docs.drop("n_lines", "removed")
     same = (F.coalesce(docs["doc_id"].cast("bigint"), F.lit(LAST_ID)) == runs["doc"]) & (_text_key(text) == runs["text_key"])
+    # Line numbers that stay, by a set of those that go: the work is that of the lines and of the runs.
     split = F.split(text, "\n")
-    kept = F.filter(split, lambda x, i: ~F.exists(runs["removed"], lambda r: (r["start"] <= i) & (i <= r["end"])))
-    columns = [
-        F.when(runs["removed"].isNull(), text).otherwise(F.array_join(kept, "\n")).alias(c) if c == "text" else docs[c] for c in rows.columns
-    ]
+    gone = F.flatten(F.transform(runs["removed"], lambda r: F.sequence(r["start"], r["end"])))
+    stay = F.when(runs["removed"].isNotNull(), F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return docs.join(runs, same, "left").select(
-        *columns, F.when(text.isNull(), 0).otherwise(F.size(split)).alias("n_lines"), F.coalesce(runs["removed"], none).alias("removed")
-    )
+    out = docs.join(runs, same, "left").select(
+        *[docs[c] for c in rows.columns], F.when(text.isNull(), 0).otherwise(F.size(split)).alias("n_lines"),
+        F.coalesce(runs["removed"], none).alias("removed"), F.when(stay.isNotNull(), split).alias(_SPLIT), stay.alias(_STAY),
+    )
+    kept = F.array_join(F.transform(_STAY, lambda i: F.get(_SPLIT, i)), "\n")
+    return out.withColumn("text", F.coalesce(kept, F.col("text").cast("string"))).drop(_SPLIT, _STAY)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Kept text, number of lines, and removed runs (first-last line, comma-joined) of every document.
-
-    Its SQL states winnowed prints only, so long runs on one or two lines stay here; ``deduplicated`` removes them.
-    """
+    """Kept text, number of lines, and removed runs (first-last line, comma-joined) of every document."""
     run = lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string"))
-    rows = deduplicated(docs.select("doc_id", "text"), words=None)
+    rows = deduplicated(docs.select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", F.array_join(F.transform("removed", run), ",").alias("removed"), "text")

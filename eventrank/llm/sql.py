@@ -53,24 +53,32 @@ LINE_DEDUP = """
 WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
 line AS (
   SELECT doc_id, nr, row_number() OVER (PARTITION BY doc_id ORDER BY nr) - 1 AS pos,
-    CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS key
+    CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS key, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
   FROM (SELECT doc_id, nr, trim(x[nr + 1], ' ' || chr(9) || chr(13)) AS line
         FROM (SELECT doc_id, x, unnest(range(len(x))) AS nr FROM split))
   WHERE line <> ''),
 gram AS (
-  SELECT doc_id, pos, CAST('0x' || substr(md5(key || ',' || next), 1, 15) AS BIGINT) AS print
-  FROM (SELECT *, lead(key) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM line) WHERE next IS NOT NULL),
+  SELECT doc_id, pos, CAST('0x' || substr(md5(key || ',' || next), 1, 15) AS BIGINT) AS print, words
+  FROM (SELECT doc_id, pos, key, lead(key) OVER w AS next, words + lead(words) OVER w AS words
+        FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY pos))
+  WHERE next IS NOT NULL),
+long AS (
+  SELECT doc_id, pos, print FROM gram WHERE words >= 50
+  UNION ALL
+  SELECT doc_id, pos, CAST('0x' || substr(md5(key::VARCHAR), 1, 15) AS BIGINT) FROM line WHERE words >= 50),
 slid AS (
   SELECT *, lead(print) OVER w AS next, row_number() OVER w AS r FROM gram WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 chosen AS (
   SELECT DISTINCT doc_id, CASE WHEN next <= print THEN pos + 1 ELSE pos END AS pos, least(print, next) AS print
-  FROM slid WHERE next IS NOT NULL OR r = 1),
+  FROM slid WHERE next IS NOT NULL OR r = 1
+  UNION
+  SELECT doc_id, pos, print FROM long),
 placed AS (SELECT *, lag(pos) OVER (PARTITION BY doc_id, print ORDER BY pos) AS before FROM chosen),
 first AS (
   SELECT print, min((doc_id, pos)) AS f FROM placed WHERE before IS NULL GROUP BY print HAVING count(*) > 1),
 found AS (
   SELECT doc_id, pos, doc_id AS doc0, pos - before AS shift FROM placed WHERE before IS NOT NULL
-  UNION ALL
+  UNION
   SELECT doc_id, pos, f[1], pos - f[2] FROM placed JOIN first USING (print) WHERE before IS NULL AND f[1] <> doc_id),
 same AS (
   SELECT d.doc_id, d.doc0, d.shift, a.pos, a.nr

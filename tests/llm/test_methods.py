@@ -156,8 +156,14 @@ def deduplicated_lines(docs):
     for i, own in lines.items():
         grams = [key(f"{key(own[p][1])},{key(own[p + 1][1])}") for p in range(len(own) - 1)]
         for w in range(max(len(grams) - 1, 1) if grams else 0):
-            window = list(enumerate(grams))[w : w + 2]
+            window = [(w + k, g) for k, g in enumerate(grams[w : w + 2])]
             chosen.setdefault(i, set()).add(min(window, key=lambda x: (x[1], -x[0])))
+        words = [len(x.split()) for _, x in own]
+        for p in range(len(own)):
+            if words[p] >= 50:
+                chosen.setdefault(i, set()).add((p, key(str(key(own[p][1])))))
+            if p < len(grams) and words[p] + words[p + 1] >= 50:
+                chosen.setdefault(i, set()).add((p, grams[p]))
     first, gone = {}, {}
     for i in sorted(chosen):
         above = {}
@@ -197,6 +203,38 @@ def test_line_dedup_equals_brute_force(spark):
     assert {x for y in left for x in y} | {""} == before | {""}
 
 
+def test_long_runs_equal_brute_force(spark):
+    r = random.Random(19)
+    pool = [" ".join(data.words(s, r.choice([4, 30, 60]))) for s in range(30)]
+    docs = [(i, "\n".join(r.choices(pool, k=r.randint(1, 12)))) for i in range(50)]
+    found = linededup.deduplicated(data.frame(spark, docs)).collect()
+    assert {x.doc_id: [tuple(y) for y in x.removed] for x in found} == deduplicated_lines(docs)
+
+
+def test_a_long_log_makes_rows_in_proportion(spark, monkeypatch):
+    r = random.Random(23)
+    pool = [f"{k % 7} entry {k}" for k in range(3000)]
+
+    def log(n):
+        out = []
+        while len(out) < n:
+            at = r.randrange(len(pool) - 20)
+            out += pool[at : at + r.randint(1, 20)]
+        return out[:n]
+
+    rows = []
+
+    def counted(segments, each, reach, extended=linededup._extended):
+        rows.append(2 * reach * segments.count())
+        return extended(segments, each, reach)
+
+    monkeypatch.setattr(linededup, "_extended", counted)
+    docs = [(i, "\n".join(log(500))) for i in range(20)] + [(99, "\n".join(log(20_000)))]
+    found = linededup.deduplicated(data.frame(spark, docs)).collect()
+    assert {x.doc_id: [tuple(y) for y in x.removed] for x in found} == deduplicated_lines(docs)
+    assert sum(rows) < 10 * 30_000
+
+
 def test_long_runs_on_few_lines_are_removed(spark):
     line = lambda seed, n: " ".join(data.words(seed, n))
     long, half, other = line(1, 60), line(2, 26), line(3, 26)
