@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
@@ -12,7 +13,7 @@ from eventrank.catalog.evaluation import LABELLED, candidate_frame, known, label
 from eventrank.catalog.registry import register
 from eventrank.operators import evaluation as e
 from eventrank.operators import model as m
-from eventrank.operators import reports
+from eventrank.operators import ranking, reports
 from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, RUN_METADATA_SCHEMA
 from eventrank.sources import calendar, lake
 from eventrank.sources.session import scratch_folder, stored
@@ -150,6 +151,61 @@ def pairwise_rank(spark, folder):
     return _ranked(e.score_events(scored))
 
 
+@register(with_binding(LABELLED, """
+SELECT a.event_year, a.event, a.race_finishing_position, a.qualifying_position,
+  round(sum(sign(b.race_finishing_position - a.race_finishing_position)
+    / (1 + exp(sign(b.race_finishing_position - a.race_finishing_position) * (b.prediction - a.prediction)))), 6) AS gradient,
+  round(sum(CASE WHEN a.race_finishing_position = b.race_finishing_position THEN 0
+    ELSE 1 / ((1 + exp(b.prediction - a.prediction)) * (1 + exp(a.prediction - b.prediction))) END), 6) AS curvature
+FROM (SELECT DISTINCT event_year, event, race_finishing_position, qualifying_position, prediction FROM known) a
+JOIN known b ON b.event_year = a.event_year AND b.event = a.event
+GROUP BY ALL"""))
+def pairwise_gradients(spark, folder):
+    """The pull of all others of an event on each finisher, scored by the qualifying position."""
+    rows = known(spark, folder).select(*EVENT_KEYS, e.LABEL, "qualifying_position")
+    found = ranking.pairwise_gradients(rows, score="qualifying_position")
+    place = lambda c: F.col(c).cast("int").alias(c)
+    return found.select(
+        *EVENT_KEYS, place(e.LABEL), place("qualifying_position"),
+        *[F.round(c, 6).alias(c) for c in ("gradient", "curvature")],
+    )
+
+
+LINE_FEATURES = ["quantity", "discount", "tax", "unit_price"]
+BOOST_YEAR, BOOST_TREES, BOOST_STEP = 1997, 10, 0.5
+
+
+def _order_lines(spark, folder):
+    """Orders as events: their lines finish by how near their quantity is to 25. No weight of the quantity says that."""
+    lines = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.expr("l_orderkey = o_orderkey"))
+    place = F.row_number().over(Window.partitionBy("event").orderBy(F.abs(F.col("quantity") - 25), "driver_number"))
+    return lines.select(
+        F.year("o_orderdate").alias("event_year"), F.col("l_orderkey").alias("event"), F.col("l_linenumber").alias("driver_number"),
+        F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+    ).withColumn(e.LABEL, place)
+
+
+@register(f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS event_year, l_orderkey AS event, count(*) AS drivers, TRUE AS ranks_are_one_to_n,
+  TRUE AS beats_linear, TRUE AS mostly_right
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(o_orderdate) = {BOOST_YEAR} GROUP BY ALL""")
+def pairwise_boost(spark, folder):
+    """Boosted pairwise ranking of the lines of all orders, judged by a season that it has not seen.
+
+    There it puts most drivers on their places, and more of them than the linear ranker.
+    """
+    rows = stored(_order_lines(spark, folder), "lines")
+    held_out = F.col("event_year") == BOOST_YEAR
+    train, test = rows.where(~held_out), rows.where(held_out)
+    model = ranking.boost(train, LINE_FEATURES, trees=BOOST_TREES, step=BOOST_STEP)
+    boosted = stored(e.score_events(model.scored(test)), "boosted")
+    linear = e.score_events(m.pairwise_scores(train, test, LINE_FEATURES))
+    right = F.avg((F.col("predicted_rank") == F.col(e.LABEL)).cast("int"))
+    share, other = (x.agg(right).first()[0] or 0.0 for x in (boosted, linear))
+    return _ranked(boosted).withColumns({"beats_linear": F.lit(share > other), "mostly_right": F.lit(share > 0.5)})
+
+
 @register(with_binding(LABELLED, """
 SELECT '20260228T033812Z' AS run_id, 'grid_only' AS model_config, round(avg(precision_at_3), 9) AS precision_at_3,
   round(avg(recall_at_3), 9) AS recall_at_3, round(avg(spearman), 9) AS spearman, count(*) AS folds,

@@ -1,9 +1,9 @@
 """Ranks and medians of groups of any size.
 
-Equal values are counted first (combined on the map side). The distinct values of a group are cut into slices at
-approximate quantiles of its own values, so slices hold about equally many of them wherever they lie; the rows below a
-slice are known from the slice totals, so ordering happens within a slice only and no task has to hold a whole group.
-Missing values and NaN are not ranked.
+Rows are range-partitioned by group and value, so that a large group spreads over as many partitions as its rows fill and
+a constant value over as many as its ties fill. The partitions are stored once with their numbers; the rows before a
+partition's part of a group are known from the totals of the earlier parts, so ordering happens within a partition only
+and no task has to hold a whole group. Missing values and NaN are not ranked.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Slices of each group. The cuts only deal out the work: ranks are exact wherever they fall.
-SLICES = 128
-ACCURACY = 2000
+from eventrank.sources.session import stored
 
 
 def _known(df: DataFrame, value: str) -> Column:
@@ -28,29 +26,29 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.where(_known(df, value)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _before(window: Window) -> Window:
-    return window.rowsBetween(Window.unboundedPreceding, -1)
+def sliced(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """``df`` with the number of its ``slice``: rows later in the order never have a smaller one, equal rows the same.
+
+    Stored, as the bounds of ranges are found by sampling and would not be the same a second time.
+    """
+    count = [] if slices is None else [slices]
+    return stored(df.repartitionByRange(*count, *order).withColumn("slice", F.spark_partition_id()), "slices")
 
 
-def sliced(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``counts`` with the number of the ``slice`` of each value; a greater value never has a smaller number."""
-    number = F.col(value).cast("double")
-    shares = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
-    cuts = counts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(number, shares, ACCURACY)).alias("cuts"))
-    below = F.size(F.filter("cuts", lambda cut: cut < number))
-    return counts.join(cuts, list(keys)).withColumn("slice", below).drop("cuts")
+def offsets(rows: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """For each group and slice the ``sums`` over the group's earlier slices, 0 for the first; a window over slices."""
+    totals = rows.groupBy(*keys, "slice").agg(*[c.alias(name) for name, c in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*keys, "slice", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in sums])
 
 
 def running_counts(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Per distinct value, the number of rows of its group with a smaller value as ``below``."""
-    placed = sliced(counts, keys, value)
-    totals = placed.groupBy(*keys, "slice").agg(F.sum("n").alias("in_slice"))
-    along = _before(Window.partitionBy(*keys).orderBy("slice"))
-    offsets = totals.select(*keys, "slice", F.coalesce(F.sum("in_slice").over(along), F.lit(0)).alias("offset"))
-    inside = _before(Window.partitionBy(*keys, "slice").orderBy(value))
-    joined = placed.join(offsets, [*keys, "slice"])
+    rows = sliced(counts, [*keys, value])
+    first = offsets(rows, keys, {"offset": F.sum("n")})
+    inside = Window.partitionBy(*keys, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("offset") + F.coalesce(F.sum("n").over(inside), F.lit(0))
-    return joined.withColumn("below", below).drop("slice", "offset")
+    return rows.join(first, [*keys, "slice"]).withColumn("below", below).select(*counts.columns, "below")
 
 
 def twice_average_rank() -> Column:
@@ -61,16 +59,13 @@ def twice_average_rank() -> Column:
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str) -> DataFrame:
     """Rank of each row in its group by ``value``, equal values in the order of the number ``tie``.
 
-    Rows without a value are left out. Equal values are ranked in slices, too; only rows that are equal in both share a
-    task, and get the ranks there in any order.
+    Rows without a value are left out. Only rows that are equal in both share a task, and get the ranks there in any order.
     """
-    placed = running_counts(value_counts(df, keys, value), keys, value).select(*keys, value, "below")
-    among = [*keys, value]
-    ties = running_counts(value_counts(df.where(_known(df, value)), among, tie), among, tie)
-    ties = ties.select(*among, tie, F.col("below").alias("below_tie"))
-    same = F.row_number().over(Window.partitionBy(*among, tie).orderBy(F.lit(0)))
-    joined = df.join(placed, among).join(ties, [*among, tie])
-    return joined.withColumn(rank, (F.col("below") + F.col("below_tie") + same).cast("int")).select(*df.columns, rank)
+    rows = sliced(df.where(_known(df, value)), [*keys, value, tie])
+    first = offsets(rows, keys, {"offset": F.count(F.lit(1))})
+    place = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(value, tie))
+    joined = rows.join(first, [*keys, "slice"])
+    return joined.withColumn(rank, (F.col("offset") + place).cast("int")).select(*df.columns, rank)
 
 
 def medians(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_average_ranks(spark):
 
 def test_narrow_range_far_from_zero_is_sliced(spark):
     counts = spark.range(100_000).select(F.lit("g").alias("g"), (F.col("id") + 1.7e9).alias("x"), F.lit(1).alias("n"))
-    slices = order_stats.sliced(counts, ["g"], "x").groupBy("slice").count()
+    slices = order_stats.sliced(counts, ["g", "x"], slices=64).groupBy("slice").count()
     assert slices.count() > 50 and slices.agg(F.max("count")).first()[0] < 5000
 
 
@@ -74,3 +74,17 @@ def test_constant_value_is_ranked_by_tie(spark):
     df = spark.range(2000).select(F.lit("g").alias("g"), F.lit(4.0).alias("x"), (2000 - F.col("id")).alias("tie"))
     ranks = order_stats.rank_within(df, ["g"], "x", "tie", "place")
     assert ranks.where("place <> tie").count() == 0 and ranks.count() == 2000
+
+
+def test_constant_group_is_sliced_by_tie(spark):
+    df = spark.range(50_000).select(F.lit("g").alias("g"), F.lit(4.0).alias("x"), F.col("id").alias("tie"))
+    sizes = [r["count"] for r in order_stats.sliced(df, ["g", "x", "tie"], slices=16).groupBy("slice").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 50_000 / 16
+
+
+@pytest.mark.parametrize("name", ["predicted_rank", "spearman_by_season", "accuracy_by_race", "pair_expand"])
+def test_ranks_take_few_exchanges(spark, name):
+    from eventrank.catalog import load
+
+    plan = load()[0][name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 12
