@@ -15,7 +15,7 @@ from eventrank.operators import evaluation as e
 from eventrank.operators import model as m
 from eventrank.operators import ranking, reports
 from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS, RUN_METADATA_SCHEMA
-from eventrank.sources import calendar, lake
+from eventrank.sources import calendar, lake, snapshots
 from eventrank.sources.session import scratch_folder, stored
 from eventrank.sources.tables import table
 from eventrank.streaming import ingest
@@ -298,4 +298,4 @@ def stream_dedupe(spark, folder):
         _land(spark, folder, landing, delivery)
         ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
     ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
-    return ingest.read_merged(spark, target)
+    return snapshots.read_merged(spark, target, EVENT_SCHEMA, keys, order)

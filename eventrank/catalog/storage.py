@@ -9,8 +9,9 @@ from eventrank.catalog.features import ENTRIES, FORM, bound_form, bound_targets
 from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
 from eventrank.schemas import SESSION_KEYS
-from eventrank.sources import binding, calendar, lake
+from eventrank.sources import binding, calendar, lake, snapshots
 from eventrank.sources.session import scratch_folder, stored
+from eventrank.sources.tables import SCHEMAS, table
 
 COLUMNS = ["event_year", "event", "session", "driver_number", "finishing_position", "q3_seconds", "points"]
 SCHEMA = (
@@ -198,3 +199,55 @@ def union_by_name(spark, folder):
     qualifying = rows.where(F.col("session") == "Q").select(*head, "q1_seconds")
     others = rows.where(F.col("session") != "Q").select("time_seconds", *head)
     return qualifying.unionByName(others, allowMissingColumns=True)
+
+
+@register(with_binding("", f"""
+SELECT 1 AS version, event_year, session, count(*) AS rows, sum(driver_number)::BIGINT AS drivers FROM b_results
+WHERE event_year < {DRIFT_YEAR} GROUP BY ALL
+UNION ALL
+SELECT 2, event_year, session, count(*), sum(driver_number)::BIGINT FROM b_results GROUP BY ALL"""))
+def snapshot_overwrite(spark, folder):
+    """Results replaced as a whole: the version before can still be read, rows of a commit that was broken off cannot."""
+    path = scratch_folder(spark, "snapshots")
+    rows = _results(spark, folder)
+    snapshots.write_snapshot(rows.where(F.col("event_year") < DRIFT_YEAR), path, ["event_year"])
+    rows.withColumn("lot", F.lit("broken-0-base")).write.mode("append").partitionBy("lot", "event_year").parquet(f"{path}/data")
+    snapshots.write_snapshot(rows, path, ["event_year"])
+    schema = "driver_number int, session string, event_year int"
+    found = [
+        snapshots.read_snapshot(spark, path, schema, version).withColumn("version", F.lit(version))
+        for version in snapshots.versions(spark, path)
+    ]
+    both = found[0].unionByName(found[1]).groupBy("version", "event_year", "session")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.sum("driver_number").alias("drivers"))
+
+
+EVENT_KEYS_LAST = (["user_id", "event_type"], ["ts", "event_id"])
+
+
+def _events_by_key(spark, folder):
+    """The last event of each user and type, from three deliveries of which the last repeats the first."""
+    path = scratch_folder(spark, "keyed")
+    events = table(spark, folder, "events")
+    late = F.col("event_type") == "purchase"
+    for part in (events.where(~late), events.where(late), events.where(~late)):
+        snapshots.merge(part, path, *EVENT_KEYS_LAST, by=["user_id"])
+    return path
+
+
+@register("""
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def delta_merge(spark, folder):
+    return snapshots.read_merged(spark, _events_by_key(spark, folder), SCHEMAS["events"], *EVENT_KEYS_LAST)
+
+
+@register("""
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def keyed_lookup(spark, folder):
+    """All last events of some users; only the groups that these fall into are read."""
+    users = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
+    path = _events_by_key(spark, folder)
+    return snapshots.lookup(spark, path, SCHEMAS["events"], *EVENT_KEYS_LAST, users)

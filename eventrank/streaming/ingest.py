@@ -7,8 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventrank.sources.lake import data_files
-from eventrank.sources.session import stored
+from eventrank.sources import snapshots
 
 
 def _write_batch(df: DataFrame, path: str, batch: int, parts: Sequence[str]) -> None:
@@ -51,21 +50,6 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return last.select("row.*")
 
 
-def _merge_batch(df: DataFrame, target: str, keys: Sequence[str], order: Sequence[str], buckets: int) -> None:
-    """Merges one micro-batch into the buckets of the target that hold its keys; run again, it changes nothing."""
-    spark = df.sparkSession
-    fresh = stored(newest(df, keys, order).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), "batch")
-    # At most one number per bucket reaches the driver.
-    touched = [row["bucket"] for row in fresh.select("bucket").distinct().collect()]
-    if not touched:
-        return
-    if data_files(spark, target):
-        old = spark.read.schema(fresh.schema).parquet(target).where(F.col("bucket").isin(touched))
-        fresh = stored(newest(old.unionByName(fresh), keys, order), "merged")
-    writer = fresh.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(target)
-
-
 def merge_new_files(
     spark: SparkSession,
     landing: str,
@@ -77,13 +61,14 @@ def merge_new_files(
     buckets: int = 16,
     files_per_batch: int = 1000,
 ) -> None:
-    """Brings everything that has landed since the last call into ``target``, which holds the newest row of each key.
+    """Brings everything that has landed since the last call into ``target``, a table with keys (``sources.snapshots``).
 
-    Rows are dealt over buckets by key; a batch rewrites its buckets only, so files do not pile up with deliveries.
+    A micro-batch adds its rows to the groups of its keys and becomes visible as one version; one that is run again after
+    a failure changes nothing that is read.
     """
     arrived = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     query = (
-        arrived.writeStream.foreachBatch(lambda df, _: _merge_batch(df, target, keys, order, buckets))
+        arrived.writeStream.foreachBatch(lambda df, _: snapshots.merge(df, target, keys, order, buckets))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -91,9 +76,5 @@ def merge_new_files(
     query.awaitTermination()
 
 
-def read_merged(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop("bucket")
-
-
 def read_newest(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     return newest(spark.read.parquet(target).drop("batch"), keys, order)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventrank.schemas import conform
-from eventrank.sources import lake, session
+from eventrank.sources import lake, session, snapshots
 from eventrank.streaming import ingest
 
 PARTS = ["event_year", "event", "session"]
@@ -191,14 +191,15 @@ def test_stream_batch_can_be_repeated(spark, folder):
 
 
 def test_merged_target_does_not_grow_with_deliveries(spark, folder):
-    keys, order, files = ["k"], ["t"], []
-    for delivery in range(3):
+    keys, order, files, schema = ["k"], ["t"], [], "k bigint, t int"
+    for delivery in range(4):
         spark.range(40).select(F.col("id").alias("k"), F.lit(delivery).alias("t")).write.mode("append").parquet(f"{folder}/in")
-        ingest.merge_new_files(spark, f"{folder}/in", "k bigint, t int", f"{folder}/out", f"{folder}/state", keys, order, buckets=4)
-        merged = ingest.read_merged(spark, f"{folder}/out").collect()
+        ingest.merge_new_files(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/state", keys, order, buckets=4)
+        merged = snapshots.read_merged(spark, f"{folder}/out", schema, keys, order).collect()
         assert sorted(r.k for r in merged) == list(range(40)) and {r.t for r in merged} == {delivery}
-        files.append(len(lake.data_files(spark, f"{folder}/out")))
-    assert files[0] == files[1] == files[2] <= 8
+        files.append(len(lake.data_files(spark, f"{folder}/out/data")))
+    # Two versions are kept.
+    assert files[0] <= 4 and files[1:] == [2 * files[0]] * 3
 
 
 def test_scratch_is_removed(spark):
