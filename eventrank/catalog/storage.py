@@ -9,7 +9,7 @@ from eventrank.catalog.features import ENTRIES, FORM, bound_form, bound_targets
 from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
 from eventrank.schemas import SESSION_KEYS
-from eventrank.sources import binding, calendar, lake, snapshots
+from eventrank.sources import binding, calendar, drift, lake, snapshots
 from eventrank.sources.session import scratch_folder, stored
 from eventrank.sources.tables import SCHEMAS, table
 
@@ -251,3 +251,50 @@ def keyed_lookup(spark, folder):
     users = table(spark, folder, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
     path = _events_by_key(spark, folder)
     return snapshots.lookup(spark, path, SCHEMAS["events"], *EVENT_KEYS_LAST, users)
+
+
+# Seasons from which on a column had another type: a number, a longer one, one with a fraction, and text at last.
+LONG_YEAR, DOUBLE_YEAR, TEXT_YEAR = 1996, 1998, 2000
+
+
+def _drifted(spark, folder):
+    """Results whose driver number was delivered in four types and whose points were text for some time."""
+    path = scratch_folder(spark, "drifted")
+    rows = _results(spark, folder).select("event_year", "event", "session", "driver_number", "points")
+    forms = [("int", 0, LONG_YEAR), ("bigint", LONG_YEAR, DOUBLE_YEAR), ("double", DOUBLE_YEAR, TEXT_YEAR), ("string", TEXT_YEAR, 9999)]
+    for kind, first, end in forms:
+        part = rows.where((F.col("event_year") >= first) & (F.col("event_year") < end))
+        points = F.col("points").cast("decimal(18,2)").cast("string") if kind == "bigint" else F.col("points")
+        columns = {"driver_number": F.col("driver_number").cast(kind), "points": points}
+        part.withColumns(columns).write.mode("append").parquet(f"{path}/from={first}")
+    return path
+
+
+@register(with_binding("", f"""
+SELECT event_year, event, session, CAST(driver_number AS BIGINT) AS driver_number, points,
+  CAST(driver_number AS VARCHAR) || CASE WHEN event_year >= {DOUBLE_YEAR} AND event_year < {TEXT_YEAR} THEN '.0' ELSE '' END AS widened
+FROM b_results"""))
+def scan_type_drift(spark, folder):
+    """One column as int, bigint, double and text, read in the wanted type and in the one that holds them all."""
+    path = _drifted(spark, folder)
+    schema = "event_year int, event string, session string, driver_number bigint, points double"
+    status = stored(lake.bulk_status(spark, [path], schema), "status")
+    rows = drift.read_drifting(spark, [path], schema, status=status)
+    wide = drift.read_drifting(spark, [path], schema, widen=True, status=status)
+    keys = ["event_year", "event", "session", "driver_number"]
+    as_number = F.col("driver_number").cast("double").cast("bigint")
+    return rows.join(wide.select(*keys[:3], as_number.alias("driver_number"), F.col("driver_number").alias("widened")), keys)
+
+
+@register(with_binding("", f"""
+SELECT event_year, count(*) AS rows, event_year < {DRIFT_YEAR} AS known, TRUE AS good FROM b_results GROUP BY event_year"""))
+def scan_incremental(spark, folder):
+    """Season folders checked after each of two deliveries; the second call reads the new files only."""
+    path, state = scratch_folder(spark, "landing"), scratch_folder(spark, "checked")
+    rows = _results(spark, folder).withColumn("season", F.col("event_year"))
+    schema = "event_year int, driver_number int"
+    for part in (F.col("event_year") < DRIFT_YEAR, F.col("event_year") >= DRIFT_YEAR):
+        rows.where(part).hint("rebalance", "season").write.mode("append").partitionBy("season").parquet(path)
+        status = drift.checked_files(spark, [path], schema, state)
+    season = F.regexp_extract("file_path", "season=([0-9]+)/", 1).cast("int").alias("event_year")
+    return status.groupBy(season).agg(F.sum("read").alias("rows"), F.every("known").alias("known"), F.every("good").alias("good"))

@@ -152,8 +152,13 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reader.load(list(paths)).select(F.col("path").alias("file_path"))
 
 
+def normal_path(path: Column) -> Column:
+    """A path without its scheme, as readers spell schemes differently."""
+    return F.regexp_replace(path, "^[a-z0-9]+:/*", "/")
+
+
 def _path(column: str = "file_path") -> Column:
-    return F.regexp_replace(column, "^[a-z0-9]+:/*", "/").alias("file_path")
+    return normal_path(F.col(column)).alias("file_path")
 
 
 def _readable(spark: SparkSession, paths: Sequence[str], schema: str) -> DataFrame:

@@ -131,7 +131,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: str, version: int | No
     lots = [row["lot"] for row in live_lots(spark, path, version).select("lot").collect()]
     # A snapshot is written as one lot: its folder is the only one that is listed.
     wanted = T.StructType.fromDDL(schema)
-    return spark.read.schema(wanted).option("basePath", f"{path}/data").parquet(*[f"{path}/data/lot={lot}" for lot in lots])
+    rows = spark.read.schema(wanted).option("basePath", f"{path}/data").parquet(*[f"{path}/data/lot={lot}" for lot in lots])
+    return rows.select(*wanted.names)
 
 
 def expire(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> int:
