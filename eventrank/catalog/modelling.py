@@ -38,6 +38,19 @@ def impute_median(spark, folder):
     return m.impute(rows, values).select(*DRIVER_EVENT_KEYS, *IMPUTED)
 
 
+@register(with_binding(LABELLED + """
+cell AS (
+  SELECT event_year, unnest(['qualifying_position', 'q2_seconds', 'q3_seconds']) AS feature,
+    unnest([CAST(qualifying_position AS DOUBLE), q2_seconds, q3_seconds]) AS value
+  FROM lab),""", """
+SELECT s.event_year, feature, median(value) AS median
+FROM (SELECT DISTINCT event_year FROM lab) s JOIN cell ON cell.event_year <> s.event_year
+WHERE value IS NOT NULL GROUP BY s.event_year, feature"""))
+def loso_medians(spark, folder):
+    """The medians of all seasons but one, for each season, from one counted table."""
+    return m.fold_medians(labelled(spark, folder), IMPUTED)
+
+
 @register("""
 WITH c AS (
   SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL

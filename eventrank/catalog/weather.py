@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from eventrank.catalog.registry import register
 from eventrank.functions.values import parse_utc
 from eventrank.operators import weather as w
+from eventrank.operators.nearest import nearest_join as nearest_rows
 from eventrank.schemas import EVENT_KEYS, PAYLOAD_SCHEMA
 from eventrank.sources import payloads
 from eventrank.sources.binding import EVENT_NAMES
 from eventrank.sources.lake import read_json, read_partitioned, write_json
 from eventrank.sources.session import scratch_folder
+from eventrank.sources.tables import table
 
 _NAME = " ".join(f"WHEN {k} THEN '{name}'" for k, (name, _) in EVENT_NAMES.items())
 _SLUG = " ".join(f"WHEN {k} THEN '{slug}'" for k, (_, slug) in EVENT_NAMES.items())
@@ -190,3 +192,16 @@ def alignment_qualifying_hour(spark, folder):
 SELECT CAST(count(*) FILTER (WHERE aligned) AS BIGINT) AS aligned, count(*) AS total FROM ({_ALIGNED})"""))
 def alignment_summary(spark, folder):
     return w.alignment_summary(_race_alignment(spark, folder))
+
+
+@register("""
+SELECT p.event_id, p.user_id, p.ts, e.event_id AS nearest_event_id, e.ts AS nearest_ts
+FROM events p LEFT JOIN events e ON e.user_id = p.user_id AND e.event_type = 'error'
+WHERE p.event_type = 'purchase'
+QUALIFY row_number() OVER (PARTITION BY p.event_id ORDER BY abs(epoch_us(e.ts) - epoch_us(p.ts)), e.ts, e.event_id) = 1""")
+def nearest_join(spark, folder):
+    """Each purchase with the error of the same user that is nearest in time, before or after."""
+    events = table(spark, folder, "events")
+    kind = lambda name: events.where(F.col("event_type") == name).select("event_id", "user_id", "ts")
+    met = nearest_rows(kind("purchase"), kind("error"), ["user_id"], "ts", "ts", ["event_id"])
+    return met.select("event_id", "user_id", "ts", F.col("nearest.event_id").alias("nearest_event_id"), F.col("nearest.ts").alias("nearest_ts"))

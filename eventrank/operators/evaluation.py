@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrank.functions.values import percentage
-from eventrank.operators.order_stats import rank_within, running_counts, twice_average_rank, value_counts
+from eventrank.operators.order_stats import rank_within, with_average_rank
 from eventrank.schemas import EVENT_KEYS
 
 PODIUM = 3
@@ -123,13 +123,13 @@ def precision_recall(df: DataFrame, fold: str = "event_year", prediction: str =
 def spearman(df: DataFrame, fold: str = "event_year", prediction: str = "prediction") -> DataFrame:
     """Rank correlation of prediction and outcome per fold; 0 if one of them is constant.
 
-    Works on counted value pairs and whole-number ranks, so the sums are exact and no fold is ordered as a whole.
+    Works on counted value pairs and whole-number ranks, so the sums are exact and no fold is ordered as a whole. Rows that
+    lack one of both are left out.
     """
-    keys = [fold]
-    pairs = df.groupBy(fold, prediction, LABEL).agg(F.count(F.lit(1)).alias("pairs"))
+    pairs = df.where(F.col(LABEL).isNotNull()).groupBy(fold, prediction, LABEL).agg(F.count(F.lit(1)).alias("pairs"))
     for column, name in ((prediction, "a"), (LABEL, "b")):
-        ranks = running_counts(value_counts(df, keys, column), keys, column)
-        pairs = pairs.join(ranks.select(fold, column, twice_average_rank().cast("decimal(19,0)").alias(name)), [fold, column])
+        ranked = with_average_rank(pairs, [fold], column, "pairs", name)
+        pairs = ranked.withColumn(name, F.col(name).cast("decimal(19,0)"))
     n, a, b = F.col("pairs").cast("decimal(19,0)"), F.col("a"), F.col("b")
 
     def total(term: Column) -> Column:

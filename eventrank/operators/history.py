@@ -46,23 +46,20 @@ def season_form(targets: DataFrame, results: DataFrame, sessions: DataFrame, dep
 
     Targets and dated results of a driver's season are put on one time axis, equal times with the target first,
     so that a running window sees what began strictly before. The last races are eligible by date and ordered by
-    event number. Equal result rows are counted instead of carried; a copy beyond the ``depth``-th can never be
-    among the last ``depth``, so the collected list is bounded by ``depth`` times the races of a season.
+    event number. What the window sees is bounded by the calendar, however many result rows a driver has: points are
+    summed by moment, and of a moment's races only the last ``depth`` are carried, as no other can be among the last
+    ``depth`` of a target. Both are combined before they are shuffled.
     """
     row = ["event_year", "driver_number", "at", "session", "event_number", "finish", "retired", "points"]
+    moment = ["event_year", "driver_number", "at"]
     race = F.struct("event_number", "finish", "retired", "points")
+    distinct = dated_results(results, sessions, "R", "S").where(F.col("at").isNotNull()).groupBy(*row).agg(F.count(F.lit(1)).alias("copies"))
+    scored = distinct.groupBy(*moment).agg(F.sum(F.col("points") * F.col("copies")).cast("decimal(38,4)").alias("scored"))
+    place = F.row_number().over(Window.partitionBy(*moment).orderBy(*[F.col(c).desc() for c in row[4:]]))
+    latest = distinct.where(F.col("session") == "R").withColumn("place", place).where(F.col("place") <= depth)
     copies = F.least(F.col("copies"), F.lit(depth)).cast("int")
-    facts = (
-        dated_results(results, sessions, "R", "S")
-        .where(F.col("at").isNotNull())
-        .groupBy(*row)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select(
-            "event_year", "driver_number", "at", F.lit(FACT).alias("kind"),
-            (F.col("points") * F.col("copies")).cast("decimal(28,4)").alias("scored"),
-            F.when(F.col("session") == "R", F.array_repeat(race, copies)).alias("races"),
-        )
-    )
+    races = latest.select(*moment, F.array_repeat(race, copies).alias("races"))
+    facts = scored.unionByName(races, allowMissingColumns=True).withColumn("kind", F.lit(FACT))
     asked = targets.withColumns({"at": F.col("qualifying_session_date_utc"), "kind": F.lit(TARGET)})
     season = Window.partitionBy("event_year", "driver_number").orderBy("at", "kind")
     before = season.rowsBetween(Window.unboundedPreceding, -1)

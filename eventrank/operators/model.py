@@ -12,11 +12,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventrank.operators.evaluation import LABEL, score_events
-from eventrank.operators.order_stats import medians, rank_within, value_counts
+from eventrank.operators.order_stats import medians, offsets, rank_within, sliced, value_counts
 from eventrank.schemas import EVENT_KEYS
 from eventrank.sources.session import stored
 
@@ -34,6 +34,39 @@ def feature_medians(train: DataFrame, features: Sequence[str]) -> dict[str, floa
     return {row["feature"]: row["median"] for row in found.collect()}
 
 
+def fold_medians(df: DataFrame, features: Sequence[str], fold: str = "event_year") -> DataFrame:
+    """``fold``, ``feature`` and ``median`` over the rows of all other folds, exact.
+
+    One counted table serves all folds: how many rows of a feature lie below a value, less those of the fold itself. A
+    feature that has no value outside a fold has no median there. ``df`` is read once, but for the names of the folds.
+    """
+    folds = sorted(r[fold] for r in df.select(fold).distinct().collect() if r[fold] is not None)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("value")) for c in features]))
+    long = df.select(fold, cells.alias("cell")).select(fold, "cell.*").where("value IS NOT NULL")
+    own = {f"own{i}": F.count_if(F.col(fold) == season) for i, season in enumerate(folds)}
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in own.items()])
+    rows = sliced(counts, ["feature", "value"])
+    sums = ["n", *own]
+    first = offsets(rows, ["feature"], {f"{c}_before": F.sum(c) for c in sums})
+    inside = Window.partitionBy("feature", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    below = {f"{c}_below": F.col(f"{c}_before") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums}
+    sizes = rows.groupBy("feature").agg(*[F.sum(c).alias(f"{c}_size") for c in sums])
+    placed = rows.join(first, ["feature", "slice"]).withColumns(below).join(sizes, "feature")
+    others = lambda name, i: (F.col(f"n{name}") - F.col(f"own{i}{name}"))
+    left_out = F.explode(F.array(*[
+        F.struct(F.lit(season).alias(fold), others("", i).alias("n"), others("_below", i).alias("below"), others("_size", i).alias("size"))
+        for i, season in enumerate(folds)
+    ]))
+    each = placed.select("feature", "value", left_out.alias("fold")).select("feature", "value", "fold.*").where("n > 0")
+    upto, size = F.col("below") + F.col("n"), F.col("size")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("below") < rank) & (upto >= rank), F.col("value")))
+
+    middle = (at(F.floor((size + 1) / 2)) + at(F.floor(size / 2) + 1)) / 2
+    return each.groupBy(fold, "feature").agg(middle.alias("median"))
+
+
 def impute(df: DataFrame, values: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in values.items()})
 
@@ -75,18 +108,22 @@ def boosted_trees(features: Sequence[str], trees: int = TREES, depth: int = DEPT
     return Pipeline(stages=[vector, model])
 
 
-def fit_predict(train: DataFrame, test: DataFrame, features: Sequence[str], trees: int = TREES) -> DataFrame:
-    """Impute with the medians of ``train``, fit on it, predict ``test``.
+def fit_predict(
+    train: DataFrame, test: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None
+) -> DataFrame:
+    """Impute with the medians of ``train`` (or those given), fit on it, predict ``test``.
 
     A feature without any value in ``train`` has no median and is left out of the fit.
     """
-    model, values = fit(train, features, trees)
+    model, values = fit(train, features, trees, values)
     return model.transform(impute(test, values)).drop("features")
 
 
-def fit(train: DataFrame, features: Sequence[str], trees: int = TREES) -> tuple[PipelineModel, dict[str, float]]:
+def fit(
+    train: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None
+) -> tuple[PipelineModel, dict[str, float]]:
     """The fitted trees, and the medians of the features that they use."""
-    values = feature_medians(train, features)
+    values = feature_medians(train, features) if values is None else values
     used = [c for c in features if c in values]
     if not used:
         raise ValueError("no feature has a value to learn from")
@@ -125,9 +162,13 @@ def cross_validate(df: DataFrame, features: Sequence[str], trees: int = TREES) -
     if len(held_out) < 2:
         raise ValueError("leave-one-season-out needs at least two seasons")
 
+    values: dict[int, dict[str, float]] = {season: {} for season in held_out}
+    for row in fold_medians(df, features).collect():
+        values[row["event_year"]][row["feature"]] = row["median"]
+
     def predicted(season: int) -> DataFrame:
         test = F.col("event_year") == season
-        return fit_predict(df.where(~test), df.where(test), features, trees)
+        return fit_predict(df.where(~test), df.where(test), features, trees, values[season])
 
     # Folds are fitted side by side: the driver only waits for their jobs.
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:

@@ -56,6 +56,20 @@ def twice_average_rank() -> Column:
     return 2 * F.col("below") + F.col("n") + 1
 
 
+def with_average_rank(df: DataFrame, keys: Sequence[str], value: str, weight: str, name: str) -> DataFrame:
+    """Rows that stand for ``weight`` rows each, with twice the mean rank of their value in the group as ``name``.
+
+    Rows without a value are left out. Equal values lie in one slice, so no join has to bring ranks back to rows.
+    """
+    rows = sliced(df.where(_known(df, value)), [*keys, value])
+    first = offsets(rows, keys, {"offset": F.sum(weight)})
+    inside = Window.partitionBy(*keys, "slice").orderBy(value)
+    upto = F.sum(weight).over(inside.rangeBetween(Window.unboundedPreceding, 0))
+    equal = F.sum(weight).over(inside.rangeBetween(0, 0))
+    joined = rows.join(first, [*keys, "slice"])
+    return joined.withColumn(name, 2 * (F.col("offset") + upto) - equal + 1).select(*df.columns, name)
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str) -> DataFrame:
     """Rank of each row in its group by ``value``, equal values in the order of the number ``tie``.
 

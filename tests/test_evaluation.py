@@ -122,3 +122,18 @@ def test_labels_are_numbered_in_order(spark):
     rows = spark.range(5000).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("c"))
     codes = m.numbered(rows.repartition(5).union(rows), "c", "code")
     assert codes.where("code <> cast(substring(c, 2) AS int)").count() == 0 and codes.count() == 5000
+
+
+def test_fold_medians_equal_medians_of_the_other_folds(spark):
+    import random
+
+    r = random.Random(2)
+    value = lambda: r.choice([None, float("nan"), 1.0, 2.0, round(r.uniform(0, 5), 1)])
+    rows = [(2020 + i % 5, value(), value(), None if i % 5 else 3.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "event_year int, a double, b double, only2020 double")
+    found = {}
+    for x in m.fold_medians(df, ["a", "b", "only2020"]).collect():
+        found.setdefault(x.event_year, {})[x.feature] = x.median
+    clean = df.replace(float("nan"), None)
+    want = {s: m.feature_medians(clean.where(df.event_year != s), ["a", "b", "only2020"]) for s in range(2020, 2025)}
+    assert found == want and "only2020" not in found[2020]

@@ -159,3 +159,29 @@ def test_race_pace_history_matches_gold(season):
     row = by_event(gold.gold_features(*season))["gamma"]
     assert alone.hist_avg_race_lap_time == row.hist_avg_race_lap_time
     assert alone.hist_race_laps_count == row.hist_race_laps_count
+
+
+def test_a_driver_with_very_many_results(spark):
+    """Form and points of a driver whose races have tens of thousands of different result rows."""
+    calendar = [(2024, k, f"e{k}", s, f"2024-0{k}-{10 + d}T14:00:00Z") for k in range(1, 6) for d, s in ((0, "Q"), (1, "R"))]
+    sessions = spark.createDataFrame(calendar, SESSION)
+    many = spark.range(60_000).selectExpr("id", "cast(id % 4 + 1 AS int) AS race", "cast(id AS int) AS place")
+    rows = many.selectExpr(
+        "2024 AS event_year", "concat('e', race) AS event", "'R' AS session", "1 AS driver_number", "place AS finishing_position",
+        "id % 3 = 0 AS is_retired", "cast(id % 7 AS double) AS points",
+    )
+    targets = spark.createDataFrame([(2024, f"e{k}", 1, f"2024-0{k}-10T14:00:00Z") for k in range(1, 6)],
+                                    "event_year int, event string, driver_number int, qualifying_session_date_utc string")
+    form = history.season_form(targets, rows, sessions)
+    found = {r.event: r for r in form.collect()}
+    by_race = {}
+    for i in range(60_000):
+        by_race.setdefault(i % 4 + 1, []).append((i, i % 3 == 0, i % 7))
+    for k in range(2, 6):
+        before = [x for race in range(1, k) for x in by_race[race]]
+        assert found[f"e{k}"].season_points_to_date == sum(x[2] for x in before)
+        last = sorted(by_race[k - 1], reverse=True)[:3]
+        assert found[f"e{k}"].last3_avg_finish == sum(x[0] for x in last) / 3
+        assert (found[f"e{k}"].last3_dnfs, found[f"e{k}"].last3_race_points) == (sum(x[1] for x in last), sum(x[2] for x in last))
+    assert found["e1"].last3_race_count is None
+    assert "WindowGroupLimit" in form._jdf.queryExecution().executedPlan().toString()
