@@ -10,9 +10,9 @@ from eventrank.functions.values import is_wet, valid_lap
 from eventrank.operators import events as ev
 from eventrank.operators import history, pace
 from eventrank.plans import gold
-from eventrank.schemas import DRIVER_EVENT_KEYS
-from eventrank.sources import binding
-from eventrank.sources.session import stored
+from eventrank.schemas import DRIVER_EVENT_KEYS, EVENT_KEYS
+from eventrank.sources import binding, lake
+from eventrank.sources.session import scratch_folder, stored
 
 FILTER_YEAR, FILTER_EVENT = 1998, "monaco"
 
@@ -156,8 +156,10 @@ def bound_targets(spark, folder):
 
 
 def silver(spark, folder):
-    """Results, sessions and weather, stored: gold reads each of them in several places, the given tables are read once."""
-    return {name: stored(getattr(binding, name)(spark, folder), name) for name in ("results", "sessions", "weather")}
+    """Results, which gold reads in several places, are stored and give the events of the calendar, too; weather is read once."""
+    results = stored(binding.results(spark, folder), "results")
+    events = results.select("event_year", "event_number", "event", "event_name").distinct()
+    return {"results": results, "sessions": binding.sessions(spark, folder, events), "weather": binding.weather(spark, folder)}
 
 
 def bound_gold(spark, folder, tables=None, **limits):
@@ -304,3 +306,24 @@ def gold_features(spark, folder):
 @register(with_binding(TRAINING_STEPS, f"SELECT {_ROUND_STD} FROM training"))
 def training_dataset(spark, folder):
     return bound_training(spark, folder)
+
+
+# Last seasons of three deliveries.
+DELIVERED = (1996, 1998, 9999)
+
+
+@register(with_binding(GOLD_STEPS, f"SELECT {_ROUND_STD} FROM gold"))
+def gold_incremental(spark, folder):
+    """The feature table kept up to date through three deliveries of seasons; each rewrites the events that it affects."""
+    tables, laps = silver(spark, folder), binding.laps(spark, folder)
+    path, first = scratch_folder(spark, "gold"), 0
+    for last in DELIVERED:
+        there = F.col("event_year") <= last
+        now = {name: df.where(there) for name, df in tables.items()}
+        changed = now["sessions"].where(F.col("event_year") > first)
+        rows = gold.gold_update(now["results"], laps.where(there), now["sessions"], now["weather"], changed)
+        lake.write_partitioned(rows, path, EVENT_KEYS, whole=False)
+        first = last
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    found = lake.read_partitioned(spark, path, schema, EVENT_KEYS)
+    return rounded(found, "practice_std_lap_time_seconds", "hist_race_lap_time_std")

@@ -219,6 +219,24 @@ def pairwise_boost(spark, folder):
     return _ranked(boosted).withColumns({"beats_linear": F.lit(share > other), "mostly_right": F.lit(share > 0.5)})
 
 
+@register(f"""
+SELECT {BOOST_YEAR} AS event_year, count(*) AS rows, TRUE AS trees_beat_mean, TRUE AS sampled_columns_beat_mean
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(o_orderdate) = {BOOST_YEAR}""")
+def held_out_regression(spark, folder):
+    """Two kinds of boosted trees for the place itself, judged by a season that they have not seen.
+
+    One kind is MLlib's, the other takes a sample of the columns for each tree. Both are nearer than that season's mean.
+    """
+    rows = stored(_order_lines(spark, folder), "lines")
+    train, test = rows.where(F.col("event_year") != BOOST_YEAR), rows.where(F.col("event_year") == BOOST_YEAR)
+    trees = _beats_mean(m.fit_predict(train, test, LINE_FEATURES, BOOST_TREES))
+    model = ranking.boost(train, LINE_FEATURES, ranking.squared_gradients, trees=BOOST_TREES, step=BOOST_STEP)
+    sampled = _beats_mean(model.scored(test, "prediction"))
+    facts = {"trees_beat_mean": trees, "sampled_columns_beat_mean": sampled}
+    counted = test.agg(F.lit(BOOST_YEAR).alias("event_year"), F.count(F.lit(1)).alias("rows"))
+    return counted.withColumns({name: F.lit(found.first()[0]) for name, found in facts.items()})
+
+
 @register(with_binding(LABELLED, """
 SELECT '20260228T033812Z' AS run_id, 'grid_only' AS model_config, round(avg(precision_at_3), 9) AS precision_at_3,
   round(avg(recall_at_3), 9) AS recall_at_3, round(avg(spearman), 9) AS spearman, count(*) AS folds,

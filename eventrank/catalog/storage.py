@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventrank.catalog.binding_sql import with_binding
 from eventrank.catalog.features import ENTRIES, FORM, bound_form, bound_targets
 from eventrank.catalog.registry import register
 from eventrank.catalog.tracking import TRACKING
-from eventrank.schemas import SESSION_KEYS
+from eventrank.plans.gold import training_dataset
+from eventrank.schemas import DRIVER_EVENT_KEYS, SESSION_KEYS
 from eventrank.sources import binding, calendar, drift, lake, snapshots
 from eventrank.sources.session import scratch_folder, stored
 from eventrank.sources.tables import SCHEMAS, table
@@ -298,3 +300,21 @@ def scan_incremental(spark, folder):
         status = drift.checked_files(spark, [path], schema, state)
     season = F.regexp_extract("file_path", "season=([0-9]+)/", 1).cast("int").alias("event_year")
     return status.groupBy(season).agg(F.sum("read").alias("rows"), F.every("known").alias("known"), F.every("good").alias("good"))
+
+
+@register(with_binding(ENTRIES, """
+SELECT row_number() OVER (ORDER BY e.event_year, e.event, e.driver_number) AS position, e.event_year, e.event, e.driver_number,
+  r.finishing_position AS race_finishing_position
+FROM entry e LEFT JOIN b_results r ON r.session = 'R' AND r.event_year = e.event_year AND r.event = e.event
+  AND r.driver_number = e.driver_number"""))
+def training_order(spark, folder):
+    """The training set in its total order, and the place of each row as it lies in the files, one after the other."""
+    path = scratch_folder(spark, "ordered")
+    rows = training_dataset(bound_targets(spark, folder), binding.results(spark, folder))
+    columns = [*DRIVER_EVENT_KEYS, "race_finishing_position"]
+    lake.write_partitioned(rows.select(*columns), path, [], order=DRIVER_EVENT_KEYS)
+    found = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    sizes = found.groupBy("file").agg(F.count(F.lit(1)).alias("size"))
+    # The window sees one row per file.
+    first = sizes.select("file", (F.sum("size").over(Window.partitionBy().orderBy("file")) - F.col("size")).alias("first"))
+    return found.join(first, "file").select((F.col("first") + F.col("row") + 1).alias("position"), *columns)

@@ -128,10 +128,11 @@ def laps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sessions(spark: SparkSession, folder: str) -> DataFrame:
+def sessions(spark: SparkSession, folder: str, of: DataFrame | None = None) -> DataFrame:
+    """Sessions of all events, or of those given."""
     slots = ", ".join(f"('{slot}', '{day}', '{hour}')" for slot, day, hour in SLOTS)
     return (
-        events(spark, folder)
+        (events(spark, folder) if of is None else of)
         .selectExpr("*", f"inline(array({slots})) AS (slot, day, hour)")
         .where("slot IN ('P1', 'Q', 'R') OR event_number % 3 = 0")
         .selectExpr(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventrank.operators import events, history, pace, quality
 from eventrank.plans import gold
+from eventrank.sources import lake
 
 RESULT = (
     "event_year int, event string, event_name string, session string, driver_number int, driver_id string, full_name string,"
@@ -185,3 +186,32 @@ def test_a_driver_with_very_many_results(spark):
         assert (found[f"e{k}"].last3_dnfs, found[f"e{k}"].last3_race_points) == (sum(x[1] for x in last), sum(x[2] for x in last))
     assert found["e1"].last3_race_count is None
     assert "WindowGroupLimit" in form._jdf.queryExecution().executedPlan().toString()
+
+
+def test_updates_equal_the_full_build_and_leave_the_rest(season, folder):
+    """Events delivered one after the other; an event whose features cannot change keeps its files."""
+    import pathlib
+
+    results, laps, sessions, weather = season
+    spark, keys = results.sparkSession, ["event_year", "event"]
+    more = [result(y, e, "Q", 1, 2) for y in (2019, 2020, 2021, 2023) for e in ("alpha", "beta", "gamma")]
+    results = results.union(spark.createDataFrame(more, RESULT))
+    files = lambda: {p.relative_to(folder): p.stat().st_mtime_ns for p in pathlib.Path(folder).rglob("*.parquet")}
+    deliveries = ["event_year < 2021", "event_year < 2024 AND event <> 'gamma'", "event_year < 2025"]
+    before, seen = "false", {}
+    for there in deliveries:
+        now = [df.where(there) for df in (results, laps, sessions, weather)]
+        changed = sessions.where(f"({there}) AND NOT ({before})").union(sessions.limit(0))
+        rows = gold.gold_update(*now, changed)
+        lake.write_partitioned(rows, folder, keys, whole=False)
+        touched = {(r.event_year, r.event) for r in gold.affected_events(changed, events.qualifying_targets(now[0])).collect()}
+        after = files()
+        kept = {p for p in seen if tuple(x.split("=")[1] for x in p.parts[:2]) not in {(str(y), e) for y, e in touched}}
+        assert all(after.get(p) == seen[p] for p in kept)
+        before, seen = there, after
+    assert ("2024", "gamma") in {tuple(x.split("=")[1] for x in p.parts[:2]) for p in seen}
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    stored = lake.read_partitioned(spark, folder, schema, keys)
+    full = gold.gold_features(results.where("event_year <> 2019"), laps, sessions, weather)
+    by_key = lambda df: sorted((str(r.asDict()) for r in df.select(*full.columns).collect()))
+    assert by_key(stored.where("event_year <> 2019")) == by_key(full)
