@@ -125,17 +125,23 @@ def _further_pairs(sets: DataFrame, percent: int) -> DataFrame:
     front = front.select("node", "component", "n", "col.token", (F.col("m") - F.col("pos") - 1).alias("behind")).where("col.mixed")
     usual = front.groupBy("token", "component").agg(F.count("*").alias("size"))
     usual = usual.groupBy("token").agg(F.max_by("component", F.struct("size", "component")).alias("usual"), F.count("*").alias("kinds"))
-    front = front.join(usual.where("kinds > 1"), "token")
-    a = front.where("component <> usual").alias("a")
-    b = front.alias("b")
+    front = stored(front.join(usual.where("kinds > 1"), "token"), "front")
+    # Whether two rows can be similar depends on their sizes and places only. A family of texts has few of those however
+    # many members it has, so they are compared first, and members of kinds that cannot be similar never meet.
+    kinds = front.groupBy("token", "n", "behind").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    kinds = stored(kinds, "kinds")
+    one, two = kinds.alias("a"), kinds.alias("b")
     possible = 1 + F.least("a.behind", "b.behind")
     able = (
         (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.component") != F.col("b.component"))
-        & ((F.col("b.component") == F.col("b.usual")) | (F.col("a.node") < F.col("b.node")))
         & ((100 + percent) * possible >= percent * (F.col("a.n") + F.col("b.n")))
+        & ((F.col("a.low") != F.col("b.low")) | (F.col("a.low") != F.col("a.high")) | (F.col("b.low") != F.col("b.high")))
     )
-    pairs = a.join(b, able).select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
+    met = stored(one.join(two, able).select("a.token", "a.n", "a.behind", F.col("b.n").alias("n2"), F.col("b.behind").alias("behind2")), "met")
+    a = front.where("component <> usual").join(met, ["token", "n", "behind"]).select("token", "n2", "behind2", "node", "component", "usual")
+    b = front.select("token", F.col("n").alias("n2"), F.col("behind").alias("behind2"), F.col("node").alias("node2"), F.col("component").alias("component2"))
+    apart = (F.col("component") != F.col("component2")) & ((F.col("component2") == F.col("usual")) | (F.col("node") < F.col("node2")))
+    pairs = a.join(b, ["token", "n2", "behind2"]).where(apart).select(F.col("node").alias("x"), F.col("node2").alias("y"))
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 

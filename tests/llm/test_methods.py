@@ -45,6 +45,35 @@ def families():
     return [(i, " ".join(x)) for i, x in enumerate(rows)]
 
 
+def slotted(n, slots=3, words=90):
+    """Texts of one form that differ in a few places: any two are just below the threshold."""
+    base = data.words(77, words)
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in range(slots):
+            text[10 + 25 * k] = f"slot{k}x{i}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_a_family_below_the_threshold_makes_no_pairs(spark, monkeypatch):
+    rows = slotted(1500)
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for _, t in rows[:2] for w in [t.split()]]
+    assert 0.75 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    made = []
+
+    def counted(found, percent, pairs=neardup._further_pairs):
+        out = pairs(found, percent)
+        made.append((found.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(neardup, "_further_pairs", counted)
+    found = neardup.groups(data.frame(spark, rows)).collect()
+    assert all(r.kept for r in found) and len(found) == 1500
+    assert all(pairs == 0 for _, pairs in made)
+
+
 @pytest.mark.parametrize("percent,shingle", [(85, 3), (80, 5)])
 def test_near_duplicates_equal_brute_force(spark, percent, shingle):
     rows = families()
