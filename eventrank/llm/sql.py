@@ -121,7 +121,7 @@ later AS (SELECT unit.*, f[1] AS first_doc FROM unit JOIN first USING (norm) WHE
 island AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS island FROM later)
 SELECT doc_id, min("start")::BIGINT AS "start", max("end")::BIGINT AS "end", count(*) AS n_units,
   sum(n_words)::BIGINT AS n_words, arg_min(first_doc, unit) AS first_doc_id
-FROM island GROUP BY doc_id, island HAVING sum(n_words) >= 10"""
+FROM island GROUP BY doc_id, island HAVING sum(n_words) >= 25"""
 
 EXPECTED = {
     "op1_decontamination": DECONTAMINATION,

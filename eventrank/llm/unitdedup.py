@@ -16,7 +16,7 @@ from eventrank.llm.common import documents, parts, ship
 from eventrank.llm.words import STEP, U, VISIBLE, Words, mixed
 from eventrank.sources.session import stored
 
-MIN_WORDS = 10
+MIN_WORDS = 25
 # Stands for a null id: its rows come last.
 LAST_ID = (1 << 63) - 1
 _ENDS_SENTENCE = np.isin(np.arange(256), list(b".!?"))
@@ -116,7 +116,8 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with all columns; ``text`` without removed passages, and ``kept``: the ranges of the original text
-    (code points, end exclusive) that it consists of. Input columns called ``kept`` are replaced."""
+    (code points, end exclusive) that it consists of. Input columns called ``kept`` are replaced. A null text stays null;
+    one that is all repetition becomes empty; repeated rows (equal id and text) have the same result."""
     gone = stored(passages(docs, min_words), "passages").groupBy("doc_id", "text_key")
     gone = gone.agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
     text = docs["text"].cast("string")
