@@ -280,7 +280,11 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are not contaminated."""
+    """The rows of ``docs``, with all their columns, that are not contaminated.
+
+    Texts without words, null ones too, never are; repeated rows go or stay together. A null id is an id like any other.
+    Without items nothing goes.
+    """
     gone = stored(_judged(docs, benchmark).where("contaminated").select("doc_id", "text_key").distinct(), "contaminated")
     text_key = F.xxhash64(docs["text"].cast("string"))
     same = docs["doc_id"].cast("bigint").eqNullSafe(gone["doc_id"]) & (text_key == gone["text_key"])

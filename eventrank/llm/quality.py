@@ -233,6 +233,10 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose predicted label is 1."""
+    """The rows of ``docs``, with all their columns, whose predicted label is 1.
+
+    Null, empty and blank texts score 0.5, as every text does if nothing could be learnt, and are not accepted. Repeated
+    rows and texts of equal score are judged alike, each by itself. An empty table stays empty.
+    """
     score = scorer(docs, learn(docs, labels))
     return docs.where(score(F.col("text").cast("string")) >= ACCEPTED)

@@ -81,6 +81,8 @@ def test_language(spark):
 def test_substring_dedup(spark):
     found = unitdedup.passages(data.odd(spark)).collect()
     assert {r["doc_id"] for r in found} == {6, 11}  # repetitions within a text count, too
+    short = unitdedup.passages(data.frame(spark, [(1, "One of ten words in all. " * 2), (2, "One of ten words in all.")])).collect()
+    assert short == [] and unitdedup.passages(data.frame(spark, [(i, data.prose(13, 30)) for i in (1, 2)])).count() > 0
     kept = by_id(unitdedup.deduplicated(data.odd(spark)).collect())
     assert sum(map(len, kept.values())) == N
     assert kept[6][0]["text"] == "" and kept[5][0]["text"] == data.prose(13, 60) and kept[2][0]["text"] is None
@@ -133,7 +135,8 @@ def test_quality_rules(spark):
     lambda d, b, k: packing.pack(d, TOKENIZER), lambda d, b, k: pii.report(d), lambda d, b, k: secrets.report(d),
     lambda d, b, k: language.identified(d), lambda d, b, k: unitdedup.report(d), lambda d, b, k: neardup.report(d),
     lambda d, b, k: neardup.deduplicated(d, 80, 5), lambda d, b, k: linededup.report(d), lambda d, b, k: quality.report(d, k),
-    lambda d, b, k: rules.report(d),
+    lambda d, b, k: rules.report(d), lambda d, b, k: quality.accepted(d, k), lambda d, b, k: linededup.deduplicated(d),
+    lambda d, b, k: unitdedup.deduplicated(d),
 ])
 def test_empty_tables(spark, operator):
     empty = data.odd(spark).limit(0)
@@ -149,3 +152,44 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
     bench(spark).write.parquet(f"{folder}/benchmark.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns
+
+
+def stored_tables(docs, known, items, folder):
+    for name, df in (("documents", docs), ("labels", known), ("benchmark", items)):
+        df.write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_stages_keep_the_right_odd_rows(spark, folder):
+    docs = data.odd(spark)
+    stored_tables(docs, data.labels(spark, [(i, 1, 0) for i in range(100, 140)]), bench(spark), folder)
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda df: sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in df.collect())
+    every = ids(docs)
+    # Nothing was learnt, so nothing is accepted.
+    assert ids(stages["quality"](spark, docs, folder)) == []
+    # The later copy has lost all its lines; texts that never had one stay.
+    assert ids(stages["line_dedup"](spark, docs, folder)) == [x for x in every if x != (False, 6)]
+    # Of repeated rows one stays, and nothing else is like anything.
+    left = [x for x in every if x != (False, 6)]
+    left.remove((False, 5))
+    assert ids(stages["near_dedup"](spark, docs, folder)) == left
+    # Item 4 is the word of document 9, item 1 the text of 5 and 6.
+    assert ids(stages["decontamination"](spark, docs, folder)) == [x for x in every if x[1] not in (5, 6, 9) or x[0]]
+
+
+def test_run_on_odd_rows(spark, folder):
+    good = [(100 + i, data.prose(200 + i, 60)) for i in range(40)]
+    bad = [(300 + i, " | ".join(data.words(400 + i, 40)) + " $$$") for i in range(40)]
+    docs = data.frame(spark, [(r[0], r[1]) for r in data.odd_rows()] + good + good[:3] + bad + [(500, None), (501, good[0][1])])
+    known = data.labels(spark, [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad])
+    stored_tables(docs, known, data.benchmark(spark, [(1, None), (2, good[5][1])]), folder)
+    rows = corpus_pipeline.run(spark, folder).collect()
+    found = {r["doc_id"] for r in rows}
+    # Copies and the item's document are gone, others of the good ones stay, once each.
+    assert {i for i, _ in good} - {105} <= found and not found & ({105, 501} | {i for i, _ in bad})
+    assert all(sum(r["doc_id"] == i and r["piece"] == 0 for r in rows) == 1 for i in found)
+
+
+def test_run_on_empty_tables(spark, folder):
+    stored_tables(data.frame(spark, []), data.labels(spark, []), data.benchmark(spark, []), folder)
+    assert corpus_pipeline.run(spark, folder).collect() == []
