@@ -330,3 +330,23 @@ def stream_dedupe(spark, folder):
         ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
     ingest.merge_new_files(spark, landing, EVENT_SCHEMA, target, state, keys, order)
     return snapshots.read_merged(spark, target, EVENT_SCHEMA, keys, order)
+
+
+@register("""
+WITH mark AS (SELECT max(ts) - INTERVAL 10 DAY AS mark FROM events WHERE event_type <> 'purchase'),
+judged AS (SELECT events.*, event_type = 'purchase' AND ts < mark AS late FROM events, mark)
+SELECT event_id, user_id, event_type, late FROM judged WHERE late
+UNION ALL
+SELECT event_id, user_id, event_type, late FROM (
+  SELECT * FROM judged WHERE NOT late
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)""")
+def stream_late(spark, folder):
+    """The last event of each user from two deliveries; rows of the second that are ten days behind are kept apart."""
+    landing, target, late, state = (scratch_folder(spark, name) for name in ("landing", "target", "late", "state"))
+    keys, order = ["user_id"], ["ts", "event_id"]
+    for delivery in (False, True):
+        _land(spark, folder, landing, delivery)
+        ingest.merge_on_time(spark, landing, EVENT_SCHEMA, target, late, state, keys, order, "ts", "10 DAYS")
+    rows = snapshots.read_merged(spark, target, EVENT_SCHEMA, keys, order).withColumn("late", F.lit(False))
+    rows = rows.unionByName(ingest.read_late(spark, late, EVENT_SCHEMA).withColumn("late", F.lit(True)))
+    return rows.select("event_id", "user_id", "event_type", "late")

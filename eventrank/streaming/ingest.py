@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventrank.sources import snapshots
+from eventrank.sources.session import stored
 
 
 def _write_batch(df: DataFrame, path: str, batch: int, parts: Sequence[str]) -> None:
@@ -76,5 +77,57 @@ def merge_new_files(
     query.awaitTermination()
 
 
+def _split_batch(df: DataFrame, batch: int, late: str, at: str, delay: str, merged: Callable[[DataFrame], object]) -> None:
+    """One micro-batch: what is older than the watermark of the batches before goes to ``late``, the rest into the target.
+
+    The watermark is the greatest time of all earlier batches less ``delay``; each batch leaves its greatest time in a
+    folder of its own. Run again, a batch finds the same watermark and replaces what it left.
+    """
+    spark, marks = df.sparkSession, f"{late}/marks"
+    rows = stored(df, "batch")
+    high = rows.agg(F.max(at).alias("high")).withColumn("batch", F.lit(batch))
+    high.write.partitionBy("batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(marks)
+    kind = df.schema[at].dataType.simpleString()
+    before = spark.read.schema(f"high {kind}, batch bigint").parquet(marks).where(F.col("batch") < batch)
+    mark = before.agg((F.max("high") - F.expr(f"INTERVAL {delay}")).alias("mark")).first()["mark"]
+    is_late = F.lit(False) if mark is None else F.coalesce(F.col(at) < F.lit(mark).cast(kind), F.lit(False))
+    _write_batch(rows.where(is_late), f"{late}/rows", batch, [])
+    merged(rows.where(~is_late))
+
+
+def merge_on_time(
+    spark: SparkSession,
+    landing: str,
+    schema: str,
+    target: str,
+    late: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    at: str,
+    delay: str,
+    groups: int = 16,
+    files_per_batch: int = 1000,
+) -> None:
+    """``merge_new_files`` for rows with a time ``at``: those more than ``delay`` (as in "10 DAYS") behind are kept apart.
+
+    A delivery that was interrupted goes on where it was and changes nothing twice. Rows without a time are never late.
+    What is remembered between batches is one time per batch.
+    """
+    arrived = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    merged = lambda rows: snapshots.merge(rows, target, keys, order, groups)
+    query = (
+        arrived.writeStream.foreachBatch(lambda df, batch: _split_batch(df, batch, late, at, delay, merged))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_late(spark: SparkSession, late: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, batch bigint").parquet(f"{late}/rows").drop("batch")
+
+
 def read_newest(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     return newest(spark.read.parquet(target).drop("batch"), keys, order)

@@ -202,6 +202,37 @@ def test_merged_target_does_not_grow_with_deliveries(spark, folder):
     assert files[0] <= 4 and files[1:] == [2 * files[0]] * 3
 
 
+def test_late_rows_are_kept_apart_whatever_breaks(spark, folder, monkeypatch):
+    import datetime as dt
+
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    schema, keys, order = "k string, at timestamp, v int", ["k"], ["at", "v"]
+    paths = [f"{folder}/{n}" for n in ("in", "out", "late", "state")]
+
+    def deliver(*values):
+        spark.createDataFrame(list(values), schema).coalesce(1).write.mode("append").parquet(paths[0])
+
+    def ingested():
+        ingest.merge_on_time(spark, paths[0], schema, *paths[1:3], paths[3], keys, order, "at", "5 DAYS", groups=2)
+        table = {r.k: r.v for r in snapshots.read_merged(spark, paths[1], schema, keys, order).collect()}
+        return table, sorted(r.v for r in ingest.read_late(spark, paths[2], schema).collect())
+
+    deliver(("a", day(1), 1), ("b", day(20), 2), ("c", None, 3))
+    # Nothing is late in the first batch.
+    assert ingested() == ({"a": 1, "b": 2, "c": 3}, [])
+    deliver(("a", day(14), 4), ("a", day(15), 5), ("b", day(30), 6), ("d", None, 7))
+
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots, "publish", broken)
+        with pytest.raises(Exception, match="lost"):
+            ingested()
+    want = ({"a": 5, "b": 6, "c": 3, "d": 7}, [4])
+    assert ingested() == want and ingested() == want
+
+
 def test_scratch_is_removed(spark):
     kept = session.stored(spark.range(3), "kept")
     assert kept.count() == 3
