@@ -58,7 +58,12 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def _named_list(spark: SparkSession, path: str, version: int) -> str:
-    return spark.read.text(f"{path}/versions/{version}").first()["value"]
+    jvm, system, file = _file_system(spark, f"{path}/versions/{version}")
+    stream = system.open(file)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def live_lots(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -219,14 +224,15 @@ def merge(
         total = F.coalesce("added", F.lit(0)) + F.col("arrived")
         rewrite = F.coalesce(total > ratio * F.col("base"), F.lit(True))
         plan = stored(arrived.join(sizes, "grp", "left").select("grp", rewrite.alias("rewrite")), "plan")
-    if plan.isEmpty():
+    touched, again = plan.agg(F.count(F.lit(1)), F.count_if("rewrite")).first()
+    if not touched:
         return base
     rows = fresh.join(plan, "grp")
     rewritten = plan.where("rewrite")
-    if before is not None and not rewritten.isEmpty():
+    if before is not None and again:
         old = _rows(spark, path, df.schema, before.join(rewritten, "grp", "left_semi"))
-        again = old.withColumn("grp", _group(placed, groups)).withColumn("rewrite", F.lit(True)).select(rows.columns)
-        rows = rows.where("NOT rewrite").unionByName(_last(rows.where("rewrite").unionByName(again), keys, order))
+        whole = old.withColumn("grp", _group(placed, groups)).withColumn("rewrite", F.lit(True)).select(rows.columns)
+        rows = rows.where("NOT rewrite").unionByName(_last(rows.where("rewrite").unionByName(whole), keys, order))
     kind = F.when(F.col("rewrite"), F.lit(BASE)).otherwise(F.lit(ADDED))
     lot = F.concat(F.lit(commit), F.lit("-"), F.col("grp").cast("string"), F.lit("-"), kind)
     _write_lots(rows.select(*df.columns, lot.alias("lot")), path, [])
