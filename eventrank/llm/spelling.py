@@ -26,8 +26,9 @@ MORE = 5
 # One letter of a run is deleted where this number divides its hash.
 DELETED = 199
 GROUPS = 14
-# Words of a block of the trie, and of a block of visitors.
-BLOCK = 20_000
+# Words of a block of the trie, and of a block of visitors; blocks of visitors that one task takes through one trie.
+BLOCK = 5_000
+TURN = 4
 # A node of so few words is a leaf.
 LEAF = 12
 # Letters that a comparison of words holds at once.
@@ -191,12 +192,15 @@ def near_words(words: DataFrame, block: int = BLOCK, groups: int = GROUPS) -> Da
     parts = stored(sizes.join(visits, _PART).select(*_PART, count("size").alias("blocks"), count("visits").alias("rounds")), "parts")
 
     dealt_to = lambda n: F.pmod(F.xxhash64("word"), F.col(n)).cast("int")
-    tries = keyed.join(parts, _PART).groupBy(*_PART, dealt_to("blocks").alias("block"))
+    turn = lambda n: F.floor(n / TURN).cast("int")
+    tries = keyed.join(parts, _PART).groupBy(*_PART, "rounds", dealt_to("blocks").alias("block"))
     tries = tries.agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
+    tries = tries.withColumn("turn", F.explode(F.sequence(F.lit(0), turn(F.col("rounds") - 1)))).drop("rounds")
     visitors = keyed.select("word", reached.alias("to")).select("word", "to.*").join(parts, _PART)
     visitors = visitors.groupBy(*_PART, "blocks", dealt_to("rounds").alias("round")).agg(F.collect_list("word").alias("visitors"))
-    visitors = visitors.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = tries.join(visitors.drop("blocks", "round"), [*_PART, "block"]).select(*_PART, "block", "words", "counts", "visitors")
+    visitors = visitors.select(*_PART, turn(F.col("round")).alias("turn"), "visitors", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    # A task gets one trie and a few blocks of visitors, however large a part is.
+    pairs = tries.join(visitors, [*_PART, "block", "turn"]).select(*_PART, "block", "words", "counts", "visitors")
 
     def run(batches):
         letters, trie, of_trie = Letters(dealt), None, None
