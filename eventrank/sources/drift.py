@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventrank.sources import snapshots
-from eventrank.sources.lake import bulk_status, normal_path, read_bulk
+from eventrank.sources.lake import NULL_PARTITION, bulk_status, normal_path, read_bulk
 from eventrank.sources.session import stored
 
 # Types that a column is tried in, after the wanted one.
@@ -70,10 +70,22 @@ def _odd_files(spark: SparkSession, paths: Sequence[str], status: DataFrame) ->
     return {r["file_path"]: r["path"] for r in listed.join(status.where("NOT good"), "file_path", "left_semi").collect()}
 
 
+def _part(name: str, kind: str) -> Column:
+    """A partition column from the path of a file; the name for NULL stands for none."""
+    value = F.url_decode(F.regexp_extract("file_path", f"/{name}=([^/]*)/", 1))
+    return F.when(~value.isin(NULL_PARTITION, "__HIVE_DEFAULT_PARTITION__", ""), value).try_cast(kind).alias(name)
+
+
 def read_drifting(
-    spark: SparkSession, paths: Sequence[str], schema: str, widen: bool = False, status: DataFrame | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: str,
+    widen: bool = False,
+    status: DataFrame | None = None,
+    parts: str = "",
 ) -> DataFrame:
-    """All files below ``paths`` whatever types their columns have, with the columns of ``schema``.
+    """All files below ``paths`` whatever types their columns have, with the columns of ``schema`` and those of ``parts``,
+    which are read from the names of folders (``col=value``).
 
     Values come in the wanted types; text that is none of them, and numbers too large for them, become NULL. With
     ``widen`` a column gets the narrowest type that holds the values of all files instead, so that no value is lost.
@@ -91,14 +103,16 @@ def read_drifting(
         for types in groups:
             final = [wider(a, b) for a, b in zip(final, types)]
 
+    folders = T.StructType.fromDDL(parts) if parts else []
+
     def typed(rows: DataFrame, types: Sequence[str]) -> DataFrame:
         columns = [_cast(F.col(f"`{f.name}`"), a, b).alias(f.name) for f, a, b in zip(wanted, types, final)]
-        return rows.select(*columns)
+        return rows.select(*columns, *[_part(f.name, f.dataType.simpleString()) for f in folders])
 
     scans = [typed(read_bulk(spark, paths, schema, status), [f.dataType.simpleString() for f in wanted])]
     for types, files in sorted(groups.items()):
         as_found = T.StructType([T.StructField(f.name, T.DataType.fromDDL(t)) for f, t in zip(wanted, types)])
-        scans.append(typed(spark.read.schema(as_found).parquet(*sorted(files)), types))
+        scans.append(typed(spark.read.schema(as_found).parquet(*sorted(files)).select("*", "_metadata.file_path"), types))
     return reduce(DataFrame.unionByName, scans)
 
 

@@ -54,6 +54,16 @@ def test_numbers_stay_numbers(spark, folder):
     assert drift.read_drifting(spark, [folder], "k int, x bigint", widen=True).dtypes == [("k", "bigint"), ("x", "double")]
 
 
+def test_partitions_of_drifting_files(spark, folder):
+    one = lambda year, event, k, x: spark.createDataFrame([(year, event, k, x)], ["year", "event", "k", "x"])
+    lake.write_partitioned(one(2023, "são paulo", 1, 0.5), folder, ["year", "event"])
+    lake.write_partitioned(one(2024, "a/b", "2", "1.5"), folder, ["year", "event"], whole=False)
+    lake.write_partitioned(one(2025, "c", 3.0, 7).withColumn("event", F.lit(None).cast("string")), folder, ["year", "event"], whole=False)
+    rows = drift.read_drifting(spark, [folder], SCHEMA, parts="year int, event string")
+    want = [(1, 0.5, 2023, "são paulo"), (2, 1.5, 2024, "a_b"), (3, 7.0, 2025, None)]
+    assert sorted(map(tuple, rows.collect())) == want
+
+
 def test_a_known_file_is_not_read_again(spark, folder):
     data, state = f"{folder}/data", f"{folder}/state"
     wide = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("x"))
