@@ -1,10 +1,7 @@
-"""Reading tables, shipping this package to the workers, and slicing Arrow columns."""
+"""Reading tables, and slicing Arrow columns."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventrank.sources.session import ship
+
 # Bytes of text that one step of a vectorised operator works on; a longer single text is a step of its own.
 SLICE_BYTES = 1 << 20
 
-_shipped: set[str] = set()
-
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table; only Spark opens the path."""
@@ -24,23 +21,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Hands this package to all Python workers, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="eventrank-code-"), "eventrank_code.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for folder, _, names in os.walk(package):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)
-
-
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id``, ``text`` and the named columns only, so that other columns can have any name."""
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *more)

@@ -9,6 +9,8 @@ and no task has to hold a whole group. Missing values and NaN are not ranked.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,9 @@ from pyspark.sql import types as T
 
 from eventrank.sources.session import stored
 
+# Rows of a group that a task may put in order.
+CROWD = 100_000
+
 
 def _known(df: DataFrame, value: str) -> Column:
     known = F.col(value).isNotNull()
@@ -70,16 +75,24 @@ def with_average_rank(df: DataFrame, keys: Sequence[str], value: str, weight: st
     return joined.withColumn(name, 2 * (F.col("offset") + upto) - equal + 1).select(*df.columns, name)
 
 
-def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str) -> DataFrame:
+def rank_within(df: DataFrame, keys: Sequence[str], value: str, tie: str, rank: str, crowd: int = CROWD) -> DataFrame:
     """Rank of each row in its group by ``value``, equal values in the order of the number ``tie``.
 
-    Rows without a value are left out. Only rows that are equal in both share a task, and get the ranks there in any order.
+    Rows without a value or a key are left out. A group of at most ``crowd`` rows is ordered as a whole. Of larger ones only rows
+    that are equal in both share a task, and get the ranks there in any order.
     """
-    rows = sliced(df.where(_known(df, value)), [*keys, value, tie])
+    keyed = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    crowds = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > crowd)
+    crowds = stored(crowds.select(*keys), "crowds")
+    known = keyed.where(_known(df, value))
+    number = lambda *part: F.row_number().over(Window.partitionBy(*part).orderBy(value, tie))
+    if crowds.isEmpty():
+        return known.withColumn(rank, number(*keys)).select(*df.columns, rank)
+    whole = known.join(F.broadcast(crowds), list(keys), "left_anti").withColumn(rank, number(*keys))
+    rows = sliced(known.join(F.broadcast(crowds), list(keys), "left_semi"), [*keys, value, tie])
     first = offsets(rows, keys, {"offset": F.count(F.lit(1))})
-    place = F.row_number().over(Window.partitionBy(*keys, "slice").orderBy(value, tie))
-    joined = rows.join(first, [*keys, "slice"])
-    return joined.withColumn(rank, (F.col("offset") + place).cast("int")).select(*df.columns, rank)
+    joined = rows.withColumn("place", number(*keys, "slice")).join(first, [*keys, "slice"])
+    return whole.select(*df.columns, rank).union(joined.withColumn(rank, (F.col("offset") + F.col("place")).cast("int")).select(*df.columns, rank))
 
 
 def medians(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

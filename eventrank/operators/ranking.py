@@ -13,20 +13,25 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventrank.operators import pulls
 from eventrank.operators.evaluation import LABEL
 from eventrank.operators.model import DEPTH, SEED, STEP, SUBSAMPLE, TREES, feature_medians, impute
 from eventrank.schemas import EVENT_KEYS
-from eventrank.sources.session import stored
+from eventrank.sources.session import ship, stored
 
 # Fixed value: share of the features that each tree may use.
 COLUMNS = 0.9
+# Bins of a feature; no tree tells values of one bin apart.
+BINS = 32
 # Cells of a block; a block of partners is met by as many.
 BLOCK = 512
+# Rows of a task that are compared in each round.
+TASK_ROWS = 200_000
 # Trees whose predictions are added up in one plan.
 CHAIN = 20
 
@@ -66,30 +71,31 @@ def pairwise_gradients(
     return total.select(*keys, F.col("y").alias(label), F.col("s").alias(score), sum_of("g").alias("gradient"), sum_of("h").alias("curvature"))
 
 
-def squared_gradients(rows: DataFrame, keys: Sequence[str] = EVENT_KEYS, label: str = LABEL, score: str = "score") -> DataFrame:
-    """The same for half the squared error, which looks at each row by itself."""
-    known = rows.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
-        *keys, F.col(label).cast("double").alias(label), F.col(score).cast("double").alias(score)
-    )
-    return known.distinct().withColumns({"gradient": F.col(score) - F.col(label), "curvature": F.lit(1.0)})
+# The loss of a row by itself, for ``boost``.
+squared_gradients = pulls.squared_pulls
 
 
 @dataclass
 class Boosted:
-    """Trees with the features each of them may use, the medians for missing values, and the step of all trees."""
+    """Trees with the features each of them may use, the medians for missing values, the step of all trees, and the
+    bins of the features that the trees look at."""
 
     medians: dict[str, float]
     step: float
     trees: list[Transformer] = field(default_factory=list)
+    bins: Transformer | None = None
 
     def scored(self, rows: DataFrame, score: str = "predicted_score") -> DataFrame:
         """``rows`` with the sum of all trees; missing features get the medians of the fit."""
         out = impute(rows, self.medians).withColumn(score, F.lit(0.0))
+        kept = out.columns
+        if self.trees:
+            out = self.bins.transform(out)
         for i, tree in enumerate(self.trees, 1):
             out = _raised(out, tree, self.step, score)
             if i % CHAIN == 0 and i < len(self.trees):
                 out = stored(out, "scores")
-        return out
+        return out.select(*kept)
 
 
 def _raised(rows: DataFrame, tree: Transformer, step: float, score: str) -> DataFrame:
@@ -104,41 +110,85 @@ def _columns(features: Sequence[str], seed: int, number: int) -> list[str]:
     return [features[i] for i in sorted(chosen)]
 
 
+def _nodes(node, places: Sequence[int]):
+    """A fitted tree as numbers, see ``pulls.leaf_values``; ``places`` are those of its features among all."""
+    if node.subtreeDepth() == 0:
+        return float(node.prediction())
+    split = node.split()
+    return (places[split.featureIndex()], float(split.threshold()), _nodes(node.leftChild(), places), _nodes(node.rightChild(), places))
+
+
 def boost(
     train: DataFrame,
     features: Sequence[str],
-    gradients=pairwise_gradients,
+    gradients=pulls.pairwise_pulls,
     trees: int = TREES,
     depth: int = DEPTH,
     step: float = STEP,
     seed: int = SEED,
     keys: Sequence[str] = EVENT_KEYS,
+    block: int = BLOCK,
 ) -> Boosted:
     """Trees fitted round by round to Newton steps: a row's target is its gradient over its curvature, which weighs it.
 
-    Each tree sees ``SUBSAMPLE`` of the rows, chosen by a hash of all they hold, and ``COLUMNS`` of the features. Rows
-    are stored once a round, so a lost executor repeats one round at most. A feature without any value is left out; rows
-    without a label, and events in which nobody is ahead of anybody, teach nothing.
+    Each tree sees ``SUBSAMPLE`` of the rows, chosen by a hash of all they hold, and ``COLUMNS`` of the features. Features
+    are cut into ``BINS`` quantiles once, as many as MLlib's trees tell apart, and rows of equal bins are one weighted row
+    for the tree: their mean target has the same best splits and leaves. Rows are stored once, an event in one row, so a
+    round is one pass over them and shuffles sums only; an event of more than ``block`` rows is kept as rows, which meet
+    in ``pairwise_gradients``. A feature without any value is left out; rows without a label, and events in which nobody
+    is ahead of anybody, teach nothing.
     """
+    spark = train.sparkSession
+    ship(spark)
     values = feature_medians(train, features)
     used = [c for c in features if c in values]
     if not used:
         raise ValueError("no feature has a value to learn from")
-    model = Boosted(values, step)
-    rows = impute(train.where(F.col(LABEL).isNotNull()), values).select(*keys, F.col(LABEL).cast("double").alias(LABEL), *used)
-    rows = rows.withColumn("score", F.lit(0.0))
+    known = impute(train.select(*keys, LABEL, *used), values)
+    codes = [f"_bin_{c}" for c in used]
+    bins = QuantileDiscretizer(inputCols=used, outputCols=codes, numBuckets=BINS).fit(known)
+    model = Boosted(values, step, bins=bins)
+    luck = F.xxhash64(F.lit(seed), *keys, *used).alias("_luck")
+    labelled = bins.transform(known.where(F.col(LABEL).isNotNull()).dropna(subset=list(keys)))
+    rows = labelled.select(*keys, F.col(LABEL).cast("double").alias(LABEL), luck, *[F.col(c).cast("tinyint").alias(c) for c in codes])
+    events, crowds = (rows.drop(*keys), None) if gradients is squared_gradients else _dealt(rows, [LABEL, "_luck", *codes], keys, block)
+    events = stored(events, "events")
+    schema = ", ".join(["gradient double", "curvature double", "_luck bigint", *[f"{c} tinyint" for c in codes]])
+    nodes: list = []
     for number in range(trees):
-        pulled = rows.join(gradients(rows), [*keys, LABEL, "score"]).where("curvature > 1e-12")
-        data = stored(pulled.withColumn("target", -F.col("gradient") / F.col("curvature")), "round")
-        share = F.xxhash64(F.lit(seed), F.lit(number), *keys, *used).cast("double") / 2.0**64 + 0.5
-        vector = VectorAssembler(inputCols=_columns(used, seed, number), outputCol="_features")
+        # The plan runs in this round, so it may hold the list of nodes as it is.
+        pulled = events.mapInArrow(lambda batches, n=tuple(nodes): pulls.pulled_batches(batches, n, step, gradients), schema)
+        if crowds is not None:
+            crowds = stored(crowds, "round")
+            pulled = pulled.unionByName(crowds.join(pairwise_gradients(crowds, keys), [*keys, LABEL, "score"]).select(*pulled.columns))
+        share = F.xxhash64(F.lit(number), "_luck").cast("double") / 2.0**64 + 0.5
+        sample = pulled.where((F.col("curvature") > 1e-12) & (share < SUBSAMPLE))
+        chosen = _columns(codes, seed, number)
+        cells = sample.groupBy(*chosen).agg(F.sum("gradient").alias("pull"), F.sum("curvature").alias("curvature"))
+        cells = stored(cells.withColumn("target", -F.col("pull") / F.col("curvature")), "cells")
+        if cells.isEmpty():
+            break
+        vector = VectorAssembler(inputCols=chosen, outputCol="_features")
         learner = DecisionTreeRegressor(
-            featuresCol="_features", labelCol="target", weightCol="curvature", predictionCol="_raise", maxDepth=depth, seed=seed
+            featuresCol="_features", labelCol="target", weightCol="curvature", predictionCol="_raise", maxDepth=depth, maxBins=BINS, seed=seed
         )
-        sample = data.where(share < SUBSAMPLE)
-        if sample.isEmpty():
-            break
-        tree = PipelineModel([vector, learner.fit(vector.transform(sample))])
-        model.trees.append(tree)
-        rows = _raised(data.drop("gradient", "curvature", "target"), tree, step, "score")
+        fitted = learner.fit(vector.transform(cells))
+        model.trees.append(PipelineModel([vector, fitted]))
+        nodes.append(_nodes(fitted._call_java("rootNode"), [codes.index(c) for c in chosen]))
+        if crowds is not None:
+            crowds = _raised(crowds, model.trees[-1], step, "score")
     return model
+
+
+def _dealt(rows: DataFrame, columns: Sequence[str], keys: Sequence[str], block: int) -> tuple[DataFrame, DataFrame | None]:
+    """``columns`` as lists of an event's rows, and the rows of events of more than ``block`` rows with a score of 0."""
+    rows = stored(rows, "coded")
+    tasks = max(1, rows.count() // TASK_ROWS)
+    crowded = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(*keys), "crowded")
+    crowds = None
+    if not crowded.isEmpty():
+        crowds = rows.join(crowded, list(keys), "left_semi").withColumn("score", F.lit(0.0))
+        rows = rows.join(crowded, list(keys), "left_anti")
+    # Sorted, so that sums are added up in the same order whenever a task runs.
+    events = rows.repartition(tasks, *keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("rows"))
+    return events.select(*[F.col(f"rows.{c}").alias(c) for c in columns]), crowds

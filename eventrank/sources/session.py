@@ -1,9 +1,11 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the shared scratch folder, and shipping this package to the workers."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,7 @@ SESSION_CONF = {
 }
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -67,3 +70,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to all Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="eventrank-code-"), "eventrank_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

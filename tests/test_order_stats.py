@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventrank.operators import order_stats
+from eventrank.operators.model import feature_medians
+from eventrank.operators.order_stats import rank_within
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +90,24 @@ def test_ranks_take_few_exchanges(spark, name):
 
     plan = load()[0][name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") <= 12
+
+
+def test_crowded_groups_rank_like_others(spark):
+    r = random.Random(4)
+    rows = [(g, r.choice([None, float("nan"), *range(5)]), i) for i, g in enumerate(["a"] * 40 + ["b"] * 3 + [None] * 20 + ["c"])]
+    df = spark.createDataFrame([(g, None if v is None else float(v), i) for g, v, i in rows], "g string, v double, i int")
+    ranks = [sorted(rank_within(df, ["g"], "v", "i", "rank", crowd).collect(), key=lambda x: x.i) for crowd in (100, 10, 0)]
+    assert ranks[0] == ranks[1] == ranks[2]
+    assert {x.g for x in ranks[0]} == set("abc")
+    for g in "abc":
+        group = sorted((x for x in ranks[0] if x.g == g), key=lambda x: (x.v, x.i))
+        assert [x["rank"] for x in group] == list(range(1, len(group) + 1))
+
+
+def test_feature_medians_are_exact(spark):
+    r = random.Random(6)
+    columns = [[r.gauss(0, 1) for _ in range(2001)], [r.choice([1.0, 7.0]) for _ in range(2001)], [r.choice([None, float("nan"), 3.0, -2.5]) for _ in range(2001)]]
+    df = spark.createDataFrame(list(zip(*columns, [None] * 2001, strict=True)), "a double, b double, c double, d double")
+    known = [[x for x in c if x is not None and x == x] for c in columns]
+    assert feature_medians(df, ["a", "b", "c", "d"]) == {n: statistics.median(c) for n, c in zip("abc", known, strict=True)}
+    assert feature_medians(df.limit(0), ["a"]) == {}

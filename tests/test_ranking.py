@@ -3,11 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from eventrank.operators import evaluation as e
-from eventrank.operators import ranking
+from eventrank.operators import pulls, ranking
 from eventrank.schemas import EVENT_KEYS
 
 LABEL = e.LABEL
@@ -101,3 +102,33 @@ def test_nothing_to_learn_from(spark):
     assert ranking.boost(alone, ["middle"], trees=3).trees == []
     assert [x.predicted_score for x in ranking.Boosted({"middle": 1.0}, 0.1).scored(alone).collect()] == [0.0]
     assert EVENT_KEYS == ["event_year", "event"]
+
+
+def test_crowded_events_learn_the_same(spark):
+    """Events of more rows than a block meet block by block, others in one task; the trees are the same."""
+    rows = races(spark, 2, 6)
+    models = [ranking.boost(rows, FEATURES, trees=3, step=0.5, block=block) for block in (512, 4)]
+    found = [[x.predicted_score for x in m.scored(rows).orderBy(*EVENT_KEYS, "driver_number").collect()] for m in models]
+    assert found[0] == pytest.approx(found[1]) and len(set(found[0])) > 2
+
+
+def test_rounds_store_sums_only(spark, monkeypatch):
+    """What a round writes is bounded by the bins of the features, however many rows there are."""
+    sizes, kept = [], ranking.stored
+    monkeypatch.setattr(ranking, "stored", lambda df, label: (out := kept(df, label), sizes.append((label, out.count())))[0])
+    rows = races(spark, 2, 6).withColumn("middle", F.round("middle")).drop("noise", "gaps", "nothing")
+    assert len(ranking.boost(rows, ["middle"], trees=3, step=0.5).trees) == 3
+    rounds = [n for label, n in sizes if label not in ("coded", "crowded", "events")]
+    assert len(rounds) == 3 and max(rounds) <= 11
+
+
+@pytest.mark.parametrize("pairs", [1, 5, 1 << 20])
+def test_pulls_equal_gradients_of_blocks(spark, pairs):
+    r = random.Random(3)
+    rows = [(e, r.randint(1, 4), r.uniform(-2, 2)) for e, n in (("a", 7), ("b", 1), ("c", 4)) for _ in range(n)]
+    df = spark.createDataFrame([(2024, *x) for x in rows], f"event_year int, event string, {LABEL} int, score double")
+    expected = {(g.event, g.score): (g.gradient, g.curvature) for g in ranking.pairwise_gradients(df).collect()}
+    label, score = np.array([float(x[1]) for x in rows]), np.array([x[2] for x in rows])
+    found = pulls.pairwise_pulls(label, score, np.array([0, 7, 8, 12]), pairs)
+    for (event, _, s), g, h in zip(rows, *found, strict=True):
+        assert (g, h) == pytest.approx(expected[event, s])
