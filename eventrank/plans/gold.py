@@ -91,7 +91,10 @@ def gold_update(
     targets = qualifying_targets(results)
     wanted = stored(affected_events(changed, targets), "affected")
     reach = wanted.select(F.explode(F.sequence(F.col("event_year") - YEARS_BACK, F.col("event_year"))).alias("event_year"), "event").distinct()
-    raced, lapped = (df.join(reach, EVENT_KEYS, "left_semi") for df in (results, laps))
+    # Two numbers come back. A filter on seasons reaches the files; a join alone would read all seasons first.
+    first, last = reach.agg(F.min("event_year"), F.max("event_year")).first()
+    seasons = F.lit(False) if first is None else F.col("event_year").between(first, last)
+    raced, lapped = (df.where(seasons).join(reach, EVENT_KEYS, "left_semi") for df in (results, laps))
     season = results.join(wanted.select("event_year").distinct(), "event_year", "left_semi")
     return _assembled(targets.join(wanted, EVENT_KEYS, "left_semi"), raced, lapped, season, sessions, weather)
 

@@ -215,3 +215,22 @@ def test_updates_equal_the_full_build_and_leave_the_rest(season, folder):
     full = gold.gold_features(results.where("event_year <> 2019"), laps, sessions, weather)
     by_key = lambda df: sorted((str(r.asDict()) for r in df.select(*full.columns).collect()))
     assert by_key(stored.where("event_year <> 2019")) == by_key(full)
+
+
+def test_update_reads_the_seasons_in_reach(season, folder):
+    """The laps' files of seasons that no affected event looks back on are not read; without any affected event none are."""
+    from eventrank.catalog.features import by_season
+
+    results, laps, sessions, weather = season
+    spark = results.sparkSession
+    stored = by_season(laps.union(spark.createDataFrame([lap(2001, "alpha", "R", 1, 90.0)], LAP)))
+    assert stored.columns == laps.columns
+
+    def plan(changed):
+        rows = gold.gold_update(results, stored, sessions, weather, changed)
+        return rows._jdf.queryExecution().executedPlan().toString()
+
+    latest = results.selectExpr("max(event_year) AS event_year").join(results.select("event_year", "event"), "event_year")
+    first = latest.first().event_year - history.YEARS_BACK
+    assert f">= {first})" in "".join(x for x in plan(latest).split("\n") if "PartitionFilters" in x)
+    assert "seasons-" not in plan(latest.limit(0))
