@@ -229,8 +229,10 @@ def held_out_regression(spark, folder):
     """
     rows = stored(_order_lines(spark, folder), "lines")
     train, test = rows.where(F.col("event_year") != BOOST_YEAR), rows.where(F.col("event_year") == BOOST_YEAR)
-    trees = _beats_mean(m.fit_predict(train, test, LINE_FEATURES, BOOST_TREES))
-    model = ranking.boost(train, LINE_FEATURES, ranking.squared_gradients, trees=BOOST_TREES, step=BOOST_STEP)
+    values = m.feature_medians(train, LINE_FEATURES)
+    bins = m.binned(train, LINE_FEATURES, values)
+    trees = _beats_mean(m.fit_predict(train, test, LINE_FEATURES, BOOST_TREES, values, bins))
+    model = ranking.boost(train, LINE_FEATURES, ranking.squared_gradients, trees=BOOST_TREES, step=BOOST_STEP, values=values, bins=bins)
     sampled = _beats_mean(model.scored(test, "prediction"))
     facts = {"trees_beat_mean": trees, "sampled_columns_beat_mean": sampled}
     counted = test.agg(F.lit(BOOST_YEAR).alias("event_year"), F.count(F.lit(1)).alias("rows"))

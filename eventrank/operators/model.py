@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +24,10 @@ from eventrank.sources.session import stored
 # Settings of the boosted trees.
 TREES, DEPTH, STEP, SUBSAMPLE, SEED = 200, 3, 0.05, 0.9, 42
 SIDE_BY_SIDE = 4
+# Bins of a feature; no tree tells values of one bin apart.
+BINS = 32
+# Rows that boosted trees are fitted on one by one, and weighted rows of a task when there are more.
+SHARES, TASK_SHARES = 1_000_000, 50_000
 # Share of the rows by which a bound of the middle may be off; twice as far away it still holds the median.
 NEAR = 0.005
 
@@ -110,37 +115,81 @@ def ordinal_codes(train: DataFrame, df: DataFrame, column: str, code: str) -> Da
     return filled.join(codes, column, "left").withColumn(code, F.coalesce(code, F.lit(-1))).select(*df.columns, code)
 
 
-def boosted_trees(features: Sequence[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeline:
+def known_features(features: Sequence[str], values: dict[str, float]) -> list[str]:
+    """The features that have a median; it is an error if none has."""
+    used = [c for c in features if c in values]
+    if not used:
+        raise ValueError("no feature has a value to learn from")
+    return used
+
+
+def binned(train: DataFrame, features: Sequence[str], values: dict[str, float]) -> Transformer:
+    """Cuts the imputed features into as many quantiles as MLlib's trees tell apart, numbered in columns of their own."""
+    used = known_features(features, values)
+    return QuantileDiscretizer(inputCols=used, outputCols=[f"_bin_{c}" for c in used], numBuckets=BINS).fit(impute(train, values))
+
+
+def dealt(rows: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Rows that are equal in ``columns``, dealt evenly to shares of at most ``size`` rows, with their number as ``weight``."""
+    cells = stored(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "cells")
+    parts = F.ceil(F.col("n") / size).cast("int")
+    tasks = 1 + (cells.agg(F.sum(parts)).first()[0] or 0) // TASK_SHARES
+    shares = cells.select(*columns, (F.col("n") / parts).alias("weight"), F.explode(F.sequence(F.lit(1), parts)).alias("share"))
+    # Stored, as fitting reads them more than once.
+    return stored(shares.drop("share").repartition(tasks), "shares")
+
+
+def boosted_trees(
+    features: Sequence[str], trees: int = TREES, depth: int = DEPTH, seed: int = SEED, weight: str = ""
+) -> Pipeline:
     vector = VectorAssembler(inputCols=list(features), outputCol="features")
     # Column sampling exists per node only; a single feature is always used.
     columns = "all" if len(features) == 1 else "0.9"
     model = GBTRegressor(
         featuresCol="features", labelCol=LABEL, predictionCol="prediction", maxIter=trees, maxDepth=depth,
-        stepSize=STEP, subsamplingRate=SUBSAMPLE, featureSubsetStrategy=columns, seed=seed,
+        stepSize=STEP, subsamplingRate=SUBSAMPLE, featureSubsetStrategy=columns, seed=seed, weightCol=weight,
     )
     return Pipeline(stages=[vector, model])
 
 
 def fit_predict(
-    train: DataFrame, test: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None
+    train: DataFrame, test: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None,
+    bins: Transformer | None = None,
 ) -> DataFrame:
     """Impute with the medians of ``train`` (or those given), fit on it, predict ``test``.
 
     A feature without any value in ``train`` has no median and is left out of the fit.
     """
-    model, values = fit(train, features, trees, values)
-    return model.transform(impute(test, values)).drop("features")
+    model, values = fit(train, features, trees, values, bins)
+    return predicted(model, impute(test, values))
+
+
+def predicted(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``prediction``, without what the stages of the model add for themselves."""
+    return model.transform(rows).select(*rows.columns, "prediction")
 
 
 def fit(
-    train: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None
+    train: DataFrame, features: Sequence[str], trees: int = TREES, values: dict[str, float] | None = None,
+    bins: Transformer | None = None, shares: int = SHARES,
 ) -> tuple[PipelineModel, dict[str, float]]:
-    """The fitted trees, and the medians of the features that they use."""
+    """The fitted trees, and the medians of the features that they use.
+
+    MLlib keeps what it fits as objects and passes over them for each level of each tree. Of more than ``shares`` rows, those
+    of equal bins and label are therefore dealt to shares of equal size, so that there are at most ``shares`` and one for
+    each combination that occurs. A share is a weighted row: it has the same splits and means as its rows, and each tree
+    takes it or leaves it as it does a row. ``values`` and ``bins`` are those of ``train``, if they are known.
+    """
     values = feature_medians(train, features) if values is None else values
-    used = [c for c in features if c in values]
-    if not used:
-        raise ValueError("no feature has a value to learn from")
-    return boosted_trees(used, trees).fit(impute(train, values)), values
+    used = known_features(features, values)
+    known, rows = impute(train, values), train.count()
+    if rows <= shares:
+        return boosted_trees(used, trees).fit(known), values
+    bins = binned(train, used, values) if bins is None else bins
+    codes = bins.getOutputCols()
+    weighted = dealt(bins.transform(known), [LABEL, *codes], math.ceil(rows / shares))
+    fitted = boosted_trees(codes, trees, weight="weight").fit(weighted)
+    return PipelineModel([bins, *fitted.stages]), values
 
 
 def score_rows(rows: DataFrame, model: PipelineModel, values: dict[str, float], required: Sequence[str]) -> DataFrame:
@@ -154,7 +203,7 @@ def score_rows(rows: DataFrame, model: PipelineModel, values: dict[str, float],
     valid = rows.withColumns(numbers).dropna(subset=list(required))
     if valid.isEmpty():
         raise ValueError(f"no row has {', '.join(required)}")
-    return score_events(model.transform(impute(valid, values)).drop("features"), "prediction")
+    return score_events(predicted(model, impute(valid, values)), "prediction")
 
 
 def seasons(df: DataFrame) -> list[int]:
@@ -179,13 +228,13 @@ def cross_validate(df: DataFrame, features: Sequence[str], trees: int = TREES) -
     for row in fold_medians(df, features).collect():
         values[row["event_year"]][row["feature"]] = row["median"]
 
-    def predicted(season: int) -> DataFrame:
+    def of_season(season: int) -> DataFrame:
         test = F.col("event_year") == season
         return fit_predict(df.where(~test), df.where(test), features, trees, values[season])
 
     # Folds are fitted side by side: the driver only waits for their jobs.
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(predicted), held_out))
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(of_season), held_out))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -50,20 +50,34 @@ def leaf_values(node, columns: Sequence[np.ndarray]):
     return np.where(columns[feature] <= threshold, leaf_values(below, columns), leaf_values(above, columns))
 
 
+def scores(trees: Sequence, step: float, codes: Sequence[np.ndarray], rows: int) -> np.ndarray:
+    """The sum of what ``trees`` say of each row, so that no scores have to be stored."""
+    score = np.zeros(rows)
+    for tree in trees:
+        score += step * leaf_values(tree, codes)
+    return score
+
+
 def pulled_batches(batches: Iterable[pa.RecordBatch], trees: Sequence, step: float, pulls) -> Iterator[pa.RecordBatch]:
     """One row for each row of the events: ``gradient``, ``curvature``, and the columns after the first.
 
-    The first column is the label, the second one luck, the others codes of features; each holds a list per event, or one
-    row's value. Scores are added up from ``trees``, so none have to be stored.
+    The first column is the label, the second one luck, the others codes of features; each holds a list per event.
     """
     for batch in batches:
-        ends, columns = np.arange(batch.num_rows + 1), list(batch.columns)
-        if pa.types.is_list(columns[0].type):
-            offsets = columns[0].offsets.to_numpy().astype(np.int64)
-            ends, columns = offsets - offsets[0], [c.flatten() for c in columns]
+        offsets = batch.column(0).offsets.to_numpy().astype(np.int64)
+        ends, columns = offsets - offsets[0], [c.flatten() for c in batch.columns]
         label, _, *codes = [c.to_numpy(zero_copy_only=False) for c in columns]
-        score = np.zeros(len(label))
-        for tree in trees:
-            score += step * leaf_values(tree, codes)
-        found = [pa.array(x) for x in pulls(label, score, ends)]
+        found = [pa.array(x) for x in pulls(label, scores(trees, step, codes, len(label)), ends)]
         yield pa.RecordBatch.from_arrays([*found, *columns[1:]], names=["gradient", "curvature", *batch.schema.names[1:]])
+
+
+def squared_batches(batches: Iterable[pa.RecordBatch], trees: Sequence, step: float) -> Iterator[pa.RecordBatch]:
+    """``gradient`` and ``curvature`` of half the squared error, summed over the rows that have equal codes.
+
+    The first column is the number of these rows, the second one the sum of their labels, the others the codes.
+    """
+    for batch in batches:
+        rows, labels, *codes = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        gradient = rows * scores(trees, step, codes, len(rows)) - labels
+        found = [pa.array(gradient), pa.array(rows.astype(float))]
+        yield pa.RecordBatch.from_arrays([*found, *batch.columns[2:]], names=["gradient", "curvature", *batch.schema.names[2:]])

@@ -13,27 +13,27 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import QuantileDiscretizer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventrank.operators import pulls
 from eventrank.operators.evaluation import LABEL
-from eventrank.operators.model import DEPTH, SEED, STEP, SUBSAMPLE, TREES, feature_medians, impute
+from eventrank.operators.model import BINS, DEPTH, SEED, STEP, SUBSAMPLE, TREES, binned, feature_medians, impute, known_features
 from eventrank.schemas import EVENT_KEYS
 from eventrank.sources.session import ship, stored
 
 # Fixed value: share of the features that each tree may use.
 COLUMNS = 0.9
-# Bins of a feature; no tree tells values of one bin apart.
-BINS = 32
 # Cells of a block; a block of partners is met by as many.
 BLOCK = 512
 # Rows of a task that are compared in each round.
 TASK_ROWS = 200_000
 # Trees whose predictions are added up in one plan.
 CHAIN = 20
+# Rounds whose sums are taken in one pass over the rows.
+ROUNDS = 10
 
 
 def pairwise_gradients(
@@ -128,6 +128,8 @@ def boost(
     seed: int = SEED,
     keys: Sequence[str] = EVENT_KEYS,
     block: int = BLOCK,
+    values: dict[str, float] | None = None,
+    bins: Transformer | None = None,
 ) -> Boosted:
     """Trees fitted round by round to Newton steps: a row's target is its gradient over its curvature, which weighs it.
 
@@ -135,34 +137,41 @@ def boost(
     are cut into ``BINS`` quantiles once, as many as MLlib's trees tell apart, and rows of equal bins are one weighted row
     for the tree: their mean target has the same best splits and leaves. Rows are stored once, an event in one row, so a
     round is one pass over them and shuffles sums only; an event of more than ``block`` rows is kept as rows, which meet
-    in ``pairwise_gradients``. A feature without any value is left out; rows without a label, and events in which nobody
-    is ahead of anybody, teach nothing.
+    in ``pairwise_gradients``. With ``squared_gradients`` rows of equal bins have equal scores and differ by label only, so
+    one pass sums up ``ROUNDS`` rounds, see ``_summed``. A feature without any value is left out; rows without a label, and
+    events in which nobody is ahead of anybody, teach nothing. ``values`` and ``bins`` are those of ``train``, if known.
     """
     spark = train.sparkSession
     ship(spark)
-    values = feature_medians(train, features)
-    used = [c for c in features if c in values]
-    if not used:
-        raise ValueError("no feature has a value to learn from")
+    values = feature_medians(train, features) if values is None else values
+    used = known_features(features, values)
     known = impute(train.select(*keys, LABEL, *used), values)
-    codes = [f"_bin_{c}" for c in used]
-    bins = QuantileDiscretizer(inputCols=used, outputCols=codes, numBuckets=BINS).fit(known)
+    bins = binned(known, used, values) if bins is None else bins
+    codes = bins.getOutputCols()
     model = Boosted(values, step, bins=bins)
     luck = F.xxhash64(F.lit(seed), *keys, *used).alias("_luck")
     labelled = bins.transform(known.where(F.col(LABEL).isNotNull()).dropna(subset=list(keys)))
     rows = labelled.select(*keys, F.col(LABEL).cast("double").alias(LABEL), luck, *[F.col(c).cast("tinyint").alias(c) for c in codes])
-    events, crowds = (rows.drop(*keys), None) if gradients is squared_gradients else _dealt(rows, [LABEL, "_luck", *codes], keys, block)
-    events = stored(events, "events")
-    schema = ", ".join(["gradient double", "curvature double", "_luck bigint", *[f"{c} tinyint" for c in codes]])
+    alone = gradients is squared_gradients
+    events, crowds = (rows.drop(*keys), None) if alone else _dealt(rows, [LABEL, "_luck", *codes], keys, block)
+    events = events if alone and trees <= ROUNDS else stored(events, "events")
+    sums = ["gradient double", "curvature double"]
+    schema = ", ".join([*sums, *([] if alone else ["_luck bigint"]), *[f"{c} tinyint" for c in codes]])
     nodes: list = []
     for number in range(trees):
         # The plan runs in this round, so it may hold the list of nodes as it is.
-        pulled = events.mapInArrow(lambda batches, n=tuple(nodes): pulls.pulled_batches(batches, n, step, gradients), schema)
-        if crowds is not None:
-            crowds = stored(crowds, "round")
-            pulled = pulled.unionByName(crowds.join(pairwise_gradients(crowds, keys), [*keys, LABEL, "score"]).select(*pulled.columns))
-        share = F.xxhash64(F.lit(number), "_luck").cast("double") / 2.0**64 + 0.5
-        sample = pulled.where((F.col("curvature") > 1e-12) & (share < SUBSAMPLE))
+        if alone:
+            if number % ROUNDS == 0:
+                summed = _summed(events, codes, range(number, min(trees, number + ROUNDS)))
+            part = summed.select(f"rows{number}", f"labels{number}", *codes)
+            sample = part.mapInArrow(lambda batches, n=tuple(nodes): pulls.squared_batches(batches, n, step), schema)
+        else:
+            sample = events.mapInArrow(lambda batches, n=tuple(nodes): pulls.pulled_batches(batches, n, step, gradients), schema)
+            if crowds is not None:
+                crowds = stored(crowds, "round")
+                sample = sample.unionByName(crowds.join(pairwise_gradients(crowds, keys), [*keys, LABEL, "score"]).select(*sample.columns))
+            sample = sample.where(_sampled(number))
+        sample = sample.where(F.col("curvature") > 1e-12)
         chosen = _columns(codes, seed, number)
         cells = sample.groupBy(*chosen).agg(F.sum("gradient").alias("pull"), F.sum("curvature").alias("curvature"))
         cells = stored(cells.withColumn("target", -F.col("pull") / F.col("curvature")), "cells")
@@ -180,6 +189,19 @@ def boost(
     return model
 
 
+def _sampled(number: int) -> Column:
+    """Whether the tree of this number sees a row."""
+    return F.xxhash64(F.lit(number), "_luck").cast("double") / 2.0**64 + 0.5 < SUBSAMPLE
+
+
+def _summed(rows: DataFrame, codes: Sequence[str], rounds: Sequence[int]) -> DataFrame:
+    """For each combination of ``codes`` and each of ``rounds``, the number of sampled rows and the sum of their labels."""
+    seen = {n: _sampled(n) for n in rounds}
+    counts = [F.count_if(seen[n]).alias(f"rows{n}") for n in rounds]
+    labels = [F.sum(F.when(seen[n], F.col(LABEL)).otherwise(0.0)).alias(f"labels{n}") for n in rounds]
+    return stored(rows.groupBy(*codes).agg(*counts, *labels), "summed")
+
+
 def _dealt(rows: DataFrame, columns: Sequence[str], keys: Sequence[str], block: int) -> tuple[DataFrame, DataFrame | None]:
     """``columns`` as lists of an event's rows, and the rows of events of more than ``block`` rows with a score of 0."""
     rows = stored(rows, "coded")

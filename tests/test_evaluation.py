@@ -95,6 +95,38 @@ def test_boosted_trees_learn_the_grid(outcome):
     assert all(r.spearman > 0.8 for r in e.spearman(scored).collect())
 
 
+def test_equal_rows_are_dealt_to_even_shares(spark):
+    rows = [(1, 0.0)] * 10 + [(2, 0.0)] + [(1, 1.0)] * 4 + [(None, 1.0)] * 2
+    found = m.dealt(spark.createDataFrame(rows, "label int, code double"), ["label", "code"], 4).collect()
+    weights = {}
+    for r in found:
+        weights.setdefault((r.label, r.code), []).append(r.weight)
+    assert weights == {(1, 0.0): [10 / 3] * 3, (2, 0.0): [1.0], (1, 1.0): [4.0], (None, 1.0): [2.0]}
+
+
+def test_trees_of_many_rows_are_fitted_on_shares(spark, outcome, monkeypatch):
+    """What MLlib holds is bounded by shares and combinations, not by rows, and the trees learn the same."""
+    sizes, kept = {}, m.stored
+    monkeypatch.setattr(m, "stored", lambda df, label: (out := kept(df, label), sizes.update({label: out.count()}))[0])
+    rows = outcome.union(outcome).union(outcome).withColumn("gap", F.when(F.col("grid") % 3 != 0, F.col("grid") * 0.37))
+    model, values = m.fit(rows, ["grid", "gap"], 40, shares=60)
+    assert sizes["cells"] < 144 and sizes["cells"] <= sizes["shares"] <= sizes["cells"] + 60 < rows.count()
+    alone, _ = m.fit(rows, ["grid", "gap"], 40)
+    assert len(alone.stages) == 2 and len(model.stages) == 3
+    found = [m.predicted(x, m.impute(rows, values)) for x in (model, alone)]
+    assert found[0].columns == found[1].columns == [*rows.columns, "prediction"]
+    near = [x.agg(F.avg(F.pow(F.col("prediction") - F.col(e.LABEL), 2))).first()[0] for x in found]
+    assert near[0] < 1.1 * near[1] and all(r.spearman > 0.8 for x in found for r in e.spearman(x).collect())
+
+
+def test_shares_keep_weight_means(spark):
+    """Trees of shares and of rows agree on a table whose rows are equal in large groups."""
+    rows = spark.range(4000).selectExpr("CAST(2020 AS INT) event_year", "CAST(id % 4 AS DOUBLE) x", f"CAST(IF(id % 4 = 3 OR id < 1000, 9, 1) AS INT) {e.LABEL}")
+    models = [m.fit(rows, ["x"], 60, shares=n)[0] for n in (400, 10_000)]
+    found = [{r.x: r.prediction for r in m.predicted(x, rows).dropDuplicates(["x"]).collect()} for x in models]
+    assert found[0] == pytest.approx(found[1], abs=0.15) and found[0][3.0] - found[0][0.0] > 4
+
+
 def test_pairwise_ranking_learns_the_grid(outcome):
     scored = e.score_events(m.pairwise_scores(outcome, outcome, ["grid"]))
     assert all(r.predicted_rank == r.driver_number for r in scored.collect())

@@ -122,6 +122,22 @@ def test_rounds_store_sums_only(spark, monkeypatch):
     assert len(rounds) == 3 and max(rounds) <= 11
 
 
+def test_squared_rounds_are_summed_in_few_passes(spark, monkeypatch):
+    """Rows are read once for ten rounds, the tables between are bounded by bins, and the trees are those fitted on rows."""
+    sizes, kept = [], ranking.stored
+    rows = races(spark, 2, 12).withColumn("middle", F.round("middle")).drop("noise", "gaps", "nothing")
+    rows = rows.union(rows.limit(7)).union(rows.limit(5).withColumn(LABEL, F.lit(None).cast("int")))
+    by_rows = ranking.boost(rows, ["middle"], lambda label, score, ends: pulls.squared_pulls(label, score, ends), trees=12, step=0.5)
+    monkeypatch.setattr(ranking, "stored", lambda df, label: (out := kept(df, label), sizes.append((label, out.count())))[0])
+    few = ranking.boost(rows, ["middle"], ranking.squared_gradients, trees=3, step=0.5)
+    assert [label for label, _ in sizes] == ["summed", "cells", "cells", "cells"] and max(n for _, n in sizes) <= 11
+    values = ranking.feature_medians(rows, ["middle"])
+    model = ranking.boost(rows, ["middle"], ranking.squared_gradients, trees=12, step=0.5, values=values, bins=by_rows.bins)
+    assert [label for label, _ in sizes].count("summed") == 3 and len(few.trees) == 3 and len(model.trees) == 12
+    found = [[x.predicted_score for x in m.scored(rows).orderBy(*EVENT_KEYS, "driver_number", LABEL).collect()] for m in (by_rows, model)]
+    assert found[0] == pytest.approx(found[1]) and len(set(found[0])) > 5
+
+
 @pytest.mark.parametrize("pairs", [1, 5, 1 << 20])
 def test_pulls_equal_gradients_of_blocks(spark, pairs):
     r = random.Random(3)
